@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_M = 6371010.0  # spherical earth used by the warehouse's geography functions
 METRES_PER_MILE = 1609.34
 DEG_TO_RAD = math.pi / 180.0
+# Distances are reported on a grid of 1e-9 mile (about 1.6 micrometres): sin/cos/asin of
+# different math libraries may differ in the last bit, and snapping to the grid with
+# plain IEEE operations makes every engine return the same double.
+RESOLUTION_PER_MILE = 1e9
 
 
 def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column,
@@ -18,7 +22,7 @@ def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column,
 
     ``2 R asin(min(1, sqrt(h)))`` is used rather than the arccos form, which loses
     precision (and can leave the domain) for nearby points.  Null or out-of-range
-    latitude gives null.
+    latitude gives null.  The result is snapped to RESOLUTION_PER_MILE.
     """
     p1 = lat1 * F.lit(DEG_TO_RAD)
     p2 = lat2 * F.lit(DEG_TO_RAD)
@@ -27,4 +31,6 @@ def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column,
     h = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
     metres = F.lit(2 * radius_m) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
     valid = (F.abs(lat1) <= 90) & (F.abs(lat2) <= 90)
-    return F.when(valid, metres / F.lit(METRES_PER_MILE))
+    miles = metres / F.lit(METRES_PER_MILE)
+    snapped = F.floor(miles * F.lit(RESOLUTION_PER_MILE) + F.lit(0.5)).cast("double") / F.lit(RESOLUTION_PER_MILE)
+    return F.when(valid, snapped)

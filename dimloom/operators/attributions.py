@@ -89,11 +89,17 @@ def _eligible_people(T: Tables) -> DataFrame:
     return T["user_core"].where(F.col("type") != INDEPENDENT_LEARNER)
 
 
-def route_invited(T: Tables, context: DataFrame | None = None) -> DataFrame:
-    """A4: invitations matched to people by trimmed, lower-cased email; classroom must exist."""
+def route_invited(T: Tables, context: DataFrame | None = None, dedupe_people: bool = False) -> DataFrame:
+    """A4: invitations matched to people by trimmed, lower-cased email; classroom must exist.
+
+    A person with several rows of the same email matches once per row, as in the source.
+    ``dedupe_people`` drops those copies before the shuffle; only callers that take a
+    distinct or first row afterwards may set it.
+    """
     ctx = context if context is not None else classroom_context(T)
-    people = (_eligible_people(T)
-              .select(normalize_email("email").alias("u_email"), F.col("id").alias("user_id")).distinct())
+    people = _eligible_people(T).select(normalize_email("email").alias("u_email"), F.col("id").alias("user_id"))
+    if dedupe_people:
+        people = people.distinct()
     inv = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"),
                                                  F.col("classroom_id").alias("i_classroom_id"))
     matched = skew_join(inv, people, "i_email", "u_email", "inner")
@@ -110,12 +116,14 @@ def sponsor_code_context(T: Tables) -> DataFrame:
             .select("code_key", "sponsor_id", "sponsor_name", "sponsor_code", "site_id", "site_name"))
 
 
-def route_sponsor_join(T: Tables) -> DataFrame:
+def route_sponsor_join(T: Tables, dedupe_people: bool = False) -> DataFrame:
     """A5: 'userjoins' records of eligible people with an existing sponsor code; the site
-    is the code's own and the classroom columns are null."""
+    is the code's own and the classroom columns are null.  ``dedupe_people`` as in A4."""
     joins = (T["user_join_record"].where(F.col("action_type") == JOIN_ACTION)
              .select(F.col("user_id").alias("jr_user_id"), F.col("sponsor_invite_code_id").alias("jr_code_id")))
-    people = _eligible_people(T).select(F.col("id").alias("user_id")).distinct()
+    people = _eligible_people(T).select(F.col("id").alias("user_id"))
+    if dedupe_people:
+        people = people.distinct()
     matched = skew_join(joins, people, "jr_user_id", "user_id", "inner")
     out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner")
     none = F.lit(None).cast("string")
@@ -135,8 +143,8 @@ def stack_routes(learner: DataFrame, educator: DataFrame, invited: DataFrame, sp
 def user_attributions(T: Tables) -> DataFrame:
     """A7: every attribution row of every person (many rows per person)."""
     ctx = classroom_context(T)
-    return stack_routes(route_learner(T, ctx), route_educator(T, ctx), route_invited(T, ctx),
-                        route_sponsor_join(T))
+    return stack_routes(route_learner(T, ctx), route_educator(T, ctx), route_invited(T, ctx, True),
+                        route_sponsor_join(T, True))
 
 
 def best_attribution(T: Tables) -> DataFrame:
@@ -149,5 +157,5 @@ def best_attribution(T: Tables) -> DataFrame:
     """
     ctx = top1(classroom_context(T), ["classroom_id"], order_by(ATTRIBUTION_ORDER))
     candidates = (route_learner(T, ctx).unionByName(route_educator(T, ctx))
-                  .unionByName(route_invited(T, ctx)).unionByName(route_sponsor_join(T)))
+                  .unionByName(route_invited(T, ctx, True)).unionByName(route_sponsor_join(T, True)))
     return top1(candidates.where(F.col("user_id").isNotNull()), ["user_id"], order_by(ATTRIBUTION_ORDER))

@@ -116,18 +116,31 @@ def source_unique_checks() -> list[Check]:
     return [_uq(m, c) for m, c in SOURCE_UNIQUE]
 
 
-def model_checks() -> list[Check]:
-    checks = [_nn(m, cols) for m, cols in MODEL_NOT_NULL.items()]
-    checks += [_uq(m, c) for m, c in MODEL_UNIQUE]
-    checks.append(Check("dim_users", lambda df: unique_combination(df, "dim_users", ("user_id", "sponsor_id", "site_id"))))
-    checks.append(Check("dim_users", lambda df: expression_is_true(
+def model_not_null_checks() -> list[Check]:
+    return [_nn(m, cols) for m, cols in MODEL_NOT_NULL.items()]
+
+
+def model_unique_checks() -> list[Check]:
+    return [_uq(m, c) for m, c in MODEL_UNIQUE]
+
+
+def combination_checks() -> list[Check]:
+    return [Check("dim_users", lambda df: unique_combination(df, "dim_users", ("user_id", "sponsor_id", "site_id")))]
+
+
+def expression_checks() -> list[Check]:
+    checks = [Check("dim_users", lambda df: expression_is_true(
         df, "dim_users", "city IS NOT NULL OR country IS NOT NULL",
-        F.col("city").isNotNull() | F.col("country").isNotNull(), F.col("location_id").isNotNull())))
+        F.col("city").isNotNull() | F.col("country").isNotNull(), F.col("location_id").isNotNull()))]
     for col in ("city_latitude", "city_longitude"):
         checks.append(Check("locations_clean", lambda df, col=col: expression_is_true(
             df, "locations_clean", col, F.col(col).isNotNull(), F.col("city").isNotNull())))
     return checks
 
 
+def model_checks() -> list[Check]:
+    return model_not_null_checks() + model_unique_checks() + combination_checks() + expression_checks()
+
+
 def full_suite() -> list[Check]:
     return source_not_null_checks() + source_unique_checks() + model_checks()

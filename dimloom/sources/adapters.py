@@ -326,7 +326,8 @@ def educator_invitation_record(D: dict[str, DataFrame]) -> DataFrame:
     e = F.col("event_id")
     upper = F.concat(F.lit("CUSTOMER"), F.col("user_id").cast("string"), F.lit("@EXAMPLE.com"))
     rows = D["events"].where(F.col("event_type") == "signup").select(
-        F.when(e % 7 == 0, F.concat(F.lit("\t"), upper))
+        F.when(e % 13 == 0, F.lit(None).cast("string"))
+         .when(e % 7 == 0, F.concat(F.lit("\t"), upper))
          .otherwise(F.concat(F.lit("  "), upper, F.lit(" "))).alias("email"),
         _id("cls", e % 200).alias("classroom_id"),
     )
