@@ -54,7 +54,9 @@ def site_context(T: Tables) -> DataFrame:
     codes = T["sponsor_invite_code"].select(F.col("sponsor_id").alias("code_sponsor_id"),
                                             F.col("code").alias("sponsor_code"))
     with_sponsor = skew_join(sites, _sponsors(T), "site_sponsor_id", "sponsor_id", "left")
-    return (skew_join(with_sponsor, codes, "sponsor_id", "code_sponsor_id", "left")
+    # a matched sponsor id equals the site's sponsor id, so the site column bounds its counts
+    return (skew_join(with_sponsor, codes, "sponsor_id", "code_sponsor_id", "left",
+                      keys_from=(sites, "site_sponsor_id"))
             .select("ctx_site_key", "site_name", "sponsor_id", "sponsor_name", "sponsor_code"))
 
 
@@ -64,7 +66,7 @@ def classroom_context(T: Tables) -> DataFrame:
                                   "site_id")
     ccodes = T["classroom_invite_code"].select(F.col("classroom_id").alias("cc_classroom_id"),
                                                F.col("code").alias("classroom_code"))
-    ctx = skew_join(rooms, site_context(T), "site_id", "ctx_site_key", "left")
+    ctx = skew_join(rooms, site_context(T), "site_id", "ctx_site_key", "left", keys_from=(T["classroom"], "site_id"))
     ctx = ctx.join(ccodes, F.col("classroom_id") == F.col("cc_classroom_id"), "left")
     return ctx.select(*CONTEXT_COLUMNS)
 
@@ -103,7 +105,8 @@ def route_invited(T: Tables, context: DataFrame | None = None, dedupe_people: bo
     inv = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"),
                                                  F.col("classroom_id").alias("i_classroom_id"))
     matched = skew_join(inv, people, "i_email", "u_email", "inner")
-    return skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner").select(*ATTRIBUTION_COLUMNS)
+    return (skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner", keys_from=(inv, "i_classroom_id"))
+            .select(*ATTRIBUTION_COLUMNS))
 
 
 def sponsor_code_context(T: Tables) -> DataFrame:
@@ -112,7 +115,7 @@ def sponsor_code_context(T: Tables) -> DataFrame:
                                             F.col("sponsor_id").alias("code_sponsor_id"), "site_id")
     sites = T["user_site"].select(F.col("id").alias("s_site_key"), F.col("name").alias("site_name"))
     with_sponsor = skew_join(codes, _sponsors(T), "code_sponsor_id", "sponsor_id", "left")
-    return (skew_join(with_sponsor, sites, "site_id", "s_site_key", "left")
+    return (skew_join(with_sponsor, sites, "site_id", "s_site_key", "left", keys_from=(codes, "site_id"))
             .select("code_key", "sponsor_id", "sponsor_name", "sponsor_code", "site_id", "site_name"))
 
 
@@ -125,7 +128,7 @@ def route_sponsor_join(T: Tables, dedupe_people: bool = False) -> DataFrame:
     if dedupe_people:
         people = people.distinct()
     matched = skew_join(joins, people, "jr_user_id", "user_id", "inner")
-    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner")
+    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner", keys_from=(joins, "jr_code_id"))
     none = F.lit(None).cast("string")
     return out.select("user_id", "sponsor_id", "sponsor_name", "sponsor_code",
                       none.alias("classroom_id"), none.alias("classroom_name"), none.alias("classroom_code"),

@@ -6,7 +6,8 @@
 per sub-key.  Cold keys join as usual on sub-key 0.  Rows with a null key can never
 match, so they are spread as well instead of all hashing to one reducer.
 
-The hot-key list is broadcast: it holds at most ``rows(large side) / hot_rows`` keys,
+The hot-key list is broadcast: a key is listed only when its sample count reaches half
+its expected share, so the list holds at most ``2 * rows(large side) / hot_rows`` keys,
 which is the size bound.  Salts are a hash of the row's own values, so a retried task
 recomputes exactly the same assignment (no ``rand()``).
 
@@ -18,10 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SALTING_CONF = "spark.dimloom.skew.salting"
 HOT_ROWS_CONF = "spark.dimloom.skew.hotKeyRows"
 SALT_BUCKETS_CONF = "spark.dimloom.skew.saltBuckets"
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_SALT_BUCKETS = 64
+SAMPLE_CONF = "spark.dimloom.skew.sampleFraction"
+DEFAULT_SAMPLE_FRACTION = 0.01
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -29,33 +33,56 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(value) if value else default
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys of ``df[key]`` that occur at least ``hot_rows`` times (column ``__hot_key``)."""
+def _conf_float(df: DataFrame, key: str, default: float) -> float:
+    value = df.sparkSession.conf.get(key, None)
+    return float(value) if value else default
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int, fraction: float = 1.0) -> DataFrame:
+    """Keys of ``df[key]`` that occur about ``hot_rows`` times or more (column ``__hot_key``).
+
+    Counting runs on a fixed-seed Bernoulli sample of ``fraction`` of the rows, so the
+    pre-pass shuffles only that share of the key column.  A key with ``hot_rows`` rows is
+    expected ``hot_rows * fraction`` times in the sample; half of that is the cut-off, so
+    hot keys are found with near certainty.  The sample only decides which keys are
+    salted: every row still takes part in the join.
+    """
+    base = df.select(key).where(F.col(key).isNotNull())
+    if fraction < 1.0:
+        base = base.sample(withReplacement=False, fraction=fraction, seed=17)
+    cut = max(1.0, hot_rows * fraction / 2) if fraction < 1.0 else hot_rows
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("__hot_key"))
+        base.groupBy(F.col(key).alias("__hot_key"))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") >= F.lit(hot_rows))
+        .where(F.col("__n") >= F.lit(cut))
         .select("__hot_key", F.lit(True).alias("__is_hot"))
     )
 
 
 def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
-              hot_rows: int | None = None, salt_buckets: int | None = None) -> DataFrame:
+              hot_rows: int | None = None, salt_buckets: int | None = None,
+              keys_from: tuple[DataFrame, str] | None = None) -> DataFrame:
     """``left.join(right, left[left_key] == right[right_key], how)`` for ``how`` in inner / left.
 
     ``left`` is the side whose keys may be hot; ``right`` is replicated only for hot keys.
-    Column names of the two sides must be disjoint.
+    Column names of the two sides must be disjoint.  ``keys_from=(df, col)`` counts the
+    hot keys on a cheaper relation whose key multiset covers ``left``'s (typically the
+    source column before the joins that led to ``left``); salting a key that turns out
+    not to be hot only costs its replication.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join supports inner and left joins, not {how!r}")
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"skew_join needs disjoint columns, both sides have {sorted(overlap)}")
+    if (left.sparkSession.conf.get(SALTING_CONF, "true") or "true").lower() == "false":
+        return left.join(right, F.col(left_key) == F.col(right_key), how)
     hot_rows = hot_rows or _conf_int(left, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     buckets = salt_buckets or _conf_int(left, SALT_BUCKETS_CONF, DEFAULT_SALT_BUCKETS)
 
-    hot = F.broadcast(hot_keys(left, left_key, hot_rows))
+    key_df, key_col = keys_from if keys_from is not None else (left, left_key)
+    fraction = _conf_float(left, SAMPLE_CONF, DEFAULT_SAMPLE_FRACTION)
+    hot = F.broadcast(hot_keys(key_df, key_col, hot_rows, fraction))
     spread = F.coalesce(F.col("__is_hot"), F.lit(False)) | F.col(left_key).isNull()
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     salted_left = (

@@ -73,9 +73,10 @@ def user_profile(T: Tables, as_of: dt.date | None = None, age_mode: str = "as_co
     ).select(*USER_PROFILE_COLUMNS)
 
 
-def _with_location(people: DataFrame, locations: DataFrame) -> DataFrame:
+def _with_location(people: DataFrame, locations: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
     loc = locations.select(F.col("from_location_id").alias("loc_key"), *LOCATION_FIELDS)
-    return skew_join(people, loc, "location_id", "loc_key", "left").drop("loc_key")
+    src = (keys_from, "location_id") if keys_from is not None else None
+    return skew_join(people, loc, "location_id", "loc_key", "left", keys_from=src).drop("loc_key")
 
 
 def _mask_sponsor(df: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def dim_users(T: Tables, as_of: dt.date | None = None, locations: DataFrame | No
     locs = locations if locations is not None else locations_clean(T)
     best = attribution if attribution is not None else best_attribution(T)
     person = top1(user_profile(T, as_of), ["user_id"], order_by(USER_ORDER))
-    person = _with_location(person, locs)
+    person = _with_location(person, locs, keys_from=T["user_core"])
     a = best.withColumnRenamed("user_id", "a_user_id")
     out = person.join(a, F.col("user_id") == F.col("a_user_id"), "left").drop("a_user_id")
     return _mask_sponsor(out).withColumn("rn", F.lit(1).cast("long")).select(*DIM_USERS_COLUMNS)
