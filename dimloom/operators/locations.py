@@ -64,15 +64,16 @@ def location_components(T: Tables) -> DataFrame:
 def ambiguous_locations(components: DataFrame) -> DataFrame:
     """L2: places with more than one distinct non-null city name among their other cities.
 
-    ``min < max`` over the names equals ``count(distinct name) > 1`` (nulls ignored) and
-    aggregates partially on the map side without a distinct expansion.
+    ``count(distinct)`` is planned as hash aggregates on (place, name) that drop repeated
+    pairs on the map side before the shuffle; string min/max would need a sort-based
+    aggregate instead.
     """
     return (
         components.where(F.col("locationtype_id").isin(*CITY_TYPES)
                          & (F.col("from_location_id") != F.col("to_location_id")))
         .groupBy("from_location_id")
-        .agg(F.min("display_name").alias("lo"), F.max("display_name").alias("hi"))
-        .where(F.col("lo") < F.col("hi"))
+        .agg(F.count_distinct("display_name").alias("n_names"))
+        .where(F.col("n_names") > 1)
         .select("from_location_id")
     )
 
