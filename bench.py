@@ -28,6 +28,8 @@ def main() -> None:
     from dimloom.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
+    if os.environ.get("BENCH_SALTING"):
+        spark.conf.set("spark.dimloom.skew.salting", os.environ["BENCH_SALTING"])
     q = queries()
     times: dict[str, float] = {}
     for name in names:

@@ -162,3 +162,8 @@ def best_attribution(T: Tables) -> DataFrame:
     candidates = (route_learner(T, ctx).unionByName(route_educator(T, ctx))
                   .unionByName(route_invited(T, ctx, True)).unionByName(route_sponsor_join(T, True)))
     return top1(candidates.where(F.col("user_id").isNotNull()), ["user_id"], order_by(ATTRIBUTION_ORDER))
+
+
+def first_attribution(attributions: DataFrame) -> DataFrame:
+    """One row per person from an attributions table (e.g. a stored ``user_attributions``)."""
+    return top1(attributions.where(F.col("user_id").isNotNull()), ["user_id"], order_by(ATTRIBUTION_ORDER))

@@ -62,3 +62,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="dimloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of source data.
+
+    Shuffle partitions start at one per ``target_partition_bytes`` of input (at least
+    200) and AQE coalesces the small ones at runtime, so the widest shuffle (the
+    attribution fan-out and the component joins are a few times the input) still lands
+    near the advisory size per task and sorts/aggregates spill rarely.  Skewed partitions
+    over 4x the median and 256 MB are split by AQE behind the explicit salting.
+    """
+    partitions = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        # Catalyst broadcasts a side only when its estimated size is below this bound
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

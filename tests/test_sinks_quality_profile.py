@@ -58,3 +58,16 @@ def test_profile_counts_rows_and_nulls(spark, tables):
     assert (r.num_rows, r.null_count, r.column_index, r.column_type) == (10, 2, 14, "STRING")
     assert prof[("location_type", "locationtype_id")].column_type == "INT64"
     assert prof[("location_core", "latitude")].column_comment
+
+
+def test_build_check_catalog_cycle(spark, tables):
+    from dimloom.plans.build import build, catalog, check
+
+    out = tempfile.mkdtemp(prefix="dimloom-build-", dir=os.environ.get("TMPDIR", "/tmp"))
+    models = build(spark, tables, out, AS_OF)
+    assert {k: v.count() for k, v in models.items()} == {"locations_clean": 9, "user_attributions": 7, "dim_users": 8}
+    from helpers import srt
+    assert srt(models["dim_users"].collect()) == srt(dim_users(tables, AS_OF).collect())
+    assert all(r.failures == 0 for r in check(tables, models).collect())
+    prof = catalog(tables, models)
+    assert prof.where("table_name = 'dim_users'").count() == 34
