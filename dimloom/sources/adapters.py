@@ -223,7 +223,9 @@ def user_core(D: dict[str, DataFrame]) -> DataFrame:
     )
     race = F.element_at(F.array(*[F.lit(v).cast("string") for v in RACE_VALUES]), (c % len(RACE_VALUES) + 1).cast("int"))
     gender = F.element_at(F.array(*[F.lit(v).cast("string") for v in GENDER_VALUES]), (c % len(GENDER_VALUES) + 1).cast("int"))
-    joined_day = F.date_add(F.lit("2020-01-01").cast("date"), ((c % 1500) + k * (c % 3)).cast("int"))
+    # midnight UTC of 2020-01-01 plus whole days, built from epoch seconds so the instant
+    # does not depend on the session time zone
+    joined = F.timestamp_seconds(F.lit(1577836800) + ((c % 1500) + k * (c % 3)) * 86400)
     rows = base.select(
         _id("u", c).alias("id"),
         F.concat(F.lit("uuid-"), c.cast("string"), F.lit("-"), k.cast("string")).alias("uuid"),
@@ -238,7 +240,7 @@ def user_core(D: dict[str, DataFrame]) -> DataFrame:
         race.alias("race_ethnicity"),
         gender.alias("gender"),
         F.when((c % 9 == 5) | (c % 9 == 8), F.lit("self-described")).otherwise(F.lit(None).cast("string")).alias("self_describe_gender"),
-        F.to_timestamp(joined_day).alias("date_joined"),
+        joined.alias("date_joined"),
         F.when(c % 43 == 0, F.lit(None).cast("boolean")).otherwise(F.col("c_acctbal") * (1 - 2 * k) >= 0).alias("is_active"),
         (c % 97 == 0).alias("is_staff"),
         F.when(c % 29 == 0, F.lit(None).cast("date"))
