@@ -199,7 +199,9 @@ def _models(T, names=("locations_clean", "user_attributions", "dim_users")):
     if "user_attributions" in names:
         out["user_attributions"] = A.user_attributions(T).checkpoint()
     if "dim_users" in names:
-        out["dim_users"] = U.dim_users(T, AS_OF, locations=out["locations_clean"]).checkpoint()
+        # with the attributions stored, the per-person choice is one top-1 over that table
+        attr = A.first_attribution(out["user_attributions"]) if "user_attributions" in out else None
+        out["dim_users"] = U.dim_users(T, AS_OF, locations=out["locations_clean"], attribution=attr).checkpoint()
     return out
 
 
