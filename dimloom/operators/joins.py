@@ -47,16 +47,13 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int, fraction: float = 1.0) -> D
     hot keys are found with near certainty.  The sample only decides which keys are
     salted: every row still takes part in the join.
     """
-    base = df.select(key).where(F.col(key).isNotNull())
+    base = df.selectExpr(f"`{key}` AS __hot_key").where("__hot_key IS NOT NULL")
     if fraction < 1.0:
         base = base.sample(withReplacement=False, fraction=fraction, seed=17)
     cut = max(1.0, hot_rows * fraction / 2) if fraction < 1.0 else hot_rows
-    return (
-        base.groupBy(F.col(key).alias("__hot_key"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") >= F.lit(cut))
-        .select("__hot_key", F.lit(True).alias("__is_hot"))
-    )
+    return (base.groupBy("__hot_key").count()
+            .where(f"count >= {cut}")
+            .selectExpr("__hot_key", "true AS __is_hot"))
 
 
 def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
@@ -76,28 +73,25 @@ def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     if overlap:
         raise ValueError(f"skew_join needs disjoint columns, both sides have {sorted(overlap)}")
     if (left.sparkSession.conf.get(SALTING_CONF, "true") or "true").lower() == "false":
-        return left.join(right, F.col(left_key) == F.col(right_key), how)
+        return left.join(right, left[left_key] == right[right_key], how)
     hot_rows = hot_rows or _conf_int(left, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     buckets = salt_buckets or _conf_int(left, SALT_BUCKETS_CONF, DEFAULT_SALT_BUCKETS)
 
     key_df, key_col = keys_from if keys_from is not None else (left, left_key)
     fraction = _conf_float(left, SAMPLE_CONF, DEFAULT_SAMPLE_FRACTION)
     hot = F.broadcast(hot_keys(key_df, key_col, hot_rows, fraction))
-    spread = F.coalesce(F.col("__is_hot"), F.lit(False)) | F.col(left_key).isNull()
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    salted_left = (
-        left.join(hot, F.col(left_key) == F.col("__hot_key"), "left")
-        .withColumn("__salt", F.when(spread, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)))
-        .drop("__hot_key", "__is_hot")
-    )
-    replicas = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.join(hot, F.col(right_key) == F.col("__hot_key"), "left")
-        .withColumn("__rsalt", F.explode(replicas))
-        .drop("__hot_key", "__is_hot")
-    )
-    cond = (F.col(left_key) == F.col(right_key)) & (F.col("__salt") == F.col("__rsalt"))
-    return salted_left.join(salted_right, cond, how).drop("__salt", "__rsalt")
+    # column names rather than Column objects: each Column costs a JVM round trip
+    left_cols, right_cols = left.columns, right.columns
+    salt = F.expr(
+        f"CASE WHEN coalesce(__is_hot, false) OR `{left_key}` IS NULL "
+        f"THEN pmod(xxhash64({', '.join(f'`{c}`' for c in left_cols)}), {buckets}) ELSE 0 END")
+    salted_left = (left.join(hot, left[left_key] == hot["__hot_key"], "left")
+                   .select(*left_cols, salt.alias("__salt")))
+    replicas = F.expr(f"explode(CASE WHEN __is_hot THEN sequence(0, {buckets - 1}) ELSE array(0) END)")
+    salted_right = (right.join(hot, right[right_key] == hot["__hot_key"], "left")
+                    .select(*right_cols, replicas.alias("__rsalt")))
+    cond = F.expr(f"`{left_key}` = `{right_key}` AND __salt = __rsalt")
+    return salted_left.join(salted_right, cond, how).select(*left_cols, *right_cols)
 
 
 def left_join_fanout(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -21,7 +21,7 @@ def order_by(spec: Sequence[tuple[str, str]]) -> list[Column]:
 
 def top1(df: DataFrame, partition_by: Sequence[str | Column], order_by: Sequence[Column]) -> DataFrame:
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    return df.select("*", F.row_number().over(w).alias("__rn")).where("__rn = 1").drop("__rn")
 
 
 def min_struct(cond: Column | None, *fields: str) -> Column:

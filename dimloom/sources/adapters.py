@@ -395,6 +395,10 @@ def sources_from_driver(spark: SparkSession, sf_dir: str, stage: bool = True) ->
     from ..session import ensure_checkpoint_dir
     from .registry import load_parquet
 
+    app = spark.sparkContext.applicationId
+    cached = _STAGED.get((app, sf_dir))
+    if cached is not None:
+        return dict(cached)
     root = ensure_checkpoint_dir(spark).rstrip("/")
     out_dir = f"{root}/dimloom-sources/{_input_signature(spark, sf_dir)}"
     fs, marker = _jvm_fs(spark, f"{out_dir}/_COMPLETE")
@@ -402,7 +406,13 @@ def sources_from_driver(spark: SparkSession, sf_dir: str, stage: bool = True) ->
         for name, df in adapted_sources(spark, sf_dir).items():
             df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         fs.create(marker, True).close()
-    return load_parquet(spark, out_dir)
+    # The folder name is a content hash of the inputs, so its readers stay valid for the
+    # rest of this application and are reused instead of listing the files again.
+    _STAGED[(app, sf_dir)] = load_parquet(spark, out_dir)
+    return dict(_STAGED[(app, sf_dir)])
+
+
+_STAGED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def materialize_sources(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, DataFrame]:
