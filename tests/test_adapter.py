@@ -30,3 +30,19 @@ def test_address_links_to_at_most_three_cities(spark):
     per_place = (comps.where("to_location_id LIKE 'city%'").groupBy("from_location_id").count()
                  .agg({"count": "max"}).collect()[0][0])
     assert per_place <= 3
+
+
+def test_model_invariants(spark):
+    """One row per place with coordinates; one row per distinct person id."""
+    import __spark_entry__ as E
+
+    from dimloom.sources.adapters import sources_from_driver
+
+    T = sources_from_driver(spark, SF)
+    q = E.queries()
+    with_coords = T["location_core"].where("latitude IS NOT NULL AND longitude IS NOT NULL").select("id").distinct().count()
+    locs = q["loc_clean"](spark, SF)
+    assert locs.count() == with_coords == locs.select("from_location_id").distinct().count()
+    people = T["user_core"].select("id").distinct().count()
+    dim = q["dim_users"](spark, SF)
+    assert dim.count() == people == dim.select("user_id").distinct().count()
