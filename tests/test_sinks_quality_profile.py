@@ -71,3 +71,18 @@ def test_build_check_catalog_cycle(spark, tables):
     assert all(r.failures == 0 for r in check(tables, models).collect())
     prof = catalog(tables, models)
     assert prof.where("table_name = 'dim_users'").count() == 34
+
+
+def test_command_line_cycle(spark):
+    from dimloom.__main__ import main
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    out = tempfile.mkdtemp(prefix="dimloom-cli-", dir=os.environ.get("TMPDIR", "/tmp"))
+    code = main(["--benchmark-dir", sf, "--out", f"{out}/m", "--as-of", "2026-03-10"])
+    checks = spark.read.parquet(f"{out}/m/_checks")
+    assert checks.count() == 21
+    failed = checks.where("failures > 0").count()
+    assert code == (1 if failed else 0)
+    assert spark.read.parquet(f"{out}/m/dim_users").count() == spark.read.parquet(f"{out}/m/dim_users").select("user_id").distinct().count()
