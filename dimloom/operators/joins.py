@@ -73,7 +73,7 @@ def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     if overlap:
         raise ValueError(f"skew_join needs disjoint columns, both sides have {sorted(overlap)}")
     if (left.sparkSession.conf.get(SALTING_CONF, "true") or "true").lower() == "false":
-        return left.join(right, left[left_key] == right[right_key], how)
+        return left.join(right, F.col(left_key) == F.col(right_key), how)
     hot_rows = hot_rows or _conf_int(left, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     buckets = salt_buckets or _conf_int(left, SALT_BUCKETS_CONF, DEFAULT_SALT_BUCKETS)
 
@@ -85,10 +85,10 @@ def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     salt = F.expr(
         f"CASE WHEN coalesce(__is_hot, false) OR `{left_key}` IS NULL "
         f"THEN pmod(xxhash64({', '.join(f'`{c}`' for c in left_cols)}), {buckets}) ELSE 0 END")
-    salted_left = (left.join(hot, left[left_key] == hot["__hot_key"], "left")
+    salted_left = (left.join(hot, F.col(left_key) == F.col("__hot_key"), "left")
                    .select(*left_cols, salt.alias("__salt")))
     replicas = F.expr(f"explode(CASE WHEN __is_hot THEN sequence(0, {buckets - 1}) ELSE array(0) END)")
-    salted_right = (right.join(hot, right[right_key] == hot["__hot_key"], "left")
+    salted_right = (right.join(hot, F.col(right_key) == F.col("__hot_key"), "left")
                     .select(*right_cols, replicas.alias("__rsalt")))
     cond = F.expr(f"`{left_key}` = `{right_key}` AND __salt = __rsalt")
     return salted_left.join(salted_right, cond, how).select(*left_cols, *right_cols)
