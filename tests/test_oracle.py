@@ -32,3 +32,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[0] == "user_id" and df.columns[-1] == "rn"
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["loc_clean", "attr_unified", "attr_sponsor_join", "dim_users"])
+def test_query_matches_oracle_with_forced_salting(spark, con, name):
+    """Hot-key thresholds low enough that countries, states, sites and invite codes are hot."""
+    keys = {"spark.dimloom.skew.hotKeyRows": "5", "spark.dimloom.skew.sampleFraction": "1.0",
+            "spark.dimloom.skew.saltBuckets": "8"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        ok, msg = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert ok, msg
