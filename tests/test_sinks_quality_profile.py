@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from helpers import with_rows
+from helpers import srt, with_rows
 from reference_fixture import AS_OF
 
 from dimloom.operators import quality as Q
@@ -86,3 +86,20 @@ def test_command_line_cycle(spark):
     failed = checks.where("failures > 0").count()
     assert code == (1 if failed else 0)
     assert spark.read.parquet(f"{out}/m/dim_users").count() == spark.read.parquet(f"{out}/m/dim_users").select("user_id").distinct().count()
+
+
+def test_catalog_tables_round_trip(spark, tables):
+    from dimloom.sources import load_catalog
+    from dimloom.sources.sinks import save_table
+
+    loc = tempfile.mkdtemp(prefix="dimloom-db-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS dimloom_test LOCATION '{loc}'")
+    try:
+        for name in SOURCE_NAMES:
+            save_table(tables[name], f"dimloom_test.{name}")
+        T = load_catalog(spark, "dimloom_test")
+        assert srt(locations_clean(T).collect()) == srt(locations_clean(tables).collect())
+        save_table(dim_users(T, AS_OF), "dimloom_test.dim_users", OUTPUT_COMMENTS)
+        assert spark.table("dimloom_test.dim_users").count() == 8
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS dimloom_test CASCADE")
