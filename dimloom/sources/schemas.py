@@ -145,3 +145,24 @@ WAREHOUSE_TYPE_NAMES = {
 
 def warehouse_type(dtype: T.DataType) -> str:
     return WAREHOUSE_TYPE_NAMES.get(type(dtype), dtype.simpleString().upper())
+
+
+# Table descriptions persisted by ``sinks.save_table``.
+TABLE_COMMENTS = {
+    "user_core": "people: profile, demographics, account state and place",
+    "user_join_record": "join actions of people with the sponsor invite code used",
+    "user_site": "sites and the sponsor that owns each",
+    "user_sponsor": "sponsors",
+    "classroom": "classrooms and their site",
+    "classroom_invite_code": "invite codes of classrooms",
+    "educator_classroom_membership": "educators teaching in classrooms",
+    "educator_invitation_record": "classroom invitations sent to an email address",
+    "learner_classroom_membership": "learners enrolled in classrooms",
+    "location_core": "places with names and coordinates",
+    "location_address_components": "edges from a place to each of its ancestor places",
+    "location_type": "types of places (country, city, state, county, ...)",
+    "sponsor_invite_code": "sponsor invite codes with their sponsor and site",
+    "locations_clean": "one row per place with coordinates: resolved city, county, state, country",
+    "user_attributions": "every route linking a person to a sponsor, site and classroom",
+    "dim_users": "one row per person: profile, resolved place and chosen attribution",
+}

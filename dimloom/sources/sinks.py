@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .schemas import TABLE_COMMENTS
+
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Attach ``comments[col]`` as the column's ``comment`` metadata (kept by parquet and the catalog)."""
@@ -26,9 +28,15 @@ def write_table(df: DataFrame, path: str, comments: Mapping[str, str] | None = N
     writer.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, comments: Mapping[str, str] | None = None) -> None:
-    """Materialise ``df`` as a catalog table ``name`` (full replace)."""
+def save_table(df: DataFrame, name: str, comments: Mapping[str, str] | None = None,
+               table_comment: str | None = None) -> None:
+    """Materialise ``df`` as a catalog table ``name`` (full replace), with an optional
+    table description (defaults to ``TABLE_COMMENTS`` for the known table names)."""
     with_comments(df, comments or {}).write.mode("overwrite").saveAsTable(name)
+    text = table_comment if table_comment is not None else TABLE_COMMENTS.get(name.split(".")[-1])
+    if text:
+        escaped = text.replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{escaped}'")
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:

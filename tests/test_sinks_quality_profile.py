@@ -101,5 +101,8 @@ def test_catalog_tables_round_trip(spark, tables):
         assert srt(locations_clean(T).collect()) == srt(locations_clean(tables).collect())
         save_table(dim_users(T, AS_OF), "dimloom_test.dim_users", OUTPUT_COMMENTS)
         assert spark.table("dimloom_test.dim_users").count() == 8
+        info = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED dimloom_test.dim_users").collect()}
+        assert "one row per person" in (info.get("Comment") or "")
+        assert spark.table("dimloom_test.dim_users").schema["city"].metadata["comment"] == OUTPUT_COMMENTS["city"]
     finally:
         spark.sql("DROP DATABASE IF EXISTS dimloom_test CASCADE")
