@@ -58,7 +58,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int, fraction: float = 1.0) -> D
 
 def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
               hot_rows: int | None = None, salt_buckets: int | None = None,
-              keys_from: tuple[DataFrame, str] | None = None) -> DataFrame:
+              keys_from: tuple[DataFrame, str] | None = None, sample_keys: bool = True) -> DataFrame:
     """``left.join(right, left[left_key] == right[right_key], how)`` for ``how`` in inner / left.
 
     ``left`` is the side whose keys may be hot; ``right`` is replicated only for hot keys.
@@ -66,6 +66,12 @@ def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     hot keys on a cheaper relation whose key multiset covers ``left``'s (typically the
     source column before the joins that led to ``left``); salting a key that turns out
     not to be hot only costs its replication.
+
+    Both sides must see the same hot-key list.  It is one broadcast shared by both joins
+    (exchange reuse), and the sample is taken from the key source, which callers keep to
+    a file scan with filters and projections, whose row order and hence sample are fixed.
+    ``sample_keys=False`` counts exactly, for key sources computed after a shuffle; exact
+    counting is also used whenever exchange reuse is switched off.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join supports inner and left joins, not {how!r}")
@@ -78,7 +84,8 @@ def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     buckets = salt_buckets or _conf_int(left, SALT_BUCKETS_CONF, DEFAULT_SALT_BUCKETS)
 
     key_df, key_col = keys_from if keys_from is not None else (left, left_key)
-    fraction = _conf_float(left, SAMPLE_CONF, DEFAULT_SAMPLE_FRACTION)
+    reuse = (left.sparkSession.conf.get("spark.sql.exchange.reuse", "true") or "true").lower() == "true"
+    fraction = _conf_float(left, SAMPLE_CONF, DEFAULT_SAMPLE_FRACTION) if sample_keys and reuse else 1.0
     hot = F.broadcast(hot_keys(key_df, key_col, hot_rows, fraction))
     # column names rather than Column objects: each Column costs a JVM round trip
     left_cols, right_cols = left.columns, right.columns
@@ -102,7 +109,8 @@ def left_join_fanout(left: DataFrame, right: DataFrame, left_key: str, right_key
     match are added back through an anti join against the distinct right keys (a
     pre-aggregated, skew-free shuffle).  Equal to ``left.join(right, ..., "left")``.
     """
-    matched = skew_join(right, left, right_key, left_key, "inner", hot_rows, salt_buckets)
+    # ``right`` may be computed after a shuffle, so its keys are counted exactly
+    matched = skew_join(right, left, right_key, left_key, "inner", hot_rows, salt_buckets, sample_keys=False)
     right_keys = right.where(F.col(right_key).isNotNull()).select(F.col(right_key).alias("__rk")).distinct()
     unmatched = left.join(right_keys, F.col(left_key) == F.col("__rk"), "left_anti")
     for field in right.schema.fields:

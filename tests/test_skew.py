@@ -57,3 +57,19 @@ def test_pipeline_same_with_forced_salting(spark, tables, forced):
     finally:
         spark.conf.unset("spark.dimloom.skew.salting")
     assert salted == plain
+
+
+def test_sampled_hot_keys_are_found_and_reused(spark):
+    """A key holding a third of the rows is found from a 10% sample, and the salted join
+    still returns every match (the hot list is one shared evaluation)."""
+    left = spark.range(30000).selectExpr("id AS lid", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS lk")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3)], "rk string, rv int")
+    spark.conf.set("spark.dimloom.skew.sampleFraction", "0.1")
+    try:
+        hot = {r["__hot_key"] for r in hot_keys(left, "lk", 5000, 0.1).collect()}
+        assert hot == {"hot"}
+        got = skew_join(left, right, "lk", "rk", "left", hot_rows=5000, salt_buckets=16)
+        assert got.count() == 20000 + 2 * 10000 + 0  # cold keys once (no match), hot rows twice
+        assert got.where("rv IS NOT NULL").count() == 2 * 10000 + 1
+    finally:
+        spark.conf.unset("spark.dimloom.skew.sampleFraction")
