@@ -47,3 +47,16 @@ def test_scan_reads_only_needed_columns(spark):
 def test_hot_key_list_is_broadcast_from_a_sample(spark):
     p = plan(E.queries()["loc_components"](spark, SF))
     assert "Sample" in p and "BroadcastExchange" in p
+
+
+def test_hot_key_list_is_evaluated_once(spark):
+    """Both sides of a salted join read one broadcast of the hot-key list."""
+    from dimloom.operators.joins import skew_join
+
+    left = spark.range(2000).selectExpr("id AS lid", "CAST(id % 7 AS STRING) AS k")
+    right = spark.range(50).selectExpr("CAST(id AS STRING) AS rk", "id AS rv")
+    df = skew_join(left, right, "k", "rk", "left", hot_rows=100, salt_buckets=4)
+    assert df.count() == 2000
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final and "ReusedExchange" in final
