@@ -71,19 +71,31 @@ def classroom_context(T: Tables) -> DataFrame:
     return ctx.select(*CONTEXT_COLUMNS)
 
 
-def _membership_route(memberships: DataFrame, context: DataFrame) -> DataFrame:
+def _membership_route(memberships: DataFrame, context: DataFrame, dedupe: bool) -> DataFrame:
     m = memberships.select("user_id", F.col("classroom_id").alias("m_classroom_id"))
-    return skew_join(m, context, "m_classroom_id", "classroom_id", "left").select(*ATTRIBUTION_COLUMNS)
+    if dedupe:
+        # repeated (person, classroom) pairs collapse map-side before the code fan-out
+        m = m.distinct()
+    return (skew_join(m, context, "m_classroom_id", "classroom_id", "left",
+                      keys_from=(memberships, "classroom_id"))
+            .select(*ATTRIBUTION_COLUMNS))
 
 
-def route_learner(T: Tables, context: DataFrame | None = None) -> DataFrame:
-    """A2: learner memberships; a membership of a missing classroom keeps a row of nulls."""
-    return _membership_route(T["learner_classroom_membership"], context if context is not None else classroom_context(T))
+def route_learner(T: Tables, context: DataFrame | None = None, dedupe_members: bool = False) -> DataFrame:
+    """A2: learner memberships; a membership of a missing classroom keeps a row of nulls.
 
+    Every membership row gives its rows, as in the source; ``dedupe_members`` drops
+    repeated (person, classroom) pairs first, for callers that take a distinct or a
+    first row afterwards.
+    """
+    ctx = context if context is not None else classroom_context(T)
+    return _membership_route(T["learner_classroom_membership"], ctx, dedupe_members)
 
-def route_educator(T: Tables, context: DataFrame | None = None) -> DataFrame:
+
+def route_educator(T: Tables, context: DataFrame | None = None, dedupe_members: bool = False) -> DataFrame:
     """A3: educator memberships, same lookups."""
-    return _membership_route(T["educator_classroom_membership"], context if context is not None else classroom_context(T))
+    ctx = context if context is not None else classroom_context(T)
+    return _membership_route(T["educator_classroom_membership"], ctx, dedupe_members)
 
 
 def _eligible_people(T: Tables) -> DataFrame:
@@ -146,7 +158,7 @@ def stack_routes(learner: DataFrame, educator: DataFrame, invited: DataFrame, sp
 def user_attributions(T: Tables) -> DataFrame:
     """A7: every attribution row of every person (many rows per person)."""
     ctx = classroom_context(T)
-    return stack_routes(route_learner(T, ctx), route_educator(T, ctx), route_invited(T, ctx, True),
+    return stack_routes(route_learner(T, ctx, True), route_educator(T, ctx, True), route_invited(T, ctx, True),
                         route_sponsor_join(T, True))
 
 
@@ -159,7 +171,7 @@ def best_attribution(T: Tables) -> DataFrame:
     membership count.
     """
     ctx = top1(classroom_context(T), ["classroom_id"], order_by(ATTRIBUTION_ORDER))
-    candidates = (route_learner(T, ctx).unionByName(route_educator(T, ctx))
+    candidates = (route_learner(T, ctx, True).unionByName(route_educator(T, ctx, True))
                   .unionByName(route_invited(T, ctx, True)).unionByName(route_sponsor_join(T, True)))
     return top1(candidates.where(F.col("user_id").isNotNull()), ["user_id"], order_by(ATTRIBUTION_ORDER))
 
