@@ -107,17 +107,19 @@ def route_invited(T: Tables, context: DataFrame | None = None, dedupe_people: bo
     """A4: invitations matched to people by trimmed, lower-cased email; classroom must exist.
 
     A person with several rows of the same email matches once per row, as in the source.
-    ``dedupe_people`` drops those copies before the shuffle; only callers that take a
-    distinct or first row afterwards may set it.
+    ``dedupe_people`` drops repeated people and repeated invitations before the shuffle;
+    only callers that take a distinct or first row afterwards may set it.
     """
     ctx = context if context is not None else classroom_context(T)
     people = _eligible_people(T).select(normalize_email("email").alias("u_email"), F.col("id").alias("user_id"))
-    if dedupe_people:
-        people = people.distinct()
-    inv = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"),
+    raw = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"),
                                                  F.col("classroom_id").alias("i_classroom_id"))
-    matched = skew_join(inv, people, "i_email", "u_email", "inner")
-    return (skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner", keys_from=(inv, "i_classroom_id"))
+    inv = raw
+    if dedupe_people:
+        people, inv = people.distinct(), raw.distinct()
+    # hot keys are counted on the scan (fixed row order), not on the de-duplicated rows
+    matched = skew_join(inv, people, "i_email", "u_email", "inner", keys_from=(raw, "i_email"))
+    return (skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner", keys_from=(raw, "i_classroom_id"))
             .select(*ATTRIBUTION_COLUMNS))
 
 
@@ -134,13 +136,14 @@ def sponsor_code_context(T: Tables) -> DataFrame:
 def route_sponsor_join(T: Tables, dedupe_people: bool = False) -> DataFrame:
     """A5: 'userjoins' records of eligible people with an existing sponsor code; the site
     is the code's own and the classroom columns are null.  ``dedupe_people`` as in A4."""
-    joins = (T["user_join_record"].where(F.col("action_type") == JOIN_ACTION)
-             .select(F.col("user_id").alias("jr_user_id"), F.col("sponsor_invite_code_id").alias("jr_code_id")))
+    raw = (T["user_join_record"].where(F.col("action_type") == JOIN_ACTION)
+           .select(F.col("user_id").alias("jr_user_id"), F.col("sponsor_invite_code_id").alias("jr_code_id")))
     people = _eligible_people(T).select(F.col("id").alias("user_id"))
+    joins = raw
     if dedupe_people:
-        people = people.distinct()
-    matched = skew_join(joins, people, "jr_user_id", "user_id", "inner")
-    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner", keys_from=(joins, "jr_code_id"))
+        people, joins = people.distinct(), raw.distinct()
+    matched = skew_join(joins, people, "jr_user_id", "user_id", "inner", keys_from=(raw, "jr_user_id"))
+    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner", keys_from=(raw, "jr_code_id"))
     none = F.lit(None).cast("string")
     return out.select("user_id", "sponsor_id", "sponsor_name", "sponsor_code",
                       none.alias("classroom_id"), none.alias("classroom_name"), none.alias("classroom_code"),
