@@ -21,7 +21,7 @@ HEADLINE = ("loc_clean", "attr_unified", "dim_users", "dq_suite")
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = tuple(os.environ["BENCH_QUERIES"].split(",")) if os.environ.get("BENCH_QUERIES") else HEADLINE
 
     from dimloom.plans.catalog import queries
