@@ -71,31 +71,21 @@ def classroom_context(T: Tables) -> DataFrame:
     return ctx.select(*CONTEXT_COLUMNS)
 
 
-def _membership_route(memberships: DataFrame, context: DataFrame, dedupe: bool) -> DataFrame:
+def _membership_route(memberships: DataFrame, context: DataFrame) -> DataFrame:
     m = memberships.select("user_id", F.col("classroom_id").alias("m_classroom_id"))
-    if dedupe:
-        # repeated (person, classroom) pairs collapse map-side before the code fan-out
-        m = m.distinct()
-    return (skew_join(m, context, "m_classroom_id", "classroom_id", "left",
-                      keys_from=(memberships, "classroom_id"))
-            .select(*ATTRIBUTION_COLUMNS))
-
+    return skew_join(m, context, "m_classroom_id", "classroom_id", "left").select(*ATTRIBUTION_COLUMNS)
 
-def route_learner(T: Tables, context: DataFrame | None = None, dedupe_members: bool = False) -> DataFrame:
-    """A2: learner memberships; a membership of a missing classroom keeps a row of nulls.
 
-    Every membership row gives its rows, as in the source; ``dedupe_members`` drops
-    repeated (person, classroom) pairs first, for callers that take a distinct or a
-    first row afterwards.
-    """
+def route_learner(T: Tables, context: DataFrame | None = None) -> DataFrame:
+    """A2: learner memberships; a membership of a missing classroom keeps a row of nulls."""
     ctx = context if context is not None else classroom_context(T)
-    return _membership_route(T["learner_classroom_membership"], ctx, dedupe_members)
+    return _membership_route(T["learner_classroom_membership"], ctx)
 
 
-def route_educator(T: Tables, context: DataFrame | None = None, dedupe_members: bool = False) -> DataFrame:
+def route_educator(T: Tables, context: DataFrame | None = None) -> DataFrame:
     """A3: educator memberships, same lookups."""
     ctx = context if context is not None else classroom_context(T)
-    return _membership_route(T["educator_classroom_membership"], ctx, dedupe_members)
+    return _membership_route(T["educator_classroom_membership"], ctx)
 
 
 def _eligible_people(T: Tables) -> DataFrame:
@@ -103,23 +93,20 @@ def _eligible_people(T: Tables) -> DataFrame:
     return T["user_core"].where(F.col("type") != INDEPENDENT_LEARNER)
 
 
-def route_invited(T: Tables, context: DataFrame | None = None, dedupe_people: bool = False) -> DataFrame:
+def route_invited(T: Tables, context: DataFrame | None = None) -> DataFrame:
     """A4: invitations matched to people by trimmed, lower-cased email; classroom must exist.
 
-    A person with several rows of the same email matches once per row, as in the source.
-    ``dedupe_people`` drops repeated people and repeated invitations before the shuffle;
-    only callers that take a distinct or first row afterwards may set it.
+    A person with several rows of the same email matches once per row, as in the source;
+    the distinct of ``stack_routes`` removes such repeats map-side first.  De-duplicating
+    the inputs here would cost a full extra shuffle of them for a usually small saving.
     """
     ctx = context if context is not None else classroom_context(T)
     people = _eligible_people(T).select(normalize_email("email").alias("u_email"), F.col("id").alias("user_id"))
-    raw = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"),
+    inv = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"),
                                                  F.col("classroom_id").alias("i_classroom_id"))
-    inv = raw
-    if dedupe_people:
-        people, inv = people.distinct(), raw.distinct()
-    # hot keys are counted on the scan (fixed row order), not on the de-duplicated rows
-    matched = skew_join(inv, people, "i_email", "u_email", "inner", keys_from=(raw, "i_email"))
-    return (skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner", keys_from=(raw, "i_classroom_id"))
+    matched = skew_join(inv, people, "i_email", "u_email", "inner")
+    # the matched rows follow a shuffle, so their hot classrooms are counted on the scan
+    return (skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner", keys_from=(inv, "i_classroom_id"))
             .select(*ATTRIBUTION_COLUMNS))
 
 
@@ -133,17 +120,14 @@ def sponsor_code_context(T: Tables) -> DataFrame:
             .select("code_key", "sponsor_id", "sponsor_name", "sponsor_code", "site_id", "site_name"))
 
 
-def route_sponsor_join(T: Tables, dedupe_people: bool = False) -> DataFrame:
+def route_sponsor_join(T: Tables) -> DataFrame:
     """A5: 'userjoins' records of eligible people with an existing sponsor code; the site
-    is the code's own and the classroom columns are null.  ``dedupe_people`` as in A4."""
-    raw = (T["user_join_record"].where(F.col("action_type") == JOIN_ACTION)
-           .select(F.col("user_id").alias("jr_user_id"), F.col("sponsor_invite_code_id").alias("jr_code_id")))
+    is the code's own and the classroom columns are null."""
+    joins = (T["user_join_record"].where(F.col("action_type") == JOIN_ACTION)
+             .select(F.col("user_id").alias("jr_user_id"), F.col("sponsor_invite_code_id").alias("jr_code_id")))
     people = _eligible_people(T).select(F.col("id").alias("user_id"))
-    joins = raw
-    if dedupe_people:
-        people, joins = people.distinct(), raw.distinct()
-    matched = skew_join(joins, people, "jr_user_id", "user_id", "inner", keys_from=(raw, "jr_user_id"))
-    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner", keys_from=(raw, "jr_code_id"))
+    matched = skew_join(joins, people, "jr_user_id", "user_id", "inner")
+    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner", keys_from=(joins, "jr_code_id"))
     none = F.lit(None).cast("string")
     return out.select("user_id", "sponsor_id", "sponsor_name", "sponsor_code",
                       none.alias("classroom_id"), none.alias("classroom_name"), none.alias("classroom_code"),
@@ -161,8 +145,8 @@ def stack_routes(learner: DataFrame, educator: DataFrame, invited: DataFrame, sp
 def user_attributions(T: Tables) -> DataFrame:
     """A7: every attribution row of every person (many rows per person)."""
     ctx = classroom_context(T)
-    return stack_routes(route_learner(T, ctx, True), route_educator(T, ctx, True), route_invited(T, ctx, True),
-                        route_sponsor_join(T, True))
+    return stack_routes(route_learner(T, ctx), route_educator(T, ctx), route_invited(T, ctx),
+                        route_sponsor_join(T))
 
 
 def best_attribution(T: Tables) -> DataFrame:
@@ -174,8 +158,8 @@ def best_attribution(T: Tables) -> DataFrame:
     membership count.
     """
     ctx = top1(classroom_context(T), ["classroom_id"], order_by(ATTRIBUTION_ORDER))
-    candidates = (route_learner(T, ctx, True).unionByName(route_educator(T, ctx, True))
-                  .unionByName(route_invited(T, ctx, True)).unionByName(route_sponsor_join(T, True)))
+    candidates = (route_learner(T, ctx).unionByName(route_educator(T, ctx))
+                  .unionByName(route_invited(T, ctx)).unionByName(route_sponsor_join(T)))
     return top1(candidates.where(F.col("user_id").isNotNull()), ["user_id"], order_by(ATTRIBUTION_ORDER))
 
 
