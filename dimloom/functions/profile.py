@@ -42,10 +42,11 @@ def _col(c: Column | str) -> Column:
 
 
 def user_type_name(type_code: Column | str) -> Column:
+    """Label of a user type code; unknown or null codes give null."""
     t = _col(type_code)
-    out = F.lit(None).cast("string")
-    for code, label in reversed(USER_TYPE_NAMES):
-        out = F.when(t == code, F.lit(label)).otherwise(out)
+    out = F.when(t == USER_TYPE_NAMES[0][0], F.lit(USER_TYPE_NAMES[0][1]))
+    for code, label in USER_TYPE_NAMES[1:]:
+        out = out.when(t == code, F.lit(label))
     return out
 
 
@@ -62,18 +63,23 @@ def is_test_user(first_name: Column | str, last_name: Column | str, email: Colum
 
 
 def race_category(race: Column | str) -> Column:
+    """Race category of a comma-separated answer, rules tested in this order:
+
+    no answer or any 'prefer not to say' (any case) -> Prefer Not To Say; more than one
+    group named -> Multiracial; the exact Hispanic and Black answers; any South or East
+    Asian -> Asian; the remaining exact answers; everything else -> Other.  Group tests
+    are case-sensitive substring tests, so 'Asian' or 'Hispanic' alone end as Other.
+    """
     r = _col(race)
     n_groups = sum((F.when(_any_contains(r, subs), 1).otherwise(0) for subs in RACE_GROUPS), F.lit(0))
-    asian = r.contains("South Asian") | r.contains("East Asian")
-    out = F.lit("Other")
-    for exact, label in reversed(RACE_EXACT_AFTER_ASIAN):
-        out = F.when(r == exact, F.lit(label)).otherwise(out)
-    out = F.when(asian, F.lit("Asian")).otherwise(out)
-    for exact, label in reversed(RACE_EXACT):
-        out = F.when(r == exact, F.lit(label)).otherwise(out)
-    out = F.when(n_groups > 1, F.lit("Multiracial")).otherwise(out)
-    prefer_not = F.lower(r).contains("prefer not to say") | r.isNull()
-    return F.when(prefer_not, F.lit(PREFER_NOT)).otherwise(out)
+    out = F.when(r.isNull() | F.lower(r).contains("prefer not to say"), F.lit(PREFER_NOT))
+    out = out.when(n_groups > 1, F.lit("Multiracial"))
+    for exact, label in RACE_EXACT:
+        out = out.when(r == exact, F.lit(label))
+    out = out.when(r.contains("South Asian") | r.contains("East Asian"), F.lit("Asian"))
+    for exact, label in RACE_EXACT_AFTER_ASIAN:
+        out = out.when(r == exact, F.lit(label))
+    return out.otherwise(F.lit("Other"))
 
 
 def _any_contains(c: Column, subs: tuple[str, ...]) -> Column:
@@ -84,14 +90,22 @@ def _any_contains(c: Column, subs: tuple[str, ...]) -> Column:
 
 
 def gender_category(gender: Column | str) -> Column:
+    """Gender summary of a multi-select answer, rules tested in this order:
+
+    no answer or exactly 'Prefer not to say' -> Prefer Not To Say; self-description, or
+    both Man and Woman, or exactly Non-binary -> Non-binary; exactly Man / Woman -> itself;
+    anything else (e.g. 'Man,Non-binary') -> Prefer Not To Say.
+    """
     g = _col(gender)
-    out = F.lit(PREFER_NOT)
-    out = F.when(g == "Woman", F.lit("Woman")).otherwise(out)
-    out = F.when(g == "Man", F.lit("Man")).otherwise(out)
-    out = F.when(g == "Non-binary", F.lit("Non-binary")).otherwise(out)
-    out = F.when(g.contains("Man") & g.contains("Woman"), F.lit("Non-binary")).otherwise(out)
-    out = F.when(g.contains("Prefer to self-describe"), F.lit("Non-binary")).otherwise(out)
-    return F.when((g == "Prefer not to say") | g.isNull(), F.lit(PREFER_NOT)).otherwise(out)
+    return (
+        F.when(g.isNull() | (g == "Prefer not to say"), F.lit(PREFER_NOT))
+        .when(g.contains("Prefer to self-describe"), F.lit("Non-binary"))
+        .when(g.contains("Man") & g.contains("Woman"), F.lit("Non-binary"))
+        .when(g == "Non-binary", F.lit("Non-binary"))
+        .when(g == "Man", F.lit("Man"))
+        .when(g == "Woman", F.lit("Woman"))
+        .otherwise(F.lit(PREFER_NOT))
+    )
 
 
 def account_status(is_active: Column | str) -> Column:
