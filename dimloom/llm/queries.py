@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, simhash
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +22,42 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
+        "op6_decontaminate": op6_decontaminate,
     }
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+             list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(13, len(w)) AS n,
+             unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1),
+                                   p -> array_to_string(w[p : p + 12], ' '))) AS gram FROM b WHERE len(w) > 0),
+p AS (SELECT rid, n, unnest(range(1, len(w) - n + 2)) AS pos, w
+      FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n),
+h AS (SELECT rid, p.n, pos, item_id FROM p JOIN g ON g.n = p.n AND g.gram = array_to_string(w[pos : pos + p.n - 1], ' ')),
+hit AS (SELECT rid, count(DISTINCT x) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + n)) AS x FROM h) GROUP BY rid),
+it AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+       FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS s FROM h WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontaminate": OP6_SQL}
