@@ -39,13 +39,13 @@ def queries() -> dict[str, Query]:
 
 OP6_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
-             list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM benchmark),
+             [w for w in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> ''] AS w FROM documents),
+b AS (SELECT item_id, [w for w in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> ''] AS w FROM benchmark),
 g AS (SELECT DISTINCT item_id, least(13, len(w)) AS n,
-             unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1),
-                                   p -> array_to_string(w[p : p + 12], ' '))) AS gram FROM b WHERE len(w) > 0),
+             unnest([array_to_string(w[p : p + 12], ' ')
+                     FOR p IN range(1, greatest(len(w) - 12, 1) + 1)]) AS gram FROM b WHERE len(w) > 0),
 p AS (SELECT rid, n, unnest(range(1, len(w) - n + 2)) AS pos, w
       FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n),
 h AS (SELECT rid, p.n, pos, item_id FROM p JOIN g ON g.n = p.n AND g.gram = array_to_string(w[pos : pos + p.n - 1], ' ')),
