@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, simhash, tokens
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.with_token_counts(docs, public_tokenizers.path(vocabulary), limit=2048)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -33,6 +41,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
+        "op4_token_counts": op4_token_counts,
         "op6_decontaminate": op6_decontaminate,
     }
 
