@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash, tokens
+from . import decontaminate, language, simhash, tokens
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(language.fold() != 0))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(language.fold() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:
     import public_tokenizers
 
@@ -41,6 +48,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
+        "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
         "op6_decontaminate": op6_decontaminate,
     }
