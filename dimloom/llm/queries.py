@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, simhash, tokens
+from . import decontaminate, language, order_minhash, simhash, tokens
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,12 +45,19 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "contaminated")
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.fingerprints(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", order_minhash.as_text("sig").alias("fingerprint"),
+                        order_minhash.as_text("edited_sig").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
         "op6_decontaminate": op6_decontaminate,
+        "op10_order_minhash": op10_order_minhash,
     }
 
 
