@@ -71,15 +71,21 @@ def signature(df: DataFrame, text: str, out: str, k: int = K, select: int = SELE
     # within its bucket a hash is kept below this bound; all are kept of short texts
     bound = f"cast({float(1 << low)} * least(1.0D, {float(KEPT * functions)} / greatest(size(_om_h), 1)) AS bigint)"
     kept = hashed.selectExpr("*", f"{bound} AS _om_t").selectExpr(
-        "*", f"filter(_om_h, x -> (x & {(1 << low) - 1}) < _om_t) AS _om_k")
-
-    def least(values: str) -> str:
-        return (f"transform(sequence(0L, {functions - 1}L), j -> "
-                f"slice(sort_array(transform({values}, x -> x ^ shiftleft(j, {low}))), 1, {select}))")
-
-    chosen = kept.selectExpr(*others, "_om_h", "_om_t", f"{least('_om_k')} AS _om_c")
-    whole = f"(size(_om_h) <= {KEPT * functions} OR forall(_om_c, c -> size(c) = {select} AND get(c, {select - 1}) < _om_t))"
-    chosen = chosen.selectExpr(*others, f"CASE WHEN {whole} THEN _om_c ELSE {least('_om_h')} END AS _om_c")
+        "*", f"sort_array(filter(_om_h, x -> (x & {(1 << low) - 1}) < _om_t)) AS _om_k")
+    starts = kept.selectExpr("*", f"""
+        CASE WHEN size(_om_k) = 0 THEN cast(array() AS array<int>) ELSE
+        filter(sequence(0, size(_om_k) - 1), i -> i = 0 OR
+               shiftright(get(_om_k, i), {low}) <> shiftright(get(_om_k, i - 1), {low})) END AS _om_b""")
+
+    buckets = starts.selectExpr("*", f"transform(_om_b, i -> shiftright(get(_om_k, i), {low})) AS _om_p",
+                                "array_append(_om_b, size(_om_k)) AS _om_e")
+    # a bucket that holds enough has the least values of its hash function first; else all values compete
+    at = "cast(array_position(_om_p, j) AS int)"
+    enough = f"{at} > 0 AND get(_om_e, {at}) - get(_om_e, {at} - 1) >= {select}"
+    own = f"transform(sequence(0, {select - 1}), d -> get(_om_k, get(_om_e, {at} - 1) + d) ^ shiftleft(j, {low}))"
+    least = f"slice(sort_array(transform(_om_h, x -> x ^ shiftleft(j, {low}))), 1, {select})"
+    chosen = buckets.selectExpr(*others, f"transform(sequence(0L, {functions - 1}L), j -> "
+                                f"CASE WHEN {enough} THEN {own} ELSE {least} END) AS _om_c")
     in_order = f"sort_array(transform(c, x -> shiftleft(x & {MAX_POSITION}, {HASH_BITS}) + (shiftright(x, {POSITION_BITS}) ^ shiftleft(j, {HASH_BITS - bits}))))"
     component = f"cast(xxhash64(transform({in_order}, y -> y & {(1 << HASH_BITS) - 1})) & 4294967295L AS bigint)"
     component = component.replace("shiftleft(j,", "shiftleft(cast(j AS bigint),")
