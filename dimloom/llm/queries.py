@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, order_minhash, simhash, tokens
+from . import decontaminate, language, line_dedup, order_minhash, simhash, tokens
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "contaminated")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per line: the place of the first line of its class, and whether it stays."""
+    found = line_dedup.classify(read_table(spark, sf_dir, "documents"), max_edits=1, min_chars=20)
+    return found.select("doc_id", "line_no", "first_doc_id", "first_line_no", "kept")
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.fingerprints(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", "edited_sha256", order_minhash.as_text("sig").alias("fingerprint"),
@@ -57,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
         "op6_decontaminate": op6_decontaminate,
+        "op7_line_dedup": op7_line_dedup,
         "op10_order_minhash": op10_order_minhash,
     }
 
