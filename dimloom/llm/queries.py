@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, order_minhash, simhash, tokens
+from . import decontaminate, language, line_dedup, mixing, order_minhash, simhash, tokens
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "line_no", "first_doc_id", "first_line_no", "kept")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a mix of the sources by the square roots of their sizes."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, block_size=1 << 18).select("doc_id", "source", *mixing.OUT)
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.fingerprints(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", "edited_sha256", order_minhash.as_text("sig").alias("fingerprint"),
@@ -64,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op4_token_counts": op4_token_counts,
         "op6_decontaminate": op6_decontaminate,
         "op7_line_dedup": op7_line_dedup,
+        "op8_mixing": op8_mixing,
         "op10_order_minhash": op10_order_minhash,
     }
 
