@@ -1,27 +1,66 @@
 """Corpus pipeline: documents through the stages below, each written as Parquet and read again.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of ``documents``;
-the last one may add columns.
+the last one adds each document's place in the mix.  Each stage works on all that its
+predecessor kept:
+
+1. ``language``: documents without a letter, or that resemble none of the learned languages
+   (score below ``MIN_SCORE``), go; a document in any learned language stays.
+2. ``line_dedup``: of lines of 20 characters or more that are equal, or one edit apart, the first
+   in the corpus stays; documents that lose all their lines go.
+3. ``near_duplicates``: one document of each SimHash class stays (3-word shingles, 3 bits).
+4. ``decontaminate``: documents with at least one word in twenty inside benchmark windows go.
+5. ``mix``: every document gets its place in the mix of the sources.
+
+Nulls, empty and very long texts, ties and repeated rows are treated as the operators state.  An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dimloom.llm import simhash
+from dimloom.llm import decontaminate, language, line_dedup, mixing, simhash
 from dimloom.llm.common import read_table, stored
 
+MIN_SCORE = 0.25
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language.fit(docs.where(language.fold() != 0))
+    found = language.identify(docs, model)
+    if not model.languages:  # nothing to learn from: nothing to judge by but letters
+        return found.where(F.col("text").rlike(r"\p{L}")).select(docs.columns)
+    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = line_dedup.remove_repeats(docs, max_edits=1, min_chars=20)
+    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash class stays (3-word shingles, at most 3 differing bits)."""
+
+def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, block_size=1 << 18)
+
+
 STAGES = [
-    ("near_duplicates", near_duplicates),
+    ("language", language_stage),
+    ("line_dedup", line_stage),
+    ("near_duplicates", duplicate_stage),
+    ("decontaminate", benchmark_stage),
+    ("mix", mix_stage),
 ]
 
-#: The stages' models and scans have no SQL form; tests hold each stage against brute force.
+#: The stages fit a model and follow links through many rounds; SQL cannot express them.
 ORACLE_SQL = None
 
 
