@@ -11,12 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, mixing, order_minhash, simhash, tokens
+from . import decontaminate, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Rules of the url query: verdict, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The urls that the rules cover are the labelled ones; the trees judge the rest."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.fit(url_filter.labelled_by_rules(pages, URL_RULES))
+    return url_filter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -65,6 +76,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_simhash": op2_simhash,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
