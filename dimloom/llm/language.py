@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 UNDETERMINED = "und"
 MAX_N = 3
 BUCKETS = 1 << 15
@@ -95,7 +97,9 @@ def _sample(train: DataFrame, per_lang: int) -> DataFrame:
     """(lang, bits): at most ``per_lang`` rows of each language, by a hash of the row."""
     rows = (train.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
             .withColumn("h", F.xxhash64("text", "lang")))
-    counts = rows.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = stored(rows.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n")), "language-counts")
+    if counts.count() <= 100_000:  # one row a language
+        counts = F.broadcast(counts)
     # a hash threshold first leaves about four times the rows wanted of a language, however large it is
     share = F.expr(f"(h / 9.223372036854775807e18 + 1) / 2 <= {4.0 * per_lang} / _n")
     near = (rows.join(counts, rows["lang"] == F.col("_lang")).where(share).select("lang", "h", "text")
