@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
+from . import decontaminate, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "word_b
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = hpylm.fit(docs.where(language.fold() != 1))
+    scored = hpylm.score(docs, model)
+    return scored.select("doc_id", F.coalesce(language.fold() == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -80,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op2_simhash": op2_simhash,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
+        "op5_lm_score": op5_lm_score,
         "op6_decontaminate": op6_decontaminate,
         "op7_line_dedup": op7_line_dedup,
         "op8_mixing": op8_mixing,
