@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
+from . import chat, decontaminate, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, block_size=1 << 18).select("doc_id", "source", *mixing.OUT)
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recovered turns; roles are learned from conversations whose crc32(conv_id as text) mod 5 is not 0."""
+    turns = read_table(spark, sf_dir, "conversations")
+    found = chat.format_chats(turns, language.fold("conv_id") != 0)
+    return found.select("conv_id", "turn", "line_no", (language.fold("conv_id") == 0).alias("held_out"), "role", "n_lines", "rendered")
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.fingerprints(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", "edited_sha256", order_minhash.as_text("sig").alias("fingerprint"),
@@ -92,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op6_decontaminate": op6_decontaminate,
         "op7_line_dedup": op7_line_dedup,
         "op8_mixing": op8_mixing,
+        "op9_chat_format": op9_chat_format,
         "op10_order_minhash": op10_order_minhash,
     }
 
