@@ -102,6 +102,11 @@ def as_text(sig: str):
     return F.array_join(F.transform(sig, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
 
 
+def _key(doc_id: str):
+    """An id as text that is never null."""
+    return F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("null"))
+
+
 def next_ids(ids: DataFrame) -> DataFrame:
     """(doc_id, next_id) of distinct ids in descending order, nulls last; the last is followed by the first.
 
@@ -131,16 +136,17 @@ def fingerprints(docs: DataFrame, k: int = K, select: int = SELECT, functions: i
     many (or all) of the next document in descending order of doc_id (after the last: the first).
     Of rows that share a doc_id, the one with the least text stands for it as a next document.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartition("doc_id")
-    follow = stored(next_ids(docs), "order-next")
-    sizes = rows.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 3)).alias("cut"))
-    wanted = follow.join(sizes, follow["doc_id"].eqNullSafe(sizes["doc_id"])).select(
-        follow["doc_id"].alias("of"), "next_id", "cut")
-    texts = rows.groupBy("doc_id").agg(F.min("text").alias("next_text"))
-    heads = wanted.join(texts, wanted["next_id"].eqNullSafe(texts["doc_id"])).select(
-        "of", "next_id", F.expr("substring(next_text, 1, cast(cut AS int))").alias("head"),
+    ids = docs.select(_key("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    # texts are dealt once, by id; the two uses below share that exchange
+    rows = ids.repartition("key")
+    sizes = ids.groupBy("key").agg(F.max(F.floor(F.length("text") / 3)).alias("cut"))
+    follow = next_ids(docs).select(_key("doc_id").alias("key"), "doc_id", "next_id", _key("next_id").alias("next_of"))
+    wanted = stored(follow.join(sizes, "key"), "order-next")
+    texts = rows.groupBy("key").agg(F.min("text").alias("next_text"))
+    heads = wanted.join(texts.withColumnRenamed("key", "next_of"), "next_of").select(
+        "key", "doc_id", "next_id", F.expr("substring(next_text, 1, cast(cut AS int))").alias("head"),
         F.xxhash64("next_text").alias("next_key"))
-    paired = (rows.join(heads, rows["doc_id"].eqNullSafe(heads["of"]))
+    paired = (rows.join(heads, "key")
               .withColumn("n_chars", F.length("text").cast("long"))
               .withColumn("cut", F.floor(F.col("n_chars") / 3).cast("int"))
               .withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars AS int) - cut), substring(head, 1, cut))"))
@@ -150,8 +156,8 @@ def fingerprints(docs: DataFrame, k: int = K, select: int = SELECT, functions: i
                                  "edited", "sig", "edited_sig") if keep_text else
                    signed.select("doc_id", "next_id", "next_key", F.xxhash64("text").alias("text_key"), "n_chars",
                                  F.sha2("edited", 256).alias("edited_sha256"), "sig", "edited_sig"), "order-signatures")
-    lookup = table.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.first("sig").alias("next_sig"))
-    joined = table.join(lookup, table["next_id"].eqNullSafe(lookup["_id"]) & (table["next_key"] == lookup["_key"]))
+    lookup = table.select(_key("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("sig").alias("next_sig")).dropDuplicates(["_id", "_key"])
+    joined = table.join(lookup, (_key("next_id") == F.col("_id")) & (F.col("next_key") == F.col("_key")))
     return (joined.withColumn("near_edited", likeness("sig", "edited_sig", functions))
             .withColumn("near_next", likeness("sig", "next_sig", functions))
             .drop("_id", "_key", "text_key", "next_key", "next_sig"))
