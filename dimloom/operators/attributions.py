@@ -3,8 +3,9 @@
 The classroom -> site -> sponsor -> codes lookup is built once (``classroom_context``)
 and shared by the three classroom routes.  Joins whose left key can be hot (many
 classrooms per site, many members per classroom, many joins per invite code, many
-people per email) go through ``skew_join``.  Person-side inputs are reduced to the
-columns the route needs and de-duplicated before they are shuffled.
+people per email) go through ``skew_join``.  The unified table joins distinct narrow pairs
+(person, classroom) to the context once for each kind of route, so the wide rows are made after
+the duplicates are gone; the single routes (A2 to A5) keep their repeated rows.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ def classroom_context(T: Tables) -> DataFrame:
     ccodes = T["classroom_invite_code"].select(F.col("classroom_id").alias("cc_classroom_id"),
                                                F.col("code").alias("classroom_code"))
     ctx = skew_join(rooms, site_context(T), "site_id", "ctx_site_key", "left", keys_from=(T["classroom"], "site_id"))
-    ctx = ctx.join(ccodes, F.col("classroom_id") == F.col("cc_classroom_id"), "left")
+    ctx = skew_join(ctx, ccodes, "classroom_id", "cc_classroom_id", "left", keys_from=(T["classroom"], "id"))
     return ctx.select(*CONTEXT_COLUMNS)
 
 
@@ -142,22 +143,67 @@ def stack_routes(learner: DataFrame, educator: DataFrame, invited: DataFrame, sp
     return educators.unionByName(learners).select(*ATTRIBUTION_COLUMNS)
 
 
-def user_attributions(T: Tables) -> DataFrame:
-    """A7: every attribution row of every person (many rows per person)."""
+def user_attributions_literal(T: Tables) -> DataFrame:
+    """A7 in the literal form: the routes in full, then distinct (test oracle)."""
     ctx = classroom_context(T)
     return stack_routes(route_learner(T, ctx), route_educator(T, ctx), route_invited(T, ctx),
                         route_sponsor_join(T))
 
 
+def _invited_pairs(T: Tables) -> DataFrame:
+    """(user_id, classroom_id) of the invitations that reach a person."""
+    people = _eligible_people(T).select(normalize_email("email").alias("u_email"), F.col("id").alias("user_id"))
+    inv = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"), "classroom_id")
+    return skew_join(inv, people, "i_email", "u_email", "inner").select("user_id", "classroom_id")
+
+
+def _joined_pairs(pairs: DataFrame, context: DataFrame, rooms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct ``pairs(user_id, classroom_id, keep)`` -> rows with a context (already distinct),
+    and one row of nulls for each person with a kept pair whose classroom is not there."""
+    narrow = (pairs.where(F.col("user_id").isNotNull()).groupBy("user_id", F.col("classroom_id").alias("m_classroom_id"))
+              .agg(F.max("keep").alias("keep")))
+    matched = skew_join(narrow, context, "m_classroom_id", "classroom_id", "inner").select(*ATTRIBUTION_COLUMNS)
+    lost = (narrow.where("keep").join(rooms, F.col("m_classroom_id") == F.col("room"), "left_anti")
+            .select("user_id").distinct())
+    none = F.lit(None).cast("string")
+    return matched, lost.select("user_id", *[none.alias(c) for c in ATTRIBUTION_COLUMNS[1:]])
+
+
+def user_attributions(T: Tables) -> DataFrame:
+    """A7: every attribution row of every person (many rows per person), distinct within the
+    educator rows and within the learner rows (learner, invited and sponsor join)."""
+    ctx = classroom_context(T).distinct()
+    rooms = T["classroom"].select(F.col("id").alias("room")).where("room IS NOT NULL").distinct()
+    keep = F.lit(True).alias("keep")
+    educators, no_room = _joined_pairs(T["educator_classroom_membership"].select("user_id", "classroom_id", keep), ctx, rooms)
+    pairs = T["learner_classroom_membership"].select("user_id", "classroom_id", keep).unionByName(
+        _invited_pairs(T).withColumn("keep", F.lit(False)))
+    learners, no_learner_room = _joined_pairs(pairs, ctx, rooms)
+    # rows without a classroom come from two sources that may agree, so they are made distinct together
+    loose = no_learner_room.unionByName(route_sponsor_join(T)).where(F.col("user_id").isNotNull()).distinct()
+    return educators.unionByName(no_room).unionByName(learners).unionByName(loose).select(*ATTRIBUTION_COLUMNS)
+
+
+def first_context(T: Tables) -> DataFrame:
+    """The first row of each classroom's context under ATTRIBUTION_ORDER (nulls last).
+
+    Sponsor and site come before the codes in the order, and the two codes are free of each other,
+    so only the smallest code of a sponsor and of a classroom can be in the first row.
+    """
+    least = {**T,
+             "sponsor_invite_code": T["sponsor_invite_code"].groupBy("sponsor_id").agg(F.min("code").alias("code")),
+             "classroom_invite_code": T["classroom_invite_code"].groupBy("classroom_id").agg(F.min("code").alias("code"))}
+    return top1(classroom_context(least), ["classroom_id"], order_by(ATTRIBUTION_ORDER))
+
+
 def best_attribution(T: Tables) -> DataFrame:
     """One attribution per person: the first of ``user_attributions`` under ATTRIBUTION_ORDER.
 
     The first row of a union is the first of the per-part first rows, so each classroom's
-    context is reduced to its first row before memberships are joined to it.  The code
-    fan-out (every sponsor code x every classroom code) is then never multiplied by the
-    membership count.
+    context is reduced to its first row before memberships are joined to it, from the smallest
+    code of each sponsor and of each classroom: codes are never paired with codes.
     """
-    ctx = top1(classroom_context(T), ["classroom_id"], order_by(ATTRIBUTION_ORDER))
+    ctx = first_context(T)
     candidates = (route_learner(T, ctx).unionByName(route_educator(T, ctx))
                   .unionByName(route_invited(T, ctx)).unionByName(route_sponsor_join(T)))
     return top1(candidates.where(F.col("user_id").isNotNull()), ["user_id"], order_by(ATTRIBUTION_ORDER))

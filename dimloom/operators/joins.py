@@ -1,31 +1,38 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
-``skew_join`` finds the keys of the large side that hold at least ``hot_rows`` rows
-(an aggregate with map-side partial counts), spreads the rows of those keys over
-``salt_buckets`` sub-keys, and replicates only the matching rows of the other side once
-per sub-key.  Cold keys join as usual on sub-key 0.  Rows with a null key can never
-match, so they are spread as well instead of all hashing to one reducer.
-
-The hot-key list is broadcast: a key is listed only when its sample count reaches half
-its expected share, so the list holds at most ``2 * rows(large side) / hot_rows`` keys,
-which is the size bound.  Salts are a hash of the row's own values, so a retried task
-recomputes exactly the same assignment (no ``rand()``).
+``skew_join`` takes the keys of the large side that hold at least ``hot_rows`` rows, spreads the
+rows of those keys over ``salt_buckets`` sub-keys, and replicates only the matching rows of the
+other side once per sub-key.  Cold keys join as usual on sub-key 0.  Rows with a null key can never
+match, so they are spread as well.
+
+Hot keys are counted exactly (an aggregate with map-side partial counts) on the column that the
+caller names, once for each column and application, and stored as a small table in the shared
+folder.  Both sides of a join read that one table, so they cannot disagree; when it is empty the
+join is a plain one.  The list holds at most rows / hot_rows keys; it is broadcast while it is
+within ``MAX_BROADCAST_KEYS`` and joined by shuffle beyond.  The salt is the row's position, so
+repeated rows spread over all sub-keys; any assignment is right, because the other side holds every
+sub-key.
 
 AQE's skew-join splitting stays enabled as a second line of defence.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 SALTING_CONF = "spark.dimloom.skew.salting"
 HOT_ROWS_CONF = "spark.dimloom.skew.hotKeyRows"
 SALT_BUCKETS_CONF = "spark.dimloom.skew.saltBuckets"
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_SALT_BUCKETS = 64
-SAMPLE_CONF = "spark.dimloom.skew.sampleFraction"
-DEFAULT_SAMPLE_FRACTION = 0.01
+MAX_BROADCAST_KEYS = 1_000_000
+
+_STORED: dict[tuple, tuple[str | None, int]] = {}
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -33,32 +40,27 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(value) if value else default
 
 
-def _conf_float(df: DataFrame, key: str, default: float) -> float:
-    value = df.sparkSession.conf.get(key, None)
-    return float(value) if value else default
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int, fraction: float = 1.0) -> DataFrame:
-    """Keys of ``df[key]`` that occur about ``hot_rows`` times or more (column ``__hot_key``).
-
-    Counting runs on a fixed-seed Bernoulli sample of ``fraction`` of the rows, so the
-    pre-pass shuffles only that share of the key column.  A key with ``hot_rows`` rows is
-    expected ``hot_rows * fraction`` times in the sample; half of that is the cut-off, so
-    hot keys are found with near certainty.  The sample only decides which keys are
-    salted: every row still takes part in the join.
-    """
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
+    """The stored list (column ``__hot_key``) of the keys of ``df[key]`` with ``hot_rows`` rows or
+    more, ready for a join; None when there is none."""
+    spark = df.sparkSession
     base = df.selectExpr(f"`{key}` AS __hot_key").where("__hot_key IS NOT NULL")
-    if fraction < 1.0:
-        base = base.sample(withReplacement=False, fraction=fraction, seed=17)
-    cut = max(1.0, hot_rows * fraction / 2) if fraction < 1.0 else hot_rows
-    return (base.groupBy("__hot_key").count()
-            .where(f"count >= {cut}")
-            .selectExpr("__hot_key", "true AS __is_hot"))
+    known = (spark.sparkContext.applicationId, base._jdf.queryExecution().analyzed().canonicalized().toString(), hot_rows)
+    if known not in _STORED:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dimloom-hot/{uuid.uuid4().hex}"
+        base.groupBy("__hot_key").count().where(F.col("count") >= hot_rows).select("__hot_key").write.parquet(path)
+        n = spark.read.parquet(path).count()
+        _STORED[known] = (path if n else None, n)
+    path, n = _STORED[known]
+    if path is None:
+        return None
+    found = spark.read.parquet(path).withColumn("__is_hot", F.lit(True))
+    return F.broadcast(found) if n <= MAX_BROADCAST_KEYS else found
 
 
 def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
               hot_rows: int | None = None, salt_buckets: int | None = None,
-              keys_from: tuple[DataFrame, str] | None = None, sample_keys: bool = True) -> DataFrame:
+              keys_from: tuple[DataFrame, str] | None = None) -> DataFrame:
     """``left.join(right, left[left_key] == right[right_key], how)`` for ``how`` in inner / left.
 
     ``left`` is the side whose keys may be hot; ``right`` is replicated only for hot keys.
@@ -66,32 +68,23 @@ def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     hot keys on a cheaper relation whose key multiset covers ``left``'s (typically the
     source column before the joins that led to ``left``); salting a key that turns out
     not to be hot only costs its replication.
-
-    Both sides must see the same hot-key list.  It is one broadcast shared by both joins
-    (exchange reuse), and the sample is taken from the key source, which callers keep to
-    a file scan with filters and projections, whose row order and hence sample are fixed.
-    ``sample_keys=False`` counts exactly, for key sources computed after a shuffle; exact
-    counting is also used whenever exchange reuse is switched off.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join supports inner and left joins, not {how!r}")
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"skew_join needs disjoint columns, both sides have {sorted(overlap)}")
+    plain = F.col(left_key) == F.col(right_key)
     if (left.sparkSession.conf.get(SALTING_CONF, "true") or "true").lower() == "false":
-        return left.join(right, F.col(left_key) == F.col(right_key), how)
+        return left.join(right, plain, how)
     hot_rows = hot_rows or _conf_int(left, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     buckets = salt_buckets or _conf_int(left, SALT_BUCKETS_CONF, DEFAULT_SALT_BUCKETS)
-
-    key_df, key_col = keys_from if keys_from is not None else (left, left_key)
-    reuse = (left.sparkSession.conf.get("spark.sql.exchange.reuse", "true") or "true").lower() == "true"
-    fraction = _conf_float(left, SAMPLE_CONF, DEFAULT_SAMPLE_FRACTION) if sample_keys and reuse else 1.0
-    hot = F.broadcast(hot_keys(key_df, key_col, hot_rows, fraction))
-    # column names rather than Column objects: each Column costs a JVM round trip
+    hot = hot_keys(*(keys_from if keys_from is not None else (left, left_key)), hot_rows)
+    if hot is None:
+        return left.join(right, plain, how)
     left_cols, right_cols = left.columns, right.columns
-    salt = F.expr(
-        f"CASE WHEN coalesce(__is_hot, false) OR `{left_key}` IS NULL "
-        f"THEN pmod(xxhash64({', '.join(f'`{c}`' for c in left_cols)}), {buckets}) ELSE 0 END")
+    position = f"pmod(monotonically_increasing_id(), {buckets})"
+    salt = F.expr(f"CASE WHEN coalesce(__is_hot, false) OR `{left_key}` IS NULL THEN {position} ELSE 0 END")
     salted_left = (left.join(hot, F.col(left_key) == F.col("__hot_key"), "left")
                    .select(*left_cols, salt.alias("__salt")))
     replicas = F.expr(f"explode(CASE WHEN __is_hot THEN sequence(0, {buckets - 1}) ELSE array(0) END)")
@@ -109,8 +102,7 @@ def left_join_fanout(left: DataFrame, right: DataFrame, left_key: str, right_key
     match are added back through an anti join against the distinct right keys (a
     pre-aggregated, skew-free shuffle).  Equal to ``left.join(right, ..., "left")``.
     """
-    # ``right`` may be computed after a shuffle, so its keys are counted exactly
-    matched = skew_join(right, left, right_key, left_key, "inner", hot_rows, salt_buckets, sample_keys=False)
+    matched = skew_join(right, left, right_key, left_key, "inner", hot_rows, salt_buckets)
     right_keys = right.where(F.col(right_key).isNotNull()).select(F.col(right_key).alias("__rk")).distinct()
     unmatched = left.join(right_keys, F.col(left_key) == F.col("__rk"), "left_anti")
     for field in right.schema.fields:

@@ -5,9 +5,9 @@ Plan shape at scale:
 * ``location_components`` joins each (place, ancestor) edge to the typed ancestor.  A few
   ancestors (countries, states) are shared by a large share of all places, so this join
   goes through ``skew_join``.
-* everything after it is keyed by ``from_location_id``: one aggregate picks the four best
-  parents at once (instead of four windows and four shuffles), one top-1 picks the nearest
-  city, and the final left joins meet on the same key.
+* everything after it is keyed by ``from_location_id``: one aggregate over the components,
+  joined once to the place's own coordinates, tells ambiguity, picks the nearest city and the
+  four best parents (``place_summary``), so the edges are read and joined once.
 * the type fan-out and score/rank of the source model are replaced by one boolean per
   place ("all of its type rows are countries"), which gives the same rows (proof in the
   tests: ``flat_locations`` / ``scored_locations`` keep the literal form).
@@ -106,25 +106,31 @@ def city_candidates(T: Tables, components: DataFrame, ambiguous: DataFrame) -> D
 
 
 def nearest_city(candidates: DataFrame) -> DataFrame:
-    """L4: the closest candidate per place; equal distances go to the smaller city id."""
-    return top1(candidates, ["from_location_id"],
-                [F.col("distance_from_origin").asc_nulls_last(), F.col("to_location_id").asc_nulls_last()])
+    """L4: the closest candidate per place; equal distances go to the smaller city id, then (for
+    place ids with several rows) to the smallest own and city columns, nulls last."""
+    order = ("distance_from_origin", "to_location_id", "original_locale", "og_latitude", "og_longitude",
+             "city", "city_latitude", "city_longitude")
+    return top1(candidates, ["from_location_id"], [F.col(c).asc_nulls_last() for c in order])
 
 
 def city_override(nearest: DataFrame, near_miles: float = NEAR_MILES) -> DataFrame:
     """L6: beyond ``near_miles`` a place keeps its own name (unless it looks like an
     address) and always its own coordinates; otherwise it takes the city's."""
-    far = F.col("distance_from_origin") > F.lit(near_miles)
+    city, latitude, longitude = _override_columns(near_miles)
     return nearest.select(
         "from_location_id", "to_location_id", "original_locale", "distance_from_origin",
-        F.when(far & ~is_address_like(F.col("original_locale")), F.col("original_locale"))
-         .otherwise(F.col("city")).alias("city_replace"),
-        F.when(far, F.col("og_latitude")).otherwise(F.col("city_latitude")).alias("city_latitude_replace"),
-        F.when(far, F.col("og_longitude")).otherwise(F.col("city_longitude")).alias("city_longitude_replace"),
+        city.alias("city_replace"), latitude.alias("city_latitude_replace"), longitude.alias("city_longitude_replace"),
         "og_latitude", "og_longitude",
     )
 
 
+def _override_columns(near_miles: float):
+    far = F.col("distance_from_origin") > F.lit(near_miles)
+    return (F.when(far & ~is_address_like(F.col("original_locale")), F.col("original_locale")).otherwise(F.col("city")),
+            F.when(far, F.col("og_latitude")).otherwise(F.col("city_latitude")),
+            F.when(far, F.col("og_longitude")).otherwise(F.col("city_longitude")))
+
+
 def overrides(T: Tables, components: DataFrame) -> DataFrame:
     """L2 -> L6 in one call."""
     return city_override(nearest_city(city_candidates(T, components, ambiguous_locations(components))))
@@ -165,12 +171,37 @@ def _resolved_columns(country_row):
     return city, state
 
 
+def place_summary(T: Tables, components: DataFrame) -> DataFrame:
+    """L2 to L7 in one aggregate: the four best parents and, for ambiguous places, the override.
+
+    Columns: ``p_from``, ``best_<level>``, ``city_replace``, ``city_latitude_replace``,
+    ``city_longitude_replace``.  A place id may have several rows of its own: the nearest
+    (own row, city) pair counts.
+    """
+    own = T["location_core"].select(F.col("id").alias("o_id"), F.col("display_name").alias("original_locale"),
+                                    F.col("latitude").alias("og_latitude"), F.col("longitude").alias("og_longitude"))
+    each = components.join(own, F.col("from_location_id") == F.col("o_id"), "left")
+    is_city = F.col("locationtype_id").isin(*CITY_TYPES)
+    located = F.greatest(*[F.col(c).isNull().cast("int") for c in ("latitude", "longitude", "og_latitude", "og_longitude")]) == 0
+    miles = haversine_miles(F.col("latitude"), F.col("longitude"), F.col("og_latitude"), F.col("og_longitude"))
+    other_name = F.when(is_city & (F.col("from_location_id") != F.col("to_location_id")), F.col("display_name"))
+    nearest = F.min(F.when(is_city & located, F.struct(
+        miles.isNull().alias("no_distance"), miles.alias("distance_from_origin"), F.col("to_location_id"),
+        F.col("original_locale").isNull().alias("no_name"), F.col("original_locale"), F.col("og_latitude"), F.col("og_longitude"),
+        F.col("display_name").isNull().alias("no_city"), F.col("display_name").alias("city"),
+        F.col("latitude").alias("city_latitude"), F.col("longitude").alias("city_longitude"))))
+    grouped = each.groupBy("from_location_id").agg(
+        F.min(other_name).alias("least_name"), F.max(other_name).alias("most_name"), nearest.alias("nearest"),
+        *[min_struct(F.col("locationtype_id").isin(*LEVELS[lv]), *PLACE_FIELDS).alias(f"best_{lv}") for lv in LEVELS])
+    chosen = F.when(F.col("least_name") != F.col("most_name"), F.col("nearest"))
+    flat = grouped.withColumn("nearest", chosen).select("from_location_id", *[f"best_{lv}" for lv in LEVELS], "nearest.*")
+    city, latitude, longitude = _override_columns(NEAR_MILES)
+    return flat.select(F.col("from_location_id").alias("p_from"), *[f"best_{lv}" for lv in LEVELS], city.alias("city_replace"),
+                       latitude.alias("city_latitude_replace"), longitude.alias("city_longitude_replace"))
+
+
 def _core_with_parents(T: Tables, components: DataFrame, core: DataFrame) -> DataFrame:
-    o = overrides(T, components).select(F.col("from_location_id").alias("r_from"), "city_replace",
-                                        "city_latitude_replace", "city_longitude_replace")
-    p = best_parents(components).withColumnRenamed("from_location_id", "p_from")
-    return (core.join(o, F.col("id") == F.col("r_from"), "left")
-            .join(p, F.col("id") == F.col("p_from"), "left"))
+    return core.join(place_summary(T, components), F.col("id") == F.col("p_from"), "left")
 
 
 def flat_locations(T: Tables, components: DataFrame | None = None) -> DataFrame:
@@ -228,10 +259,19 @@ def locations_clean(T: Tables, components: DataFrame | None = None) -> DataFrame
         F.coalesce("city_latitude_replace", "best_city.latitude", "latitude").alias("city_latitude"),
         F.coalesce("city_longitude_replace", "best_city.longitude", "longitude").alias("city_longitude"),
     )
-    return out.select(*LOCATIONS_CLEAN_COLUMNS)
+    # a place id may be repeated: its row with the most filled fields stays (own coordinates and the
+    # place's parents are filled alike, so the resolved fields decide)
+    filled = sum((F.col(f).isNotNull().cast("int") for f in ("city", "city_latitude", "city_longitude", "state")), F.lit(0))
+    ranked = top1(out.withColumn("score", filled), ["from_location_id"], _clean_order())
+    return ranked.select(*LOCATIONS_CLEAN_COLUMNS)
+
+
+def _clean_order():
+    """Best score first, then the output columns ascending, nulls last."""
+    return [F.col("score").desc(), *[F.col(c).asc_nulls_last() for c in LOCATIONS_CLEAN_COLUMNS[1:]]]
 
 
 def locations_clean_literal(T: Tables) -> DataFrame:
     """L10 + L11 in the literal form (score, rank, keep the first row); used as a test oracle."""
     scored = scored_locations(flat_locations(T))
-    return top1(scored, ["from_location_id"], [F.col("score").desc()]).select(*LOCATIONS_CLEAN_COLUMNS)
+    return top1(scored, ["from_location_id"], _clean_order()).select(*LOCATIONS_CLEAN_COLUMNS)

@@ -7,6 +7,7 @@ runs over all of their rows; none uses a sample, prefix or row cap.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from ..functions.profile import (
     race_category,
     user_type_name,
 )
+from ..functions.geo import on_grid
 from ..functions.text import coalesce_trim, is_address_like
 from ..operators import attributions as A
 from ..operators import locations as L
@@ -27,7 +29,10 @@ from ..operators import quality as Q
 from ..operators import users as U
 from ..operators.profile import table_profile
 from ..sources.adapters import sources_from_driver
-from ..sources.schemas import ATTRIBUTION_COLUMNS, SOURCE_NAMES
+from ..session import ensure_checkpoint_dir, tune
+from ..sources.schemas import ATTRIBUTION_COLUMNS, OUTPUT_COMMENTS, SOURCE_NAMES
+from ..sources.sinks import create_view, write_table
+from .build import MODELS, build
 
 AS_OF = dt.date(2026, 3, 10)
 
@@ -38,7 +43,7 @@ QUERIES: dict[str, Query] = {}
 def register(name: str):
     def deco(fn: Callable[[dict], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(sources_from_driver(spark, sf_dir))
+            return fn(sources_from_driver(tune(spark), sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -62,16 +67,21 @@ def _loc_ambiguous(T):
     return L.ambiguous_locations(L.location_components(T))
 
 
+def _shown(found: DataFrame) -> DataFrame:
+    """Distances on the reporting grid; the operators work on the raw ones."""
+    return found.withColumn("distance_from_origin", on_grid(F.col("distance_from_origin")))
+
+
 @register("loc_city_candidates")
 def _loc_city_candidates(T):
     comps = L.location_components(T)
-    return L.city_candidates(T, comps, L.ambiguous_locations(comps))
+    return _shown(L.city_candidates(T, comps, L.ambiguous_locations(comps)))
 
 
 @register("loc_nearest_city")
 def _loc_nearest_city(T):
     comps = L.location_components(T)
-    return L.nearest_city(L.city_candidates(T, comps, L.ambiguous_locations(comps)))
+    return _shown(L.nearest_city(L.city_candidates(T, comps, L.ambiguous_locations(comps))))
 
 
 @register("loc_address_like")
@@ -81,7 +91,7 @@ def _loc_address_like(T):
 
 @register("loc_city_override")
 def _loc_city_override(T):
-    return L.overrides(T, L.location_components(T))
+    return _shown(L.overrides(T, L.location_components(T)))
 
 
 for _level in ("country", "state", "county", "city"):
@@ -189,20 +199,20 @@ def _dim_users(T):
 
 
 # ---- Q
-def _models(T, names=("locations_clean", "user_attributions", "dim_users")):
-    """The built models, each computed once and cut from its lineage with a reliable
-    checkpoint in the shared ``spark.checkpoint.dir`` (like the tables the checks of the
-    source project run against), so that every check scans stored rows."""
-    out = dict(T)
-    if "locations_clean" in names or "dim_users" in names:
-        out["locations_clean"] = L.locations_clean(T).checkpoint()
-    if "user_attributions" in names:
-        out["user_attributions"] = A.user_attributions(T).checkpoint()
-    if "dim_users" in names:
-        # with the attributions stored, the per-person choice is one top-1 over that table
-        attr = A.first_attribution(out["user_attributions"]) if "user_attributions" in out else None
-        out["dim_users"] = U.dim_users(T, AS_OF, locations=out["locations_clean"], attribution=attr).checkpoint()
-    return out
+_BUILT: dict[tuple[str, str], str] = {}
+
+
+def _models(T) -> dict:
+    """The sources and the built models: each model is written once as Parquet into the shared
+    folder for the staged sources it was built from, and the checks scan the columns they need."""
+    spark = T["user_core"].sparkSession
+    staged = T["user_core"].inputFiles()[:1]
+    key = (spark.sparkContext.applicationId, staged[0] if staged else uuid.uuid4().hex)
+    if key not in _BUILT:
+        out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dimloom-models/{uuid.uuid4().hex}"
+        build(spark, T, out, AS_OF)
+        _BUILT[key] = out
+    return {**T, **{name: spark.read.parquet(f"{_BUILT[key]}/{name}") for name in MODELS}}
 
 
 @register("dq_not_null")
@@ -217,12 +227,12 @@ def _dq_unique(T):
 
 @register("dq_unique_combination")
 def _dq_unique_combination(T):
-    return Q.run_checks(_models(T, ("dim_users",)), Q.combination_checks())
+    return Q.run_checks(_models(T), Q.combination_checks())
 
 
 @register("dq_expression")
 def _dq_expression(T):
-    return Q.run_checks(_models(T, ("locations_clean", "dim_users")), Q.expression_checks())
+    return Q.run_checks(_models(T), Q.expression_checks())
 
 
 @register("dq_suite")
@@ -236,6 +246,24 @@ def _table_profile(T):
     return table_profile({name: T[name] for name in SOURCE_NAMES})
 
 
+@register("model_profile")
+def _model_profile(T):
+    """Type, description, rows and nulls of every column of the three built models."""
+    models = _models(T)
+    return table_profile({name: models[name] for name in MODELS})
+
+
+@register("sink_round_trip")
+def _sink_round_trip(T):
+    """The place table written twice (a full rebuild replaces it), read back and seen through a view."""
+    spark = T["location_core"].sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dimloom-sink/{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_table(L.locations_clean(T), path, OUTPUT_COMMENTS)
+    create_view(spark.read.parquet(path), "dimloom_sink_round_trip")
+    return spark.sql("SELECT * FROM dimloom_sink_round_trip")
+
+
 @register("coalesce_trim")
 def _coalesce_trim(T):
     inv = T["educator_invitation_record"]

@@ -50,8 +50,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is.  Only when it is
-    unset (local tests) do we create a private folder for this run.
+    On a cluster that setting names a shared folder and is used as is.  Only on a local
+    master, and when it is unset, do we create a private folder for this run: on a cluster
+    each executor would write to its own disk, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
     path = tempfile.mkdtemp(prefix="dimloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

@@ -11,20 +11,22 @@ Rules (c = c_custkey, s = s_suppkey, p = p_partkey, n = n_nationkey, r = r_regio
 
 * places: ``country{r}`` (type 1), ``state{n}`` (type 7, and also 1 when n % 5 = 0),
   ``county{n}`` (type 8), ``city{s}`` (type 3 + s % 2), ``addr{c}`` (type 4 when
-  c % 9 = 7, no type row when c % 9 = 2, else 2).
-* an address links to ``city{c div 15 + j}`` for j in 0..2 when (c + j) % 4 <> 3 and
-  c % 9 <> 5 and that supplier exists, plus its state, county (c % 6 <> 0) and country.
-  Its coordinates are those of its first city plus a small offset, so the nearest city is
-  sometimes within and sometimes beyond the 10-mile rule.
+  c % 9 = 7, else 2; the type row of c % 9 = 2 names a place that is not there).  Customers
+  with c % 90 = 0 have a second ``addr{c}`` row: a repeated place id.
+* an address links to ``city{c div 15 + j}`` for j in 0..2 (past the last supplier, or when
+  (c + j) % 4 = 3 or c % 9 = 5, to a city that is not there), its state, its county (one
+  that is not there when c % 6 = 0) and its country.  Its coordinates are those of its first
+  city plus a small offset, so the nearest city is sometimes within and sometimes beyond the
+  10-mile rule.
 * people: one ``u{c}`` row per customer and a second row when c % 10 = 0.
-* classrooms from parts, sites / sponsors / sponsor codes from suppliers, memberships
-  from every order line, invitations from signup events, join records from every order.
-
-Every table takes all rows of its benchmark input.  The few modulo rules decide *what*
-a row becomes, each to reach one branch of the models: parts with p % 10 = 9 have no
-classroom (memberships of a missing classroom), p % 3 = 0 no classroom code, odd
-suppliers no sponsor code, customers with c % 5 = 3 no membership, c % 10 = 0 a
-duplicate person row, and so on.  None of them exists to make a check cheaper.
+* classrooms from parts (at ``site{p div 20}``), sites / sponsors / sponsor codes from
+  suppliers, memberships from every order line, invitations from every event (to
+  ``cls{event div 5}``), join records from every order (with code ``inv{o div 150}``).
+
+Every row of a benchmark table becomes at least one source row, and the ratios (20 parts a
+site, 150 orders a code, 5 events a classroom) cover the whole key range of their target at
+every scale factor, so the distinct keys that join grow with the data.  Branches such as a
+missing classroom or a person without memberships are reached by dangling ids on kept rows.
 """
 
 from __future__ import annotations
@@ -77,6 +79,7 @@ GENDER_VALUES = (
 # Display names of addresses by c % 9 (None = no name; 7 and 8 get "Suburb {c}").
 ADDRESS_NAMES = ("{c} Main Road", "8FVC+9G Town", "Oak Ave", "Orange County Area", "St. Louis", "Seoul", None)
 CUSTOMERS_PER_HOME_CITY = 15
+PARTS_PER_SITE, ORDERS_PER_CODE, EVENTS_PER_CLASSROOM = 20, 150, 5
 
 
 def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -167,12 +170,13 @@ def location_core(D: dict[str, DataFrame]) -> DataFrame:
     )
     addresses = (
         D["customer"].join(home, _div("c_custkey", CUSTOMERS_PER_HOME_CITY) == F.col("home_key"), "left")
+        .withColumn("k", F.explode(F.when(c % 90 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
         .select(
             _id("addr", c).alias("id"),
-            name.alias("display_name"),
+            F.when(F.col("k") == 1, F.lit(None).cast("string")).otherwise(name).alias("display_name"),
             _id("Address ", c).alias("long_name"),
             F.when(c % 17 == 0, F.lit(None).cast("double"))
-             .otherwise(F.col("home_lat") + F.lit(0.07) * (c % 5)).alias("latitude"),
+             .otherwise(F.col("home_lat") + F.lit(0.07) * (c % 5 + F.col("k"))).alias("latitude"),
             (F.col("home_lon") + F.lit(0.07) * (c % 3)).alias("longitude"),
         )
     )
@@ -188,8 +192,9 @@ def location_type(D: dict[str, DataFrame]) -> DataFrame:
         .unionByName(D["nation"].where(n % 5 == 0).select(_id("state", n).alias("location_id"), F.lit(1).alias("locationtype_id")))
         .unionByName(D["nation"].select(_id("county", n).alias("location_id"), F.lit(8).alias("locationtype_id")))
         .unionByName(D["supplier"].select(_id("city", s).alias("location_id"), (s % 2 + 3).alias("locationtype_id")))
-        .unionByName(D["customer"].where(c % 9 != 2).select(
-            _id("addr", c).alias("location_id"), F.when(c % 9 == 7, 4).otherwise(2).alias("locationtype_id")))
+        .unionByName(D["customer"].select(
+            F.concat(F.when(c % 9 == 2, F.lit("noaddr")).otherwise(F.lit("addr")), c.cast("string")).alias("location_id"),
+            F.when(c % 9 == 7, 4).otherwise(2).alias("locationtype_id")))
     )
     return conform(rows, "location_type")
 
@@ -197,18 +202,20 @@ def location_type(D: dict[str, DataFrame]) -> DataFrame:
 def location_address_components(D: dict[str, DataFrame]) -> DataFrame:
     c, n = F.col("c_custkey"), F.col("n_nationkey")
     nations = F.broadcast(D["nation"])
-    # address -> up to three candidate cities (bounded explode + equi-join on supplier key)
+    # address -> three candidate cities (bounded explode); some are not there
     to_city = (
-        D["customer"].where(c % 9 != 5)
+        D["customer"]
         .select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("j"))
-        .where((F.col("c_custkey") + F.col("j")) % 4 != 3)
         .withColumn("cand", _div("c_custkey", CUSTOMERS_PER_HOME_CITY) + F.col("j"))
-        .join(D["supplier"].select("s_suppkey"), F.col("cand") == F.col("s_suppkey"))
-        .select(_id("addr", F.col("c_custkey")).alias("from_location_id"), _id("city", F.col("s_suppkey")).alias("to_location_id"))
+        .withColumn("there", (c % 9 != 5) & ((c + F.col("j")) % 4 != 3))
+        .select(_id("addr", c).alias("from_location_id"),
+                F.concat(F.when(F.col("there"), F.lit("city")).otherwise(F.lit("nocity")), F.col("cand").cast("string")).alias("to_location_id"))
     )
     cust = D["customer"].join(nations, F.col("c_nationkey") == n)
     to_state = cust.select(_id("addr", c).alias("from_location_id"), _id("state", F.col("c_nationkey")).alias("to_location_id"))
-    to_county = cust.where(c % 6 != 0).select(_id("addr", c).alias("from_location_id"), _id("county", F.col("c_nationkey")).alias("to_location_id"))
+    to_county = cust.select(
+        _id("addr", c).alias("from_location_id"),
+        F.concat(F.when(c % 6 != 0, F.lit("county")).otherwise(F.lit("nocounty")), F.col("c_nationkey").cast("string")).alias("to_location_id"))
     to_country = cust.select(_id("addr", c).alias("from_location_id"), _id("country", F.col("n_regionkey")).alias("to_location_id"))
     nat = D["nation"]
     chains = (
@@ -261,7 +268,7 @@ def user_join_record(D: dict[str, DataFrame]) -> DataFrame:
     rows = D["orders"].select(
         _id("u", F.col("o_custkey")).alias("user_id"),
         F.when(F.col("o_orderstatus") == "F", F.lit("userjoins")).otherwise(F.lit("userleaves")).alias("action_type"),
-        F.when(o % 11 == 0, F.lit(None).cast("string")).otherwise(_id("inv", o % 12)).alias("sponsor_invite_code_id"),
+        F.when(o % 11 == 0, F.lit(None).cast("string")).otherwise(_id("inv", _div("o_orderkey", ORDERS_PER_CODE))).alias("sponsor_invite_code_id"),
     )
     return conform(rows, "user_join_record")
 
@@ -286,10 +293,11 @@ def user_site(D: dict[str, DataFrame]) -> DataFrame:
 
 def sponsor_invite_code(D: dict[str, DataFrame]) -> DataFrame:
     s = F.col("s_suppkey")
-    rows = D["supplier"].where(s % 2 == 0).select(
+    # the codes of odd suppliers belong to a sponsor that is not there
+    rows = D["supplier"].select(
         _id("inv", s).alias("id"),
         _id("CODE", s).alias("code"),
-        _id("spon", _div("s_suppkey", 5)).alias("sponsor_id"),
+        F.concat(F.when(s % 2 == 0, F.lit("spon")).otherwise(F.lit("nospon")), _div("s_suppkey", 5).cast("string")).alias("sponsor_id"),
         _id("site", s).alias("site_id"),
     )
     return conform(rows, "sponsor_invite_code")
@@ -297,48 +305,54 @@ def sponsor_invite_code(D: dict[str, DataFrame]) -> DataFrame:
 
 def classroom(D: dict[str, DataFrame]) -> DataFrame:
     p = F.col("p_partkey")
-    rows = D["part"].where(p % 10 != 9).select(
-        _id("cls", p).alias("id"), F.col("p_name").alias("name"), _id("site", p % 12).alias("site_id"),
+    rows = D["part"].select(
+        _id("cls", p).alias("id"), F.col("p_name").alias("name"), _id("site", _div("p_partkey", PARTS_PER_SITE)).alias("site_id"),
     )
     return conform(rows, "classroom")
 
 
 def classroom_invite_code(D: dict[str, DataFrame]) -> DataFrame:
     p = F.col("p_partkey")
-    rows = D["part"].where(p % 3 != 0).select(_id("CINV", p).alias("code"), _id("cls", p).alias("classroom_id"))
+    # one code in three is for a classroom that is not there
+    rows = D["part"].select(
+        _id("CINV", p).alias("code"),
+        F.concat(F.when(p % 3 != 0, F.lit("cls")).otherwise(F.lit("nocls")), p.cast("string")).alias("classroom_id"))
     return conform(rows, "classroom_invite_code")
 
 
 def _order_lines(D: dict[str, DataFrame]) -> DataFrame:
-    """Every order line of a customer who takes part in classes (o_custkey % 5 <> 3)."""
+    """Every order line: its person (one that is not there when o_custkey % 5 = 3) and classroom
+    (one that is not there when l_partkey % 50 = 7)."""
+    k, p = F.col("o_custkey"), F.col("l_partkey")
     return (
-        D["lineitem"]
-        .join(D["orders"].where(F.col("o_custkey") % 5 != 3), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("o_custkey", "l_partkey")
+        D["lineitem"].join(D["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+        .select("o_custkey",
+                F.concat(F.when(k % 5 != 3, F.lit("u")).otherwise(F.lit("nou")), k.cast("string")).alias("user_id"),
+                F.concat(F.when(p % 50 != 7, F.lit("cls")).otherwise(F.lit("nocls")), p.cast("string")).alias("classroom_id"))
     )
 
 
 def educator_classroom_membership(D: dict[str, DataFrame]) -> DataFrame:
-    rows = _order_lines(D).where(F.col("o_custkey") % 4 == 0).select(
-        _id("u", F.col("o_custkey")).alias("user_id"), _id("cls", F.col("l_partkey")).alias("classroom_id"))
+    rows = _order_lines(D).where(F.col("o_custkey") % 4 == 0).select("user_id", "classroom_id")
     return conform(rows, "educator_classroom_membership")
 
 
 def learner_classroom_membership(D: dict[str, DataFrame]) -> DataFrame:
     k = F.col("o_custkey")
-    rows = _order_lines(D).where((k % 4 != 0) | (k % 8 == 0)).select(
-        _id("u", k).alias("user_id"), _id("cls", F.col("l_partkey")).alias("classroom_id"))
+    rows = _order_lines(D).where((k % 4 != 0) | (k % 8 == 0)).select("user_id", "classroom_id")
     return conform(rows, "learner_classroom_membership")
 
 
 def educator_invitation_record(D: dict[str, DataFrame]) -> DataFrame:
     e = F.col("event_id")
-    upper = F.concat(F.lit("CUSTOMER"), F.col("user_id").cast("string"), F.lit("@EXAMPLE.com"))
-    rows = D["events"].where(F.col("event_type") == "signup").select(
+    # events that are not signups invite an address that nobody has
+    name = F.when(F.col("event_type") == "signup", F.lit("CUSTOMER")).otherwise(F.lit("NOBODY"))
+    upper = F.concat(name, F.col("user_id").cast("string"), F.lit("@EXAMPLE.com"))
+    rows = D["events"].select(
         F.when(e % 13 == 0, F.lit(None).cast("string"))
          .when(e % 7 == 0, F.concat(F.lit("\t"), upper))
          .otherwise(F.concat(F.lit("  "), upper, F.lit(" "))).alias("email"),
-        _id("cls", e % 200).alias("classroom_id"),
+        _id("cls", _div("event_id", EVENTS_PER_CLASSROOM)).alias("classroom_id"),
     )
     return conform(rows, "educator_invitation_record")
 
@@ -402,21 +416,21 @@ def sources_from_driver(spark: SparkSession, sf_dir: str, stage: bool = True) ->
     from ..session import ensure_checkpoint_dir
     from .registry import load_parquet
 
-    app = spark.sparkContext.applicationId
-    cached = _STAGED.get((app, sf_dir))
+    app, signature = spark.sparkContext.applicationId, _input_signature(spark, sf_dir)
+    cached = _STAGED.get((app, signature))
     if cached is not None:
         return dict(cached)
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    out_dir = f"{root}/dimloom-sources/{_input_signature(spark, sf_dir)}"
+    out_dir = f"{root}/dimloom-sources/{signature}"
     fs, marker = _jvm_fs(spark, f"{out_dir}/_COMPLETE")
     if not fs.exists(marker):
         for name, df in adapted_sources(spark, sf_dir).items():
             df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         fs.create(marker, True).close()
-    # The folder name is a content hash of the inputs, so its readers stay valid for the
-    # rest of this application and are reused instead of listing the files again.
-    _STAGED[(app, sf_dir)] = load_parquet(spark, out_dir)
-    return dict(_STAGED[(app, sf_dir)])
+    # The signature covers the input files, so changed inputs are staged anew and unchanged
+    # ones keep their readers instead of listing the files again.
+    _STAGED[(app, signature)] = load_parquet(spark, out_dir)
+    return dict(_STAGED[(app, signature)])
 
 
 _STAGED: dict[tuple[str, str], dict[str, DataFrame]] = {}

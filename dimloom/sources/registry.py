@@ -32,12 +32,11 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 
 def load_parquet(spark: SparkSession, folder: str, names: tuple[str, ...] = SOURCE_NAMES) -> dict[str, DataFrame]:
-    """Read ``{folder}/{name}`` (parquet) for each source with its declared schema."""
-    out = {}
-    for name in names:
-        schema = SOURCE_SCHEMAS[name]
-        out[name] = conform(spark.read.schema(schema).parquet(f"{folder}/{name}"), name)
-    return out
+    """Read ``{folder}/{name}`` (parquet) for each source and conform it to its declared schema.
+
+    The files' own schema is read first, so a missing column is an error, not a column of nulls.
+    """
+    return {name: conform(spark.read.parquet(f"{folder}/{name}"), name) for name in names}
 
 
 def load_catalog(spark: SparkSession, database: str, names: tuple[str, ...] = SOURCE_NAMES) -> dict[str, DataFrame]:

@@ -133,6 +133,12 @@ OUTPUT_COMMENTS = {
     "classroom_code": "classroom invite code",
     "site_id": "site id",
     "site_name": "site name",
+    "user_type_name": "name of the person's type",
+    "is_test_user": "whether name or email mark a test account",
+    "race": "race category derived from the survey answers",
+    "gender_sum": "gender category derived from the survey answers",
+    "account_status": "active or deactivated",
+    "age": "age in years on the build's date",
     "rn": "rank of the kept row, always 1",
 }
 

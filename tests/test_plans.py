@@ -44,19 +44,21 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<id:string,uuid:string,race_ethnicity:string>" in p
 
 
-def test_hot_key_list_is_broadcast_from_a_sample(spark):
-    p = plan(E.queries()["loc_components"](spark, SF))
-    assert "Sample" in p and "BroadcastExchange" in p
+def test_places_read_their_edges_once(spark):
+    p = plan(E.queries()["loc_clean"](spark, SF))
+    assert p.count("dimloom-sources") >= 1
+    scans = [x for x in p.split("Location: ") if "location_address_components" in x.split("\n")[0]]
+    assert len(scans) == 1
 
 
-def test_hot_key_list_is_evaluated_once(spark):
-    """Both sides of a salted join read one broadcast of the hot-key list."""
+def test_salted_join_reads_one_stored_hot_list(spark):
+    """Both sides of a salted join read the same stored table of hot keys, broadcast."""
     from dimloom.operators.joins import skew_join
 
     left = spark.range(2000).selectExpr("id AS lid", "CAST(id % 7 AS STRING) AS k")
     right = spark.range(50).selectExpr("CAST(id AS STRING) AS rk", "id AS rv")
     df = skew_join(left, right, "k", "rk", "left", hot_rows=100, salt_buckets=4)
     assert df.count() == 2000
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "isFinalPlan=true" in final and "ReusedExchange" in final
+    p = plan(df)
+    assert p.count("dimloom-hot") >= 2 and "BroadcastExchange" in p
+    assert len({x.split("dimloom-hot/")[1][:32] for x in p.split("Location: ") if "dimloom-hot/" in x}) == 1

@@ -9,12 +9,11 @@ from dimloom.operators.joins import hot_keys, left_join_fanout, skew_join
 
 @pytest.fixture()
 def forced(spark):
-    """Make every key with 3+ rows hot and count on the full key column."""
+    """Make every key with 3+ rows hot."""
     spark.conf.set("spark.dimloom.skew.hotKeyRows", "3")
-    spark.conf.set("spark.dimloom.skew.sampleFraction", "1.0")
     spark.conf.set("spark.dimloom.skew.saltBuckets", "4")
     yield
-    for k in ("hotKeyRows", "sampleFraction", "saltBuckets"):
+    for k in ("hotKeyRows", "saltBuckets"):
         spark.conf.unset(f"spark.dimloom.skew.{k}")
 
 
@@ -59,17 +58,31 @@ def test_pipeline_same_with_forced_salting(spark, tables, forced):
     assert salted == plain
 
 
-def test_sampled_hot_keys_are_found_and_reused(spark):
-    """A key holding a third of the rows is found from a 10% sample, and the salted join
-    still returns every match (the hot list is one shared evaluation)."""
+def test_hot_key_in_a_third_of_the_rows(spark):
+    """Only the hot key is salted and every match is returned."""
     left = spark.range(30000).selectExpr("id AS lid", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS lk")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3)], "rk string, rv int")
-    spark.conf.set("spark.dimloom.skew.sampleFraction", "0.1")
-    try:
-        hot = {r["__hot_key"] for r in hot_keys(left, "lk", 5000, 0.1).collect()}
-        assert hot == {"hot"}
-        got = skew_join(left, right, "lk", "rk", "left", hot_rows=5000, salt_buckets=16)
-        assert got.count() == 20000 + 2 * 10000 + 0  # cold keys once (no match), hot rows twice
-        assert got.where("rv IS NOT NULL").count() == 2 * 10000 + 1
-    finally:
-        spark.conf.unset("spark.dimloom.skew.sampleFraction")
+    assert {r["__hot_key"] for r in hot_keys(left, "lk", 5000).collect()} == {"hot"}
+    got = skew_join(left, right, "lk", "rk", "left", hot_rows=5000, salt_buckets=16)
+    assert got.count() == 20000 + 2 * 10000
+    assert got.where("rv IS NOT NULL").count() == 2 * 10000 + 1
+
+
+def test_one_repeated_row_spreads_over_all_buckets(spark):
+    """The salt is the row's position, so copies of one row do not share a bucket."""
+    left = spark.range(4000).selectExpr("'hot' AS lk", "'same' AS lv")
+    right = spark.createDataFrame([("hot", 1)], "rk string, rv int")
+    joined = skew_join(left, right, "lk", "rk", "inner", hot_rows=100, salt_buckets=16)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in plan
+    salts = left.selectExpr("pmod(monotonically_increasing_id(), 16) AS salt").groupBy("salt").count().collect()
+    assert len(salts) == 16 and max(r["count"] for r in salts) <= 2 * 4000 / 16
+    assert joined.count() == 4000
+
+
+def test_no_salt_without_a_hot_key(spark):
+    left = spark.range(100).selectExpr("CAST(id AS STRING) AS lk")
+    right = spark.createDataFrame([("7", 3)], "rk string, rv int")
+    assert hot_keys(left, "lk", 50) is None
+    plan = skew_join(left, right, "lk", "rk", "left", hot_rows=50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" not in plan
