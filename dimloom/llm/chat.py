@@ -105,9 +105,10 @@ def _first(lines: pd.DataFrame) -> np.ndarray:
     return lines["opens"].to_numpy()
 
 
-def _edges(lines: DataFrame) -> list:
+def _edges(lines: DataFrame, train: Column | None = None) -> list:
     """First and last line of every range, in order of range: a row for each range."""
-    ends = [f(F.struct("pos", "conv_id", "role", "place")).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))]
+    learned = F.coalesce(F.lit(False) if train is None else train, F.lit(False)).alias("train")
+    ends = [f(F.struct("pos", "conv_id", "role", "place", learned)).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))]
     return sorted(lines.groupBy("part").agg(*ends).collect(), key=lambda r: r["part"])
 
 
@@ -126,6 +127,7 @@ def fit(lines: DataFrame, edges: list, train: Column) -> Model:
     labelled = _marked(lines, edges).where(train)
     own = labelled.where("role IS NOT NULL")
     roles = sorted(r["role"] for r in own.groupBy("role").count().orderBy(F.desc("count"), "role").limit(MAX_ROLES).collect())
+    belief = BELIEF if roles else 1.0
     roles = roles or ["assistant", "user"]
     known = _markers(roles)
     names = F.coalesce(*[F.when(F.col("name") == n, k) for n, k in known.items()], F.when(F.col("name") == "", 0).otherwise(1))
@@ -151,15 +153,14 @@ def fit(lines: DataFrame, edges: list, train: Column) -> Model:
             emit[f][r["state"], r[f]] += r["count"]
     # transitions over the seam of two ranges: one for each range at most
     seam = {r: 2 * k for k, r in enumerate(roles)}
-    wanted = {x["part"] for x in lines.select("part", "conv_id").where(train).select("part").distinct().collect()}
     for p, r in zip(edges, edges[1:], strict=False):
         a, b = p["last"], r["first"]
-        if p["part"] in wanted and r["part"] in wanted and _same(a["conv_id"], b["conv_id"]) and a["role"] in seam and b["role"] in seam:
+        if a["train"] and _same(a["conv_id"], b["conv_id"]) and a["role"] in seam and b["role"] in seam:
             step[seam[a["role"]] + (a["place"] == 0), seam[b["role"]] + (b["place"] == 0)] += 1
     emit = {f: x / x.sum(1, keepdims=True) for f, x in emit.items()}
     marker, place = _expected(len(roles))
-    emit["marker"] = (1 - BELIEF) * emit["marker"] + BELIEF * marker
-    emit["place"] = (1 - BELIEF) * emit["place"] + BELIEF * place
+    emit["marker"] = (1 - belief) * emit["marker"] + belief * marker
+    emit["place"] = (1 - belief) * emit["place"] + belief * place
     return Model(roles, np.log(start / start.sum()), np.log(step / step.sum(1, keepdims=True)), {f: np.log(x) for f, x in emit.items()})
 
 
@@ -212,7 +213,7 @@ def _fragments(lines: pd.DataFrame) -> Iterator[tuple[int, int]]:
 def recover(turns: DataFrame, train: Column) -> tuple[DataFrame, Model]:
     """(lines with ``state``, model) of ``turns(conv_id, turn, role, text)``; roles are read where ``train`` holds only."""
     lines = lines_of(turns)
-    edges = _edges(lines)
+    edges = _edges(lines, train)
     model = fit(lines, edges, train)
     slim = stored(_marked(lines, edges).select("part", "pos", "conv_id", "opens", "place", "size", "asks", "name"), "chat-observed")
     n = len(model.start)
