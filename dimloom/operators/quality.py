@@ -7,7 +7,7 @@ rows breaking an expression).  Checks of one kind on one table share a single sc
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,13 +73,38 @@ def expression_is_true(df: DataFrame, model: str, label: str, expression: Column
 
 @dataclass(frozen=True)
 class Check:
+    """A check of one model: a count over its rows (``rows``, an aggregate Column) or over its
+    grouped keys (``keys``; a null single key is no duplicate)."""
+
     model: str
-    build: Callable[[DataFrame], DataFrame]
+    test: str
+    column_name: str
+    rows: Column | None = None
+    keys: tuple[str, ...] = ()
+
+
+def _row_counts(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
+    """All row checks of one model in one scan, one output row each."""
+    counts = df.agg(*[c.rows.alias(f"c{k}") for k, c in enumerate(checks)])
+    entries = [F.struct(F.lit(f"{c.test}:{model}:{c.column_name}").alias("check_id"), F.lit(model).alias("model"), F.lit(c.test).alias("test"),
+                        F.lit(c.column_name).alias("column_name"), F.col(f"c{k}").cast("long").alias("failures")) for k, c in enumerate(checks)]
+    return counts.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Q6: every check's summary row in one DataFrame."""
-    parts = [c.build(models[c.model]) for c in checks]
+    """Q6: every check's summary row in one DataFrame.
+
+    A model's not-null and expression checks share one scan; so do key checks over the same keys.
+    """
+    parts = []
+    for model in dict.fromkeys(c.model for c in checks):
+        own = [c for c in checks if c.model == model]
+        if scanned := [c for c in own if c.rows is not None]:
+            parts.append(_row_counts(models[model], model, scanned))
+        for c in own:
+            if c.keys:
+                build = unique if c.test == "unique" else unique_combination
+                parts.append(build(models[model], model, c.keys[0] if c.test == "unique" else c.keys))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -100,16 +125,20 @@ SOURCE_UNIQUE = (("user_site", "id"), ("classroom", "id"), ("classroom_invite_co
 MODEL_UNIQUE = (("locations_clean", "from_location_id"), ("dim_users", "user_id"))
 
 
-def _nn(model, cols):
-    return Check(model, lambda df: not_null(df, model, cols))
+def _nn(model: str, cols: Sequence[str]) -> list[Check]:
+    return [Check(model, "not_null", c, rows=F.count_if(F.col(c).isNull())) for c in cols]
+
+
+def _uq(model: str, col: str) -> Check:
+    return Check(model, "unique", col, keys=(col,))
 
 
-def _uq(model, col):
-    return Check(model, lambda df: unique(df, model, col))
+def _expression(model: str, label: str, expression: Column, where: Column) -> Check:
+    return Check(model, "expression_is_true", label, rows=F.count_if(where & ~expression))
 
 
 def source_not_null_checks() -> list[Check]:
-    return [_nn(m, cols) for m, cols in SOURCE_NOT_NULL.items()]
+    return [c for m, cols in SOURCE_NOT_NULL.items() for c in _nn(m, cols)]
 
 
 def source_unique_checks() -> list[Check]:
@@ -117,7 +146,7 @@ def source_unique_checks() -> list[Check]:
 
 
 def model_not_null_checks() -> list[Check]:
-    return [_nn(m, cols) for m, cols in MODEL_NOT_NULL.items()]
+    return [c for m, cols in MODEL_NOT_NULL.items() for c in _nn(m, cols)]
 
 
 def model_unique_checks() -> list[Check]:
@@ -125,17 +154,14 @@ def model_unique_checks() -> list[Check]:
 
 
 def combination_checks() -> list[Check]:
-    return [Check("dim_users", lambda df: unique_combination(df, "dim_users", ("user_id", "sponsor_id", "site_id")))]
+    cols = ("user_id", "sponsor_id", "site_id")
+    return [Check("dim_users", "unique_combination_of_columns", ",".join(cols), keys=cols)]
 
 
 def expression_checks() -> list[Check]:
-    checks = [Check("dim_users", lambda df: expression_is_true(
-        df, "dim_users", "city IS NOT NULL OR country IS NOT NULL",
-        F.col("city").isNotNull() | F.col("country").isNotNull(), F.col("location_id").isNotNull()))]
-    for col in ("city_latitude", "city_longitude"):
-        checks.append(Check("locations_clean", lambda df, col=col: expression_is_true(
-            df, "locations_clean", col, F.col(col).isNotNull(), F.col("city").isNotNull())))
-    return checks
+    place = F.col("city").isNotNull() | F.col("country").isNotNull()
+    return [_expression("dim_users", "city IS NOT NULL OR country IS NOT NULL", place, F.col("location_id").isNotNull()),
+            *(_expression("locations_clean", c, F.col(c).isNotNull(), F.col("city").isNotNull()) for c in ("city_latitude", "city_longitude"))]
 
 
 def model_checks() -> list[Check]:

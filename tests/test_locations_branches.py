@@ -50,6 +50,16 @@ def test_far_address_like_takes_city_name_but_own_coordinates(spark, name):
     assert (r.city_latitude, r.city_longitude) == (40.0, -100.0)
 
 
+def test_the_ten_mile_rule_uses_the_raw_distance(spark):
+    """A hair beyond ten miles is far, although a report shows 10.0."""
+    T = _tables(spark, _place("p", "Hillside", 1.0))
+    d = L.city_candidates(T, L.location_components(T), L.ambiguous_locations(L.location_components(T))).agg(F.min("distance_from_origin")).first()[0]
+    T = _tables(spark, _place("p", "Hillside", 10.0000003 / d))
+    assert _clean(T)["p"].city == "Hillside"
+    T = _tables(spark, _place("p", "Hillside", 9.9999997 / d))
+    assert _clean(T)["p"].city == "Alpha"
+
+
 def test_near_takes_city_name_and_coordinates(spark):
     T = _tables(spark, _place("p", "Hillside", 3.0))
     r = _clean(T)["p"]

@@ -49,6 +49,53 @@ def test_locations_clean_equals_literal(spark, seed):
     assert srt(L.locations_clean(T).collect()) == srt(L.locations_clean_literal(T).collect())
 
 
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_repeated_place_ids_give_one_row_each(spark, seed):
+    """Repeated place rows: the literal form ranks them, the one-pass form must agree."""
+    rng = random.Random(seed)
+    rows = random_places(rng)
+    again = [(i, rng.choice(NAMES), long, None if rng.random() < 0.2 else 40 + rng.random() * 0.6, lon, slug)
+             for i, _, long, _, lon, slug in rng.sample(rows["location_core"], 12)]
+    typed = {i for i, _ in rows["location_type"]}
+    rows["location_core"] = rows["location_core"] + [r for r in again if r[0] not in typed]
+    T = from_rows(spark, rows)
+    got = L.locations_clean(T).collect()
+    assert srt(got) == srt(L.locations_clean_literal(T).collect())
+    assert len({r.from_location_id for r in got}) == len(got)
+
+
+def test_a_repeated_place_does_not_repeat_people(spark):
+    from reference_fixture import ROWS
+
+    rows = dict(ROWS)
+    rows["location_core"] = ROWS["location_core"] + [ROWS["location_core"][0]]
+    T = from_rows(spark, rows)
+    assert L.locations_clean(T).count() == 9
+    assert U.dim_users(T, AS_OF).count() == 8
+    assert srt(U.dim_users(T, AS_OF).collect()) == srt(U.dim_users_literal(T, AS_OF).collect())
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_attributions_equal_literal(spark, seed):
+    """Narrow pairs joined to the distinct context give the rows of the full routes made distinct."""
+    from reference_fixture import ROWS
+
+    from dimloom.operators import attributions as A
+
+    rng = random.Random(seed)
+    users, learners = random_people(rng)
+    rows = dict(ROWS)
+    rows["user_core"] = users
+    rows["learner_classroom_membership"] = learners + rng.sample(learners, min(5, len(learners))) + [("u1", None), (None, "cls101"), ("u1", "gone")]
+    rows["educator_classroom_membership"] = [(f"u{rng.randint(0, 9)}", rng.choice(["cls101", "cls202", "gone", None])) for _ in range(20)]
+    rows["educator_invitation_record"] = [(rng.choice([" A3@X ", "b4@x", None]), rng.choice(["cls101", "gone"])) for _ in range(10)]
+    rows["classroom_invite_code"] = ROWS["classroom_invite_code"] + [("second", "cls101"), ("second", "cls101")]
+    rows["sponsor_invite_code"] = ROWS["sponsor_invite_code"] + [("i9", "ZZZ", "spon001", "site2")]
+    T = from_rows(spark, rows)
+    assert srt(A.user_attributions(T).collect()) == srt(A.user_attributions_literal(T).collect())
+    assert srt(A.best_attribution(T).collect()) == srt(A.first_attribution(A.user_attributions_literal(T)).collect())
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_dim_users_equals_literal(spark, seed):
     from reference_fixture import ROWS
