@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -26,6 +26,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, *needed: str | Column, without: tuple[str, ...] = ()) -> DataFrame:
+    """The ``needed`` columns, and all columns but ``without`` as one struct ``row``, so that no name
+    of the input can clash with a working column.  ``select("row.*")`` gives them back."""
+    return docs.select(*needed, F.struct(*[docs[c] for c in docs.columns if c not in without]).alias("row"))
+
+
 def ascii_lower(col):
     """Lower-case A-Z only; every other code point stays."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stored
+from .common import ascii_lower, packed, stored
 
 WINDOW = 13
 MIN_SHARE = 20
@@ -137,15 +137,15 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
     """``docs`` without the contaminated rows; all columns stay."""
     bad = stored(scan(docs, benchmark, window, min_share).where("contaminated")
                  .select(F.col("text_key").alias("_bad")).distinct(), "decontaminate-bad")
-    return docs.join(bad, text_key("text") == F.col("_bad"), "left_anti")
+    return packed(docs, "text").join(bad, text_key("text") == F.col("_bad"), "left_anti").select("row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with every hit word, and the separators after it, cut from ``text``; all columns stay."""
     found = stored(scan(docs, benchmark, window).where("n_hit > 0")
                    .groupBy(F.col("text_key").alias("_key")).agg(F.first("hits").alias("_hits")), "decontaminate-spans")
-    joined = docs.join(found, text_key("text") == F.col("_key"), "left")
+    joined = packed(docs, "text").join(found, text_key("text") == F.col("_key"), "left")
     chunks = F.regexp_extract_all("text", F.lit(f"{RAW_WORD}+{RAW_SEPARATOR}*"), F.lit(0))
     kept = F.filter(chunks, lambda _, i: ~F.exists("_hits", lambda h: (i >= h["pos"]) & (i < h["pos"] + h["len"])))
     cut = F.concat(F.regexp_extract("text", f"^{RAW_SEPARATOR}*", 0), F.array_join(kept, ""))
-    return joined.withColumn("text", F.when(F.col("_hits").isNull(), F.col("text")).otherwise(cut)).select(docs.columns)
+    return joined.select(F.when(F.col("_hits").isNull(), F.col("row")).otherwise(F.col("row").withField("text", cut)).alias("row")).select("row.*")

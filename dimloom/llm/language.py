@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import packed, stored
 
 UNDETERMINED = "und"
 MAX_N = 3
@@ -152,9 +152,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for texts in batches:
             yield model.predict(texts)
 
-    return (docs.withColumn("_language", predict(F.col(text)))
-            .withColumn("lang_pred", F.col("_language.lang_pred"))
-            .withColumn("score", F.col("_language.score")).drop("_language"))
+    rows = packed(docs, F.col(text).alias("text"), without=("lang_pred", "score"))
+    return rows.withColumn("found", predict("text")).select("row.*", "found.lang_pred", "found.score")
 
 
 def fold(doc_id: str = "doc_id", folds: int = 5):

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, components, stored
+from .common import ascii_lower, components, packed, stored
 
 MAX_EDITS = 1
 MIN_CHARS = 20
@@ -231,9 +231,9 @@ def remove_repeats(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     """``docs`` with every line cut that is not the first of its class; rows that lose all their lines go."""
     gone = stored(classify(docs, max_edits, min_chars).where("NOT kept").groupBy("doc_id", "text_key")
                   .agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_id"), "lines-gone")
-    key = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("text_key"))
-    joined = docs.join(gone, key, "left")
+    key = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("text_key"))
+    joined = packed(docs, "doc_id", "text").join(gone, key, "left")
     kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col("_gone"), i))
     rest = joined.withColumn("_rest", F.when(F.col("_gone").isNotNull(), kept))
-    return (rest.where("_rest IS NULL OR size(_rest) > 0")
-            .withColumn("text", F.coalesce(F.array_join("_rest", "\n"), F.col("text"))).select(docs.columns))
+    cut = F.when(F.col("_rest").isNull(), F.col("row")).otherwise(F.col("row").withField("text", F.array_join("_rest", "\n")))
+    return rest.where("_rest IS NULL OR size(_rest) > 0").select(cut.alias("row")).select("row.*")

@@ -25,7 +25,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import packed, stored
 
 RESOLUTION = 1000
 #: Sources that a mix may name: the schedule's tables are made on the driver.
@@ -146,7 +146,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_s
     ``mix_rank`` the bytes before the row in its source.  Ordering by (mix_slot, mix_rank) gives the
     mixed corpus.  Without ``weights``, a source weighs its size to the ``power``.
     """
-    rows = (docs.drop(*OUT).withColumn("_source", F.col("source").cast("string"))
+    rows = (packed(docs, "doc_id", "text", "source", without=OUT).withColumn("_source", F.col("source").cast("string"))
             .withColumn("_hash", F.xxhash64(F.lit("mix"), "doc_id", "text"))
             .withColumn("_size", F.greatest(F.lit(1), F.coalesce(F.octet_length("text"), F.lit(0))).cast("long")))
     counts = stored(rows.groupBy(F.col("_source").alias("_s")).agg(
@@ -168,5 +168,4 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_s
               .withColumn("_k", F.expr("mix_block - _in.before")))
     at = (F.col("mix_phase") == F.col("_ph")) & F.col("_source").eqNullSafe(F.col("_p")) & (F.expr("_k % _in.quota") == F.col("_nth"))
     found = phased.join(F.broadcast(slots), at)
-    return found.withColumn("mix_slot", F.expr("_in.first + div(_k, _in.quota) * _in.slots + _offset")).select(
-        *docs.drop(*OUT).columns, *OUT)
+    return found.withColumn("mix_slot", F.expr("_in.first + div(_k, _in.quota) * _in.slots + _offset")).select("row.*", *OUT)

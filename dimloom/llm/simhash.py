@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, packed, stored
 
 SEED = 42
 #: Shingles hashed at once: 64 bytes of unpacked bits each.
@@ -148,5 +148,6 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """
     found = near_duplicates(docs, shingle, max_bits)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, docs["doc_id"] == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = packed(docs, "doc_id")
+    named = rows.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return named.union(rows.where(F.col("doc_id").isNull())).select("row.*")
