@@ -5,10 +5,12 @@ given by a hash.  Block j (from 0) of a source with share w is released at slot
 due at slot ceil((j + 1) / w); every slot goes to the released block that is due first.  After any
 number of slots, every source then differs from its target by less than one block.
 
-Shares are rounded to multiples of 1 / ``resolution``, at least one each, so the schedule repeats
-after ``resolution`` slots: the driver makes that one period (a table of checked size, as are the
-weights, which the caller gives) and blocks are joined to it by source and number.  No row is
-dropped or repeated: when a source runs dry, the rest go on in a new phase with their own shares.
+Shares are the weights as given, in exact whole-number arithmetic; a phase has one slot for each of
+its blocks.  The driver makes the slots in pieces of ``SLOTS`` rows, which are stored and joined to the
+blocks by source and number: a row for each block, not for each document.  With a ``resolution``,
+shares are rounded to its multiples, one at least each, and the table is one period that repeats.
+No row is dropped or repeated: when a source runs dry, the rest go on in a new phase with their own
+shares.
 
 Nulls and edge cases: a source that is null or has no positive weight comes after all others, in
 one last phase with equal shares (null counts as a source of its own); rows with equal hashes are
@@ -20,16 +22,22 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import packed, stored
 
 RESOLUTION = 1000
-#: Sources that a mix may name: the schedule's tables are made on the driver.
+#: Sources that a mix may name: their plans are made on the driver.
 MAX_SOURCES = 1000
+#: Slots that the driver holds at once.
+SLOTS = 200_000
+#: Slots up to which their table is broadcast.
+SMALL = 1_000_000
 #: Rows of a source that are numbered by one task.
 RANGE_ROWS = 4096
 
@@ -53,67 +61,110 @@ def quotas(weights: dict[str, float], resolution: int = RESOLUTION) -> dict[str,
     return out
 
 
-def period(parts: dict[str, int]) -> list[str]:
-    """The source of each slot of one period: earliest deadline first among released blocks."""
-    slots = sum(parts.values())
-    share = {s: Fraction(n, slots) for s, n in parts.items()}
-    waiting = [(0, math.ceil(1 / share[s]), _name(s), s, 0) for s in parts]
+def whole(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportions of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * scale) for s, x in exact.items()}
+
+
+def slots_of(parts: dict[str, int]) -> Iterator[tuple[str, int]]:
+    """(source, block) of each slot, without end, at shares in proportion to ``parts``: earliest deadline
+    first among released blocks."""
+    total = sum(parts.values())
+    waiting = [(0, -(-total // n), _name(s), s, 0) for s, n in parts.items()]
     heapq.heapify(waiting)
     ready: list[tuple] = []
-    out = []
-    for slot in range(slots):
+    slot = 0
+    while True:
         while waiting and waiting[0][0] <= slot:
             heapq.heappush(ready, heapq.heappop(waiting)[1:])
         _, name, source, j = heapq.heappop(ready)
-        out.append(source)
-        if j + 1 < parts[source]:
-            heapq.heappush(waiting, (math.floor((j + 1) / share[source]), math.ceil((j + 2) / share[source]),
-                                     name, source, j + 1))
-    return out
+        yield source, j
+        heapq.heappush(waiting, ((j + 1) * total // parts[source], -(-(j + 2) * total // parts[source]), name, source, j + 1))
+        slot += 1
+
 
+def period(parts: dict[str, int]) -> list[str]:
+    """The source of each slot of one period."""
+    return [s for s, _ in islice(slots_of(parts), sum(parts.values()))]
+
+
+def first_dry(left: dict[str, int], parts: dict[str, int]) -> dict[str, int]:
+    """Blocks of each source in the slots up to the one that takes the last block of a source."""
+    counts = dict.fromkeys(left, 0)
+    for source, j in slots_of(parts):
+        counts[source] = j + 1
+        if j + 1 == left[source]:
+            return counts
+    raise AssertionError
 
-def phases(blocks: dict[str, int], weights: dict[str, float], resolution: int = RESOLUTION):
-    """(first slot, blocks taken before, quotas, period) of each phase; a phase ends when a source runs dry."""
+
+def phases(blocks: dict[str, int], weights: dict[str, float], resolution: int | None = None):
+    """(first slot, blocks taken before, quotas, parts) of each phase; a phase ends when a source runs dry."""
     left, done, at = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
     while left:
-        parts = quotas({s: weights[s] for s in left}, resolution)
-        order = period(parts)
-        yield at, {s: done[s] for s in left}, parts, order
-        rounds = min(n // parts[s] for s, n in left.items())
-        counts = {s: rounds * parts[s] for s in left}
-        at += rounds * len(order)
-        if all(counts[s] < n for s, n in left.items()):
-            for source in order:  # the round in which the first source runs dry
-                counts[source] += 1
-                at += 1
-                if counts[source] == left[source]:
-                    break
+        if resolution is None:
+            parts = whole({s: weights[s] for s in left})
+            counts = first_dry(left, parts)
+            yield at, {s: done[s] for s in left}, counts, parts
+        else:
+            parts = quotas({s: weights[s] for s in left}, resolution)
+            yield at, {s: done[s] for s in left}, parts, parts
+            rounds = min(n // parts[s] for s, n in left.items())
+            counts = {s: rounds * parts[s] for s in left}
+            if all(counts[s] < n for s, n in left.items()):
+                # the round in which the first source runs dry
+                for s, n in first_dry({s: n - counts[s] for s, n in left.items()}, parts).items():
+                    counts[s] += n
+        at += sum(counts.values())
         for s, n in counts.items():
             done[s] += n
             left[s] -= n
         left = {s: n for s, n in left.items() if n}
 
 
-def schedule(blocks: dict[str, int], weights: dict[str, float], resolution: int = RESOLUTION) -> tuple[list, list]:
-    """Two small tables: (source, starts, firsts, quotas, slots) with one array entry for each phase of
-    the source, as (phase, blocks before, first slot, quota, slots of a period); and
-    (phase, source, nth, offset) of the slots of every period."""
+def _plans(blocks: dict[str, int], weights: dict[str, float], resolution: int | None) -> tuple[list, list]:
+    """The rows of (source, plan), and the (phase, parts, slots) whose slots are to be made."""
     listed = {s: weights[s] for s in blocks if weights.get(s, 0) > 0}
     others = {s: 1.0 for s in blocks if s not in listed}
     plans: dict[str, list] = {s: [] for s in blocks}
-    offsets = []
-    number = base = 0
+    orders = []
+    base = 0
     for group in (listed, others):
-        for at, done, parts, order in phases({s: blocks[s] for s in group}, group, resolution):
+        for at, done, quota, parts in phases({s: blocks[s] for s in group}, group, resolution):
+            length = sum(quota.values())
             for s, before in done.items():
-                plans[s].append((number, before, base + at, parts[s], len(order)))
-            nth = dict.fromkeys(parts, 0)
-            for k, s in enumerate(order):
-                offsets.append((number, s, nth[s], k))
-                nth[s] += 1
-            number += 1
+                # a source without a block in the phase goes on in the next, from the same number
+                plans[s].append((len(orders), before, base + at, max(1, quota[s]), length))
+            orders.append((len(orders), parts, length))
         base += sum(blocks[s] for s in group)
-    return [(s, p) for s, p in plans.items() if p], offsets
+    return [(s, p) for s, p in plans.items() if p], orders
+
+
+def _offsets(orders: list) -> Iterator[tuple]:
+    for number, parts, length in orders:
+        for k, (s, j) in enumerate(islice(slots_of(parts), length)):
+            yield number, s, j, k
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float], resolution: int | None = None) -> tuple[list, list]:
+    """Two tables: (source, starts, firsts, quotas, slots) with one array entry for each phase of
+    the source, as (phase, blocks before, first slot, quota, slots of a period); and
+    (phase, source, nth, offset) of the slots of every period."""
+    plans, orders = _plans(blocks, weights, resolution)
+    return plans, list(_offsets(orders))
+
+
+def _slot_table(spark: SparkSession, orders: list) -> DataFrame:
+    """``_offsets`` as a stored table, broadcast while it is small."""
+    rest, parts = _offsets(orders), []
+    while piece := list(islice(rest, SLOTS)):
+        parts.append(stored(spark.createDataFrame(piece, "_ph int, _p string, _nth bigint, _offset bigint"), "mix-slots"))
+    out = parts[0] if parts else spark.createDataFrame([], "_ph int, _p string, _nth bigint, _offset bigint")
+    for part in parts[1:]:
+        out = out.union(part)
+    return F.broadcast(out) if sum(length for *_, length in orders) <= SMALL else out
 
 
 def _numbered(rows: DataFrame, counts: DataFrame) -> DataFrame:
@@ -138,7 +189,7 @@ OUT = ("mix_phase", "mix_slot", "mix_block", "mix_rank")
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_size: int = 1 << 18,
-        power: float = 0.5, resolution: int = RESOLUTION) -> DataFrame:
+        power: float = 0.5, resolution: int | None = None) -> DataFrame:
     """``docs(doc_id, text, source, ...)`` with mix_phase, mix_slot, mix_block and mix_rank.
 
     ``mix_block`` is the number of the row's block in its source (blocks are ``block_size`` UTF-8
@@ -157,15 +208,15 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_s
     if weights is None:
         weights = {s: float(n) ** power for s, n in totals.items()}
     blocks = {s: (n - 1) // block_size + 1 for s, n in totals.items()}
-    plans, offsets = schedule(blocks, weights, resolution)
+    plans, orders = _plans(blocks, weights, resolution)
     spark = docs.sparkSession
     plan = spark.createDataFrame(plans, "_p string, _plan array<struct<phase:int,before:bigint,first:bigint,quota:bigint,slots:bigint>>")
-    slots = spark.createDataFrame(offsets, "_ph int, _p string, _nth bigint, _offset bigint")
+    slots = _slot_table(spark, orders)
     placed = _numbered(rows, counts).withColumn("mix_block", F.floor(F.col("mix_rank") / block_size))
     phased = (placed.join(F.broadcast(plan), F.col("_source").eqNullSafe(F.col("_p"))).drop("_p")
               .withColumn("_in", F.expr("get(_plan, size(filter(_plan, p -> p.before <= mix_block)) - 1)")).drop("_plan")
               .withColumn("mix_phase", F.col("_in.phase"))
               .withColumn("_k", F.expr("mix_block - _in.before")))
     at = (F.col("mix_phase") == F.col("_ph")) & F.col("_source").eqNullSafe(F.col("_p")) & (F.expr("_k % _in.quota") == F.col("_nth"))
-    found = phased.join(F.broadcast(slots), at)
+    found = phased.join(slots, at)
     return found.withColumn("mix_slot", F.expr("_in.first + div(_k, _in.quota) * _in.slots + _offset")).select("row.*", *OUT)

@@ -59,3 +59,26 @@ def test_too_many_sources(spark, monkeypatch):
     monkeypatch.setattr(M, "MAX_SOURCES", 2)
     with pytest.raises(ValueError, match="sources"):
         M.mix(docs_of(spark, [(1, "a"), (2, "b"), (3, "c")]))
+
+
+def test_every_prefix_is_within_one_block_of_the_given_weights():
+    """Against the weights themselves, tiny ones too, up to the slot at which the first source runs dry."""
+    weights = {f"s{i}": 1.0 + i / 7 for i in range(20)} | {"large": 40.0, "tiny": 1e-4}
+    total = sum(map(Fraction, weights.values()))
+    plans, offsets = M.schedule({s: max(1, int(w * 80)) for s, w in weights.items()}, weights)
+    seen, worst = dict.fromkeys(weights, 0), Fraction(0)
+    first = [(k, s) for p, s, _, k in offsets if p == 0]
+    assert len(first) > 3000
+    for t, s in first:
+        seen[s] += 1
+        worst = max(worst, *(abs(Fraction(w) * (t + 1) / total - seen[x]) for x, w in weights.items()))
+    assert worst < 1
+
+
+def test_slots_in_pieces_cover_every_block(spark, monkeypatch):
+    monkeypatch.setattr(M, "SLOTS", 5)
+    monkeypatch.setattr(M, "SMALL", 3)
+    docs = docs_of(spark, [(i, "x" * (i % 40)) for i in range(120)])
+    out = M.mix(docs, block_size=64).collect()
+    assert len(out) == 120
+    assert {r.mix_slot for r in out} == set(range(len({(r.source, r.mix_block) for r in out})))
