@@ -4,8 +4,9 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of
 the last one adds each document's place in the mix.  Each stage works on all that its
 predecessor kept:
 
-1. ``language``: documents without a letter, or that resemble none of the learned languages
-   (score below ``MIN_SCORE``), go; a document in any learned language stays.
+1. ``language``: documents without a letter, or that are familiar to none of the learned languages
+   (too few of their n-grams occur in its training rows, see ``language``), go; a document in any
+   learned language stays.
 2. ``line_dedup``: of lines of 20 characters or more that are equal, or one edit apart, the first
    in the corpus stays; documents that lose all their lines go.
 3. ``near_duplicates``: one document of each SimHash class stays (3-word shingles, 3 bits).
@@ -22,17 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.llm import decontaminate, language, line_dedup, mixing, simhash
-from dimloom.llm.common import read_table, stored
-
-MIN_SCORE = 0.25
+from dimloom.llm.common import packed, read_table, stored
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fit(docs.where(language.fold() != 0))
-    found = language.identify(docs, model)
     if not model.languages:  # nothing to learn from: nothing to judge by but letters
-        return found.where(F.col("text").rlike(r"\p{L}")).select(docs.columns)
-    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(docs.columns)
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return language.identify(packed(docs, "text"), model).where("familiar").select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

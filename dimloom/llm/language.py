@@ -5,11 +5,16 @@ occur in both texts (lower-cased, hashed into ``BUCKETS``), divided by sqrt(k(x,
 Nystroem landmarks approximate the kernel, one-versus-rest kernel ridge regression gives a
 weight column per language, and texts are scored in batches by two matrix products.
 
+The score does not fall for texts unlike all training rows (their kernel values, and so all
+decisions, go to 0).  ``familiar`` does: a text is familiar to a language if the share of its n-grams
+that the language's sample holds is at least ``FAMILIAR`` times the mean of that share over the
+sample's rows, each against the other rows.
+
 The classifier is fitted on a bounded sample: per language the ``PER_LANG`` training rows that
 come first in the order of a hash of the row, at most ``MAX_ROWS`` rows in all.  Only their
 n-gram presence bits reach the driver (``BUCKETS`` / 8 bytes a row).
 
-Nulls and edge cases: a text that is null or has no letter is ``und`` with score 0; rows with a
+Nulls and edge cases: a text that is null or has no letter is ``und`` with score 0 and not familiar; rows with a
 null lang or null text are not learned from; without any labelled row every text is ``und``;
 very long texts are read whole, in blocks; ties between languages go to the first in order of
 name; repeated rows are each returned; an empty table gives an empty result; other columns are
@@ -35,6 +40,8 @@ PER_LANG = 200
 LANDMARKS_PER_LANG = 48
 MAX_ROWS = 20_000
 RIDGE = 1e-2
+#: Part of a language's own mean share of known n-grams that a familiar text has at least.
+FAMILIAR = 0.5
 #: Code points read at once, and texts scored by one matrix product.
 BLOCK = 1 << 20
 ROWS = 128
@@ -59,11 +66,14 @@ def has_letter(text: str | None) -> bool:
 
 @dataclass
 class Model:
-    """languages: names in order; landmarks: rows of presence bits; weights: landmark x language."""
+    """languages: names in order; landmarks: rows of presence bits; weights: landmark x language;
+    seen: a row of presence bits for each language; least: the share of known n-grams of familiar texts."""
 
     languages: list[str]
     landmarks: np.ndarray
     weights: np.ndarray
+    seen: np.ndarray
+    least: np.ndarray
 
     def decision(self, flags: np.ndarray) -> np.ndarray:
         """One-versus-rest values of texts given as rows of presence flags."""
@@ -75,12 +85,19 @@ class Model:
         size = np.sqrt(np.maximum(x.sum(1), 1))[:, None] * np.sqrt(np.maximum(marks.sum(1), 1))[None, :]
         return ((x @ marks.T) / size) @ self.weights
 
+    def _familiar(self, flags: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """Whether texts, given as rows of presence flags, hold enough known n-grams of any language."""
+        x = flags.astype(np.float32)
+        return ((x @ seen.T) >= self.least * x.sum(1)[:, None]).any(1)
+
     def predict(self, texts: pd.Series) -> pd.DataFrame:
         names = np.full(len(texts), UNDETERMINED, dtype=object)
         scores = np.zeros(len(texts))
+        familiar = np.zeros(len(texts), bool)
         known = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
         if known:
             marks = np.unpackbits(self.landmarks, axis=1, bitorder="little").astype(np.float32)
+            seen = np.unpackbits(self.seen, axis=1, bitorder="little").astype(np.float32)
         for at in range(0, len(known), ROWS):
             rows = known[at: at + ROWS]
             flags = np.zeros((len(rows), BUCKETS), bool)
@@ -90,7 +107,8 @@ class Model:
             best = values.argmax(1)
             names[rows] = [self.languages[b] for b in best]
             scores[rows] = np.clip((values[np.arange(len(rows)), best] + 1) / 2, 0, 1)
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+            familiar[rows] = self._familiar(flags, seen)
+        return pd.DataFrame({"lang_pred": names, "score": scores, "familiar": familiar})
 
 
 def _sample(train: DataFrame, per_lang: int) -> DataFrame:
@@ -126,7 +144,8 @@ def fit(train: DataFrame, per_lang: int = PER_LANG, landmarks_per_lang: int = LA
     rows.sort(key=lambda r: (r["lang"], r["h"], bytes(r["bits"])))
     names = sorted({r["lang"] for r in rows})
     if not names:
-        return Model([], np.zeros((0, BUCKETS // 8), np.uint8), np.zeros((0, 0), np.float32))
+        none = np.zeros((0, BUCKETS // 8), np.uint8)
+        return Model([], none, np.zeros((0, 0), np.float32), none, np.zeros(0))
     packed = np.stack([np.frombuffer(bytes(r["bits"]), np.uint8) for r in rows])
     chosen, taken = [], dict.fromkeys(names, 0)
     for i, r in enumerate(rows):
@@ -142,18 +161,24 @@ def fit(train: DataFrame, per_lang: int = PER_LANG, landmarks_per_lang: int = LA
     target = np.array([[1.0 if r["lang"] == n else -1.0 for n in names] for r in rows])
     inner = features.T @ features + ridge * len(rows) / len(names) * np.eye(len(chosen))
     weights = root @ np.linalg.solve(inner, features.T @ target)
-    return Model(names, packed[chosen], weights.astype(np.float32))
+    seen, least = np.zeros((len(names), BUCKETS), bool), np.zeros(len(names))
+    for k, name in enumerate(names):
+        own = bits[[i for i, r in enumerate(rows) if r["lang"] == name]]
+        times = own.sum(0)
+        seen[k] = times > 0
+        least[k] = FAMILIAR * ((own @ (times > 1).astype(np.float32)) / np.maximum(own.sum(1), 1)).mean()
+    return Model(names, packed[chosen], weights.astype(np.float32), np.packbits(seen, axis=1, bitorder="little"), least)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (0 to 1)."""
-    @F.pandas_udf("lang_pred string, score double")
+    """``docs`` with lang_pred, score (0 to 1) and familiar."""
+    @F.pandas_udf("lang_pred string, score double, familiar boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield model.predict(texts)
 
-    rows = packed(docs, F.col(text).alias("text"), without=("lang_pred", "score"))
-    return rows.withColumn("found", predict("text")).select("row.*", "found.lang_pred", "found.score")
+    rows = packed(docs, F.col(text).alias("text"), without=("lang_pred", "score", "familiar"))
+    return rows.withColumn("found", predict("text")).select("row.*", "found.lang_pred", "found.score", "found.familiar")
 
 
 def fold(doc_id: str = "doc_id", folds: int = 5):

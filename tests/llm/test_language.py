@@ -36,3 +36,16 @@ def test_blocks_see_every_ngram(monkeypatch):
     monkeypatch.setattr(L, "BLOCK", 10)
     L.presence(text, parts)
     assert (whole == parts).all()
+
+
+def test_texts_of_no_learned_language_are_not_familiar(spark):
+    """Unknown scripts and strings of signs with letters among them go; held-out documents and short clean texts stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.fit(docs.where(L.fold() != 0))
+    strange = ["这是一个测试文本,关于天气和新闻。" * 20, "Это тестовый текст о погоде и новостях в городе Москва", "αυτό είναι ένα κείμενο",
+               "ж %$#@!~^&*() ф =+[]{}<> щ"]
+    clean = ["the of and that is", "Elle un la", "der und die"]
+    got = {r.doc_id: r.familiar for r in L.identify(docs_of(spark, list(enumerate(strange + clean)), ["familiar"]), model).collect()}
+    assert [got[i] for i in range(7)] == [False] * 4 + [True] * 3
+    held = L.identify(docs.where(L.fold() == 0).where(r"text rlike '\\p{L}'"), model)
+    assert held.where("NOT familiar").count() == 0

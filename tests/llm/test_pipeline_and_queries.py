@@ -63,3 +63,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, k) for k in range(1, 60)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 100 for k in range(101, 161)}, **{k: 0 for k in range(1, 60)}}
+
+
+def test_language_stage_rejects_unknown_scripts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    strange = docs_of(spark, [(-1, "这是一个测试文本,关于天气和新闻。" * 20), (-2, "Это тестовый текст о погоде и новостях")])
+    after = P.language_stage(spark, docs.unionByName(strange.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "source", "n_chars")), SF)
+    assert after.where("doc_id < 0").count() == 0
+    assert after.count() == docs.where(r"text rlike '\\p{L}'").count()
