@@ -7,8 +7,9 @@ predecessor kept:
 1. ``language``: documents without a letter, or that are familiar to none of the learned languages
    (too few of their n-grams occur in its training rows, see ``language``), go; a document in any
    learned language stays.
-2. ``line_dedup``: of lines of 20 characters or more that are equal, or one edit apart, the first
-   in the corpus stays; documents that lose all their lines go.
+2. ``line_dedup``: of lines of 20 characters or more that are equal, or apart by at most one edit for
+   every 15 characters and four in all, the first in the corpus stays; documents that lose all their
+   lines go.
 3. ``near_duplicates``: one document of each SimHash class stays (3-word shingles, 3 bits).
 4. ``decontaminate``: documents with at least one word in twenty inside benchmark windows go.
 5. ``mix``: every document gets its place in the mix of the sources.
@@ -34,7 +35,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.remove_repeats(docs, max_edits=1, min_chars=20)
+    cut = line_dedup.remove_repeats(docs, max_edits=4, min_chars=20, per_chars=15)
     return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 

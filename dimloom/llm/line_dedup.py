@@ -2,7 +2,8 @@
 
 Lines (between line feeds) are compared with ASCII case folded and white space cut from both
 ends.  Lines of ``min_chars`` characters or more form classes: equal lines, and lines linked by
-chains of at most ``max_edits`` insertions, deletions or substitutions.  The first occurrence of a
+chains of at most ``max_edits`` insertions, deletions or substitutions; with ``per_chars``, of at most
+one for every so many characters of the shorter line, up to ``max_edits``.  The first occurrence of a
 class, by (doc_id, line number), stays; shorter lines always stay.
 
 Search: a line is cut into max_edits + 1 segments.  If two lines are within max_edits, one segment
@@ -15,7 +16,7 @@ Equal lines are one entry before the search.  An index entry with more than ``bu
 expanded into pairs when max_edits is 1: its lines are linked through their one-edit
 neighbourhoods (each position left out, each position masked), one link for each neighbourhood
 point, which is linear in the lines' length and gives the same classes.  With a larger max_edits
-such an entry is verified pair by pair.
+such an entry is verified pair by pair, which grows with the square of its lines.
 
 A line is known by a 64-bit digest; among n different lines two share one with probability n^2 / 2^65.
 
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,32 +43,66 @@ MIN_CHARS = 20
 BUCKET = 128
 #: Pairs verified by one run of vector operations.
 PAIRS = 4096
+#: Characters of pairs held by one run of vector operations.
+CELLS = 1 << 20
+#: Rows up to which a table of digests or keys is broadcast.
+SMALL = 1_000_000
 
 
-def _segment(length: str, i: int, parts: int) -> tuple[str, str]:
-    """Start (from 0) and size of segment i of ``parts`` of a line of ``length``: even sizes, the rest in the last ones."""
-    size, rest = f"div({length}, {parts})", f"({length} % {parts})"
-    first_long = f"({parts} - {rest})"
-    return (f"({i} * {size} + greatest(0, {i} - {first_long}))", f"({size} + IF({i} >= {first_long}, 1, 0))")
+def _segment(length: np.ndarray, i: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start (from 0) and size of segment i of ``parts`` of lines of ``length``: even sizes, the rest in the last ones."""
+    size, rest = length // parts, length % parts
+    first_long = parts - rest
+    return i * size + np.maximum(0, i - first_long), size + (i >= first_long)
 
 
-def _keys(max_edits: int) -> tuple[str, str]:
-    """SQL arrays of the index keys and of the probe keys of a line ``norm`` of ``n`` characters."""
-    parts = max_edits + 1
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
-    def key(length: str, i: int, start: str, size: str) -> str:
-        return f"xxhash64({length}, {i}, substring(norm, cast({start} + 1 AS int), cast({size} AS int)))"
+def _keys(lines: DataFrame, max_edits: int) -> DataFrame:
+    """(h, key, own) of lines (h, norm): the index keys (own) and the probe keys of each line.
 
-    index = [key("n", i, *_segment("n", i, parts)) for i in range(parts)]
-    probes = []
-    for less in range(max_edits + 1):
-        for i in range(parts):
-            start, size = _segment(f"(n - {less})", i, parts)
-            low, high = max(-i, less - (max_edits - i)), min(i, less + (max_edits - i))
-            for shift in range(low, high + 1):
-                if less or shift:  # the line's own entry is in the index
-                    probes.append(key(f"(n - {less})", i, f"{start} + {shift}", size))
-    return f"array({', '.join(index)})", f"array({', '.join(probes)})"
+    Substrings are hashed by prefix sums over many lines at once; a key has 40 bits, and lines that
+    share one by chance are told apart when pairs are verified.
+    """
+    parts = max_edits + 1
+    base = 0x9E3779B97F4A7C15
+    back = pow(base, -1, 1 << 64)
+
+    def rows(h: np.ndarray, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        n = np.fromiter(map(len, texts), np.int64, len(texts))
+        begin = np.cumsum(n) - n
+        up = np.multiply.accumulate(np.full(len(codes) + 1, base, np.uint64))
+        down = np.multiply.accumulate(np.full(len(codes) + 1, back, np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(codes + np.uint64(1)) * up[:-1], dtype=np.uint64)])
+
+        def row(less: int, i: int, shift: int) -> pa.RecordBatch:
+            length = n - less
+            start, size = _segment(length, i, parts)
+            fits = np.flatnonzero(length >= parts)  # shorter lines take no part
+            at, end = (begin + start + shift)[fits], (begin + start + shift + size)[fits]
+            part = _mixed((sums[end] - sums[at]) * down[at])
+            key = _mixed(part ^ (length[fits].astype(np.uint64) * np.uint64(64) + np.uint64(i))) >> np.uint64(24)
+            return pa.RecordBatch.from_arrays([pa.array(h[fits]), pa.array(key.view(np.int64)), pa.array(np.full(len(fits), not (less or shift)))],
+                                              ["h", "key", "own"])
+
+        for less in range(max_edits + 1):
+            for i in range(parts):
+                low, high = max(-i, less - (max_edits - i)), min(i, less + (max_edits - i))
+                for shift in range(low, high + 1):
+                    yield row(less, i, shift)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAIRS):
+                piece = batch.slice(at, PAIRS)
+                yield from rows(np.asarray(piece.column(0)), piece.column(1).to_pylist())
+
+    return lines.select("h", "norm").mapInArrow(run, "h long, key long, own boolean")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -80,8 +116,15 @@ def within(a: list[str], b: list[str], max_edits: int) -> np.ndarray:
     """Whether each pair of strings is within ``max_edits``: banded bit-parallel edit distance, vectorised over pairs."""
     ok = np.zeros(len(a), bool)
     order = sorted(range(len(a)), key=lambda i: max(len(a[i]), len(b[i])))
-    for at in range(0, len(order), PAIRS):
-        rows = [i for i in order[at: at + PAIRS] if abs(len(a[i]) - len(b[i])) <= max_edits]
+    at = 0
+    while at < len(order):
+        # in order of length: as many pairs as the last one that may belong leaves cells for
+        size = max(1, min(PAIRS, CELLS // max(1, len(a[order[at]]), len(b[order[at]]))))
+        longest = order[min(at + size, len(order)) - 1]
+        size = max(1, min(size, CELLS // max(1, len(a[longest]), len(b[longest]))))
+        group = order[at: at + size]
+        at += size
+        rows = [i for i in group if abs(len(a[i]) - len(b[i])) <= max_edits]
         short = [i for i in rows if min(len(a[i]), len(b[i])) <= max_edits]
         for i in short:
             ok[i] = _distance(a[i], b[i]) <= max_edits
@@ -101,7 +144,7 @@ def _distance(a: str, b: str) -> int:
 
 
 def _codes(texts: list[str], width: int, before: int, fill: int) -> np.ndarray:
-    out = np.full((width, len(texts)), fill, np.int64)
+    out = np.full((width, len(texts)), fill, np.int32)
     for k, t in enumerate(texts):
         out[before: before + len(t), k] = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
     return out
@@ -157,23 +200,19 @@ def _neighbourhood(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "kind": np.concatenate([[0], np.full(n, 1), np.full(n, 2)]).astype(np.int32)}).drop_duplicates()
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, norm) of the lines whose digest is in ``wanted(h)``, once each; ``wanted`` is broadcast while it is small."""
-    lines = _lines(docs).select(F.xxhash64("norm").alias("h"), "norm")
-    small = wanted.count() <= 1_000_000
-    return stored(lines.join(F.broadcast(wanted) if small else wanted, "h", "left_semi").dropDuplicates(["h"]), "lines-texts")
+def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, norm) of the lines whose digest is in ``wanted(h)``; ``wanted`` is broadcast while it is small."""
+    small = wanted.count() <= SMALL
+    return stored(lines.join(F.broadcast(wanted) if small else wanted, "h", "left_semi"), "lines-texts")
 
 
-def line_links(docs: DataFrame, occurrences: DataFrame, max_edits: int = MAX_EDITS, bucket: int = BUCKET) -> DataFrame:
-    """Verified links (a, b) between digests of different lines, a < b."""
-    lines = stored(occurrences.where("index IS NOT NULL").select("h", "index", "probes").dropDuplicates(["h"]), "lines-distinct")
-    index = lines.select(F.col("h").alias("a"), F.explode("index").alias("key"))
-    probes = lines.select(F.col("h").alias("b"), F.explode("probes").alias("key"))
-    sizes = index.select("key").union(probes.select("key")).groupBy("key").count()
+def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, bucket: int = BUCKET, per_chars: int = 0) -> DataFrame:
+    """Verified links (a, b), a < b, between digests of the different lines (h, norm)."""
     # keys of two lines or more; the others meet nothing
-    shared = stored(sizes.where("count > 1"), "lines-shared")
-    index = stored(index.join(shared, "key"), "lines-index")
-    probes = stored(probes.join(shared, "key"), "lines-probes")
+    shared = stored(_keys(lines, max_edits).groupBy("key").count().where("count > 1"), "lines-shared")
+    found = stored(_keys(lines, max_edits).join(F.broadcast(shared) if shared.count() <= SMALL else shared, "key"), "lines-keys")
+    index = found.where("own").select("key", F.col("h").alias("a"), "count")
+    probes = found.where("NOT own").select("key", F.col("h").alias("b"), "count")
     crowded = F.col("count") > bucket if max_edits == 1 else F.lit(False)
     few = index.where(~crowded).select("key", "a")
     pairs = few.join(few.withColumnRenamed("a", "b"), "key").where("a < b").select("a", "b").union(
@@ -181,38 +220,44 @@ def line_links(docs: DataFrame, occurrences: DataFrame, max_edits: int = MAX_EDI
     if max_edits == 1:
         hot = stored(index.where(crowded).select(F.col("a").alias("h")).union(probes.where(crowded).select("b")).distinct(), "lines-hot")
         if hot.limit(1).count():
-            points = stored(_texts(docs, hot).mapInPandas(_neighbourhood, "h long, point long, kind int"), "lines-points")
+            points = stored(_texts(lines, hot).mapInPandas(_neighbourhood, "h long, point long, kind int"), "lines-points")
             # a line and the lines that become it by leaving one position out; lines equal but for one position
             hubs = points.where("kind <> 1").groupBy("kind", "point").agg(F.min("h").alias("hub"))
             linked = points.withColumn("kind", F.when(F.col("kind") == 1, 0).otherwise(F.col("kind"))).join(
                 hubs, ["kind", "point"]).where("h <> hub")
             pairs = pairs.union(linked.select(F.least("h", "hub"), F.greatest("h", "hub")))
     pairs = stored(pairs.distinct(), "lines-pairs")
-    texts = _texts(docs, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct())
+    texts = _texts(lines, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct())
 
     @F.pandas_udf("boolean")
     def near(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for x, y in batches:
-            yield pd.Series(within(list(x), list(y), max_edits))
+            allowed = np.full(len(x), max_edits)
+            if per_chars:
+                allowed = np.minimum(max_edits, np.minimum(x.str.len(), y.str.len()) // per_chars)
+            ok = np.zeros(len(x), bool)
+            for most in np.unique(allowed):
+                rows = np.flatnonzero(allowed == most)
+                ok[rows] = within(list(x.iloc[rows]), list(y.iloc[rows]), int(most))
+            yield pd.Series(ok)
 
     both = (pairs.join(texts.select(F.col("h").alias("a"), F.col("norm").alias("a_text")), "a")
             .join(texts.select(F.col("h").alias("b"), F.col("norm").alias("b_text")), "b"))
     return stored(both.where(near("a_text", "b_text")).select("a", "b"), "lines-links")
 
 
-def classify(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, bucket: int = BUCKET) -> DataFrame:
+def classify(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, bucket: int = BUCKET,
+             per_chars: int = 0) -> DataFrame:
     """One row per line of each document: doc_id, text_key, line_no, first_doc_id, first_line_no, kept.
 
     ``first_*`` is the place of the class's first occurrence (null for lines below ``min_chars``, which have no class).
     """
-    index, probes = _keys(max_edits)
     least = max(min_chars, max_edits + 1)
-    # one list of keys for each line that takes part; equal documents are one
-    occurrences = stored(_lines(docs.select("doc_id", "text")).selectExpr(
-        "doc_id", "text_key", "line_no", f"CASE WHEN n >= {least} THEN xxhash64(norm) END AS h",
-        f"CASE WHEN n >= {least} THEN {index} END AS index", f"CASE WHEN n >= {least} THEN {probes} END AS probes"),
-        "lines-occurrences")
-    links = line_links(docs, occurrences, max_edits, bucket)
+    whole = _lines(docs.select("doc_id", "text")).withColumn("h", F.expr(f"CASE WHEN n >= {least} THEN xxhash64(norm) END"))
+    occurrences = stored(whole.select("doc_id", "text_key", "line_no", "h"), "lines-occurrences")
+    # each different line that takes part, once
+    lines = stored(whole.where("h IS NOT NULL").select("h", "norm").dropDuplicates(["h"]), "lines-distinct")
+    links = line_links(lines, max_edits, bucket, per_chars)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "line_no")
     each = occurrences.where("h IS NOT NULL").groupBy("h").agg(F.min(place).alias("first"))
     rooted = stored(each.join(components(links, "lines-components").withColumnRenamed("node", "h"), "h", "left")
@@ -227,9 +272,9 @@ def classify(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
                "AND class_first.line_no = line_no)").alias("kept"))
 
 
-def remove_repeats(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def remove_repeats(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, per_chars: int = 0) -> DataFrame:
     """``docs`` with every line cut that is not the first of its class; rows that lose all their lines go."""
-    gone = stored(classify(docs, max_edits, min_chars).where("NOT kept").groupBy("doc_id", "text_key")
+    gone = stored(classify(docs, max_edits, min_chars, per_chars=per_chars).where("NOT kept").groupBy("doc_id", "text_key")
                   .agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_id"), "lines-gone")
     key = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("text_key"))
     joined = packed(docs, "doc_id", "text").join(gone, key, "left")

@@ -66,7 +66,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per line: the place of the first line of its class, and whether it stays."""
-    found = line_dedup.classify(read_table(spark, sf_dir, "documents"), max_edits=1, min_chars=20)
+    found = line_dedup.classify(read_table(spark, sf_dir, "documents"), max_edits=4, min_chars=20, per_chars=15)
     return found.select("doc_id", "line_no", "first_doc_id", "first_line_no", "kept")
 
 

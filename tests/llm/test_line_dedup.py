@@ -69,3 +69,25 @@ def test_remove_repeats(spark):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
         [(1, f"head\n{long}\nshort")] * 2 + [(2, "short"), (4, None), (5, ""), (6, "x")], key=str)
     assert L.remove_repeats(docs_of(spark, rows).limit(0)).count() == 0
+
+
+def test_edits_by_length(spark):
+    """A changed word of a long line is a near copy; a short line may differ by one character only."""
+    long = "the licence of this work and of all its parts is given to everyone who reads it"
+    rows = [(1, long), (2, long.replace("work", "book")), (3, long.replace("everyone", "nobody at all")),
+            (4, "a line of 25 characters.."), (5, "a line of 25 charactersxy"), (6, "a line of 25 characters.y")]
+    got = {r.doc_id: r.first_doc_id for r in L.classify(docs_of(spark, rows[:5]), 4, 20, per_chars=15).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    got = {r.doc_id: r.first_doc_id for r in L.classify(docs_of(spark, rows), 4, 20, per_chars=15).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 4}
+
+
+def test_production_runs_find_a_changed_word(spark, tmp_path):
+    from corpus_pipeline import line_stage
+    from dimloom.llm.queries import op7_line_dedup
+
+    long = "the licence of this work and of all its parts is given to everyone who reads it"
+    docs = docs_of(spark, [(1, long), (2, long.replace("work", "book"))])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r.kept for r in op7_line_dedup(spark, str(tmp_path)).orderBy("doc_id").collect()] == [True, False]
+    assert [r.doc_id for r in line_stage(spark, docs, "").collect()] == [1]
