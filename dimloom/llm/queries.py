@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
+from . import chat, decontaminate, exact_dedup, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,12 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         order_minhash.as_text("edited_sig").alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.classify(read_table(spark, sf_dir, "documents"), largest=True)
+    return found.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept",
+                        F.lower(F.hex("sha")).alias("text_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -101,6 +107,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_chat_format": op9_chat_format,
         "op10_order_minhash": op10_order_minhash,
+        "op12_exact_dedup": op12_exact_dedup,
     }
 
 
@@ -126,5 +133,14 @@ FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
 """
 
 
+OP12_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+           FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": OP6_SQL}
+    return {"op6_decontaminate": OP6_SQL, "op12_exact_dedup": OP12_SQL}
