@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
+from . import centroids, chat, decontaminate, exact_dedup, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,12 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         order_minhash.as_text("edited_sig").alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed="2")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        centroids.digest_of("centroid").alias("centroid_sha256"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.classify(read_table(spark, sf_dir, "documents"), largest=True)
     return found.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept",
@@ -107,6 +113,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_chat_format": op9_chat_format,
         "op10_order_minhash": op10_order_minhash,
+        "op11_centroids": op11_centroids,
         "op12_exact_dedup": op12_exact_dedup,
     }
 
@@ -133,6 +140,29 @@ FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
 """
 
 
+def _op11_sql(rounds: int = 5) -> str:
+    """Rounds of assignment to all centroids and of floored means, one after the other."""
+    near = """a{r} AS MATERIALIZED (SELECT rid, e, c, d FROM (
+      SELECT rid, v.e, c, list_sum([CAST((p[1] - p[2]) * (p[1] - p[2]) AS HUGEINT) FOR p IN list_zip(v.e, k{r}.e)]) AS d FROM v CROSS JOIN k{r})
+    QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)"""
+    mean = """s{r} AS (SELECT c, i, sum(CAST(e[i] AS HUGEINT)) AS s, CAST(count(*) AS HUGEINT) AS n
+      FROM (SELECT c, e, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY c, i),
+    m{r} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM s{r} GROUP BY c),
+    k{next} AS MATERIALIZED (SELECT k{r}.c, coalesce(m{r}.e, k{r}.e) AS e FROM k{r} LEFT JOIN m{r} USING (c))"""
+    steps = [near.format(r=r) + ",\n" + mean.format(r=r, next=r + 1) for r in range(rounds)]
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF isfinite(x)]) = 64),
+k0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, e) - 1 AS c, e FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, e) <= 40),
+{(",").join(chr(10) + s for s in steps)},
+{near.format(r=rounds)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(k{rounds}.e, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (rid) JOIN k{rounds} USING (c)
+"""
+
+
 OP12_SQL = """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
            FROM documents)
@@ -143,4 +173,4 @@ FROM d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": OP6_SQL, "op12_exact_dedup": OP12_SQL}
+    return {"op6_decontaminate": OP6_SQL, "op11_centroids": _op11_sql(), "op12_exact_dedup": OP12_SQL}
