@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat, decontaminate, exact_dedup, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
+from . import centroids, chat, collocations, decontaminate, exact_dedup, hpylm, language, line_dedup, mixing, order_minhash, simhash, tokens, url_filter
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,11 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.mine(docs, max_words=4, min_count=30, top=2000, cover=80, scale=2_000_000)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -115,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op10_order_minhash": op10_order_minhash,
         "op11_centroids": op11_centroids,
         "op12_exact_dedup": op12_exact_dedup,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -172,5 +178,30 @@ FROM d
 """
 
 
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, [x for x in string_split_regex(piece, '[\x20\x09]+') if x <> ''] AS w FROM d),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, p, CAST(count(*) AS HUGEINT) AS f FROM (
+  SELECT lang, unnest([w[i : i + 0] FOR i IN range(1, len(w) + 1)]) AS p FROM w UNION ALL
+  SELECT lang, unnest([w[i : i + 1] FOR i IN range(1, len(w))]) FROM w UNION ALL
+  SELECT lang, unnest([w[i : i + 2] FOR i IN range(1, len(w) - 1)]) FROM w UNION ALL
+  SELECT lang, unnest([w[i : i + 3] FOR i IN range(1, len(w) - 2)]) FROM w) GROUP BY lang, p HAVING count(*) >= 30),
+c AS (SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1),
+s AS (SELECT c.lang, c.p, a, k, l.f AS l, r.f AS r, 2000000::HUGEINT * a // (l.f + r.f) AS score FROM c
+  JOIN f AS l ON l.lang = c.lang AND l.p = c.p[1 : k] JOIN f AS r ON r.lang = c.lang AND r.p = c.p[k + 1 : len(c.p)]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+o AS (SELECT lang, sub, max(f) AS around FROM (
+  SELECT lang, f, unnest([p[i : i + 1] FOR i IN range(1, len(p))]) AS sub FROM f WHERE len(p) > 2 UNION ALL
+  SELECT lang, f, unnest([p[i : i + 2] FOR i IN range(1, len(p) - 1)]) FROM f WHERE len(p) > 3) GROUP BY lang, sub),
+k AS (SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, l, r, score FROM b LEFT JOIN o ON o.lang = b.lang AND o.sub = b.p
+  WHERE o.around IS NULL OR 100 * o.around < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a,
+       CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM k JOIN n USING (lang) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": OP6_SQL, "op11_centroids": _op11_sql(), "op12_exact_dedup": OP12_SQL}
+    return {"op6_decontaminate": OP6_SQL, "op11_centroids": _op11_sql(), "op12_exact_dedup": OP12_SQL, "op13_collocations": OP13_SQL}
