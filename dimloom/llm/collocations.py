@@ -46,11 +46,11 @@ from .quotient_filter import Filter, Shape, counted, from_bytes, merged, permute
 #: Words of the broadcast table.
 HEAD = 1 << 19
 #: Different words a task counts before it sends them.
-WORDS = 1 << 20
+WORDS = 1 << 19
 #: Ids of a stored run, of whole documents.
 RUN = 1 << 18
 #: Values of a task's filter before it is sent, and of a shard.
-FLUSH, SHARD = 1 << 22, 1 << 20
+FLUSH, SHARD = 1 << 20, 1 << 20
 #: Bits of a shard's number in the first round.
 ROUTE = 12
 PRUNE_BITS = 28
@@ -81,11 +81,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = defaultdict(Counter)
+        size = 0
         for batch in batches:
             for lang, text in _texts(batch):
-                found[lang].update(words_of(text))
-                if len(found[lang]) > WORDS:
+                mine = found[lang]
+                size -= len(mine)
+                mine.update(words_of(text))
+                size += len(mine)
+                if size > WORDS:
                     yield from rows(found)
+                    size = 0
         yield from rows(found)
 
     return docs.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
