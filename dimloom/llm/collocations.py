@@ -19,7 +19,7 @@ changes no result.
 
 Bounds: words are looked up in a broadcast table of the ``head`` most frequent ones; further words
 are joined to the documents that have them, and, being rarer, are not skewed.  A task's filter is
-sent when it has ``FLUSH`` values; a shard has about ``SHARD`` values, through a second round of
+sent when it has a million values; a shard has about ``SHARD`` values, through a second round of
 shards where they are many.  The bit table has 2^``PRUNE_BITS`` bits at most.  Ids have 32 bits at
 most: up to four billion different frequent words.
 
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .quotient_filter import Filter, Shape, counted, from_bytes, merged, permuted, restored, shards
+from .quotient_filter import Collector, Shape, bit_table, bits_set, counted, from_bytes, merged, permuted, restored
 
 #: Words of the broadcast table.
 HEAD = 1 << 19
@@ -49,8 +49,8 @@ HEAD = 1 << 19
 WORDS = 1 << 19
 #: Ids of a stored run, of whole documents.
 RUN = 1 << 18
-#: Values of a task's filter before it is sent, and of a shard.
-FLUSH, SHARD = 1 << 20, 1 << 20
+#: Values of a shard.
+SHARD = 1 << 20
 #: Bits of a shard's number in the first round.
 ROUTE = 12
 PRUNE_BITS = 28
@@ -180,31 +180,6 @@ def _with_rare_words(docs: DataFrame, rare: DataFrame, shared) -> DataFrame:
     return stored(texts.join(each, "row", "left").select("lang", "text", "rare"), "collocations-rare")
 
 
-class _Collected:
-    """The filter of a task: runs are merged as they come, and given out in shards when they are many."""
-
-    def __init__(self, shape: Shape, shard_bits: int):
-        self.shape, self.shard_bits, self.parts, self.size, self.least = shape, shard_bits, [], 0, 0
-
-    def add(self, part: Filter) -> Iterator[pa.RecordBatch]:
-        self.parts.append(part)
-        self.size += len(part.top)
-        if self.size > max(FLUSH // 2, 2 * self.least):
-            self.parts = [merged(self.parts)]
-            self.size = self.least = len(self.parts[0].top)
-            if self.size > FLUSH:
-                yield from self.rows()
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            found = shards(merged(self.parts), self.shape, self.shard_bits)
-            self.parts, self.size, self.least = [], 0, 0
-            for at in range(0, len(found), 1024):
-                some = found[at: at + 1024]
-                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in some], pa.int64()), pa.array([b for _, b in some], pa.binary())],
-                                                 ["shard", "filter"])
-
-
 def _positions(ids: np.ndarray, n: int, bits: int, tables: dict[int, tuple[int, np.ndarray]]) -> np.ndarray:
     """Places of the phrases of n words all of whose shorter phrases may be frequent."""
     on = ids > 0
@@ -213,7 +188,7 @@ def _positions(ids: np.ndarray, n: int, bits: int, tables: dict[int, tuple[int,
         shape = Shape(m, bits)
         table_bits, table = tables[m]
         slot = permuted([ids[at + k] for k in range(m)], shape)[0] >> np.uint64(shape.top_bits - table_bits)
-        at = at[(table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+        at = at[bits_set(table, slot)]
         may = np.zeros(len(ids) + 1, bool)
         may[at] = True
         at = at[may[at + 1]]
@@ -228,7 +203,7 @@ def _phrases(runs: DataFrame, n: int, bits: int, total: int, min_count: int, tab
     table_bits = min(shape.top_bits, max(shard_bits + 3, min(PRUNE_BITS, (16 * total // min_count).bit_length())))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, known = _Collected(shape, first_bits), tables.value
+        mine, known = Collector(shape, first_bits), tables.value
         for batch in batches:
             for data in batch.column("ids").to_pylist():
                 ids = np.frombuffer(data, dtype)
@@ -237,7 +212,7 @@ def _phrases(runs: DataFrame, n: int, bits: int, total: int, min_count: int, tab
         yield from mine.rows()
 
     def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = _Collected(shape, shard_bits)
+        mine = Collector(shape, shard_bits)
         for batch in batches:
             for s, data in zip(batch.column("shard").to_pylist(), batch.column("filter").to_pylist(), strict=True):
                 yield from mine.add(from_bytes(data, shape, first_bits, s))
@@ -249,12 +224,12 @@ def _phrases(runs: DataFrame, n: int, bits: int, total: int, min_count: int, tab
         often = np.flatnonzero(found.count >= min_count)
         top = found.top[often]
         phrases = restored(top, None if found.rest is None else found.rest[often], shape).astype(np.int64)
-        here = np.zeros(1 << (table_bits - shard_bits), np.uint8)
-        here[((top >> np.uint64(shape.top_bits - table_bits)) & np.uint64(len(here) - 1)).astype(np.int64)] = 1
+        size = 1 << (table_bits - shard_bits)
+        here = bit_table((top >> np.uint64(shape.top_bits - table_bits)) & np.uint64(size - 1), size)
         lists = pa.ListArray.from_arrays(np.arange(0, len(often) * n + 1, n, dtype=np.int32), phrases.ravel()).to_pylist()
         return pa.table({"phrase": pa.array([*lists, None], pa.list_(pa.int64())), "f": pa.array([*found.count[often].tolist(), None], pa.int64()),
                          "shard": pa.array([shard] * (len(often) + 1), pa.int64()),
-                         "slots": pa.array([None] * len(often) + [np.packbits(here, bitorder="little").tobytes()], pa.binary())})
+                         "slots": pa.array([None] * len(often) + [here], pa.binary())})
 
     kind = "shard long, filter binary"
     filters = runs.select("ids").mapInArrow(count, kind)

@@ -6,24 +6,32 @@ chains of at most ``max_edits`` insertions, deletions or substitutions; with ``p
 one for every so many characters of the shorter line, up to ``max_edits``.  The first occurrence of a
 class, by (doc_id, line number), stays; shorter lines always stay.
 
-Search: a line is cut into max_edits + 1 segments.  If two lines are within max_edits, one segment
-of the shorter occurs in the longer, at a position that the multi-match-aware rule narrows to a few
-shifts.  Segments are indexed under (length, segment number, substring) and each line probes the
-indexes of its own and of the next max_edits smaller lengths.  Candidates are verified with banded
-bit-parallel edit distance, many pairs at a time.
-
-Equal lines are one entry before the search.  An index entry with more than ``bucket`` lines is not
-expanded into pairs when max_edits is 1: its lines are linked through their one-edit
-neighbourhoods (each position left out, each position masked), one link for each neighbourhood
-point, which is linear in the lines' length and gives the same classes.  With a larger max_edits
-such an entry is verified pair by pair, which grows with the square of its lines.
-
-A line is known by a 64-bit digest; among n different lines two share one with probability n^2 / 2^65.
+Search: a line is cut into one segment more than the edits that its own length allows.  If a longer
+line is within them, one segment occurs in it unchanged, at a position that the multi-match-aware
+rule narrows to a few shifts.  Segments are indexed under (length, segment number, substring); each
+line probes the indexes of its own and of the next smaller lengths, each cut by that length's edits.
+First the keys alone are counted in quotient filters (``quotient_filter``), dealt by their leading
+bits; keys with an index entry that another line meets become a bit table of at most 2^TABLE bits.
+Then lines are sent only under keys whose bit is set; a bit that is taken by chance costs a row and
+changes nothing.  Candidates whose character pairs differ in more parities than the edits allow are
+dropped; the others are verified with banded bit-parallel edit distance, many pairs at a time.
+
+A key with more than ``bucket`` lines is not expanded into pairs.  Its pivot, the line that most tasks
+met, is verified against all others; those within the edits are linked to it.  By the triangle
+inequality the rest needs the linked ones only where it is within twice the edits of the pivot.  The
+rest is compared with what remains in blocks of ``BLOCK`` lines by ``BLOCK`` lines: inside a block lines that are
+linked already are not compared again, and at most one link a line comes out.  This is exact; its
+rows are linear while near copies gather around pivots, and its comparisons grow with the square
+only of lines that share a key, are alike in their character pairs and are not within the edits.
+
+Equal lines are one line of a task and of a key.  A line is known by a 64-bit digest; among n
+different lines two share one with probability n^2 / 2^65.
 
 Nulls and edge cases: a null text has no lines and stays null; an empty text is one empty line; a
 null doc_id comes after all others; rows that repeat both doc_id and text are one document and keep
-the same lines; repeated lines within a document count as occurrences like any others; an empty
-table gives an empty result; other columns are kept by ``remove_repeats`` and ignored elsewhere.
+the same lines; repeated lines within a document count as occurrences like any others; lines of any
+length are compared whole; an empty table gives an empty result; other columns are kept by
+``remove_repeats`` and ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -33,20 +41,42 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ascii_lower, components, packed, stored
+from .common import components, packed, stored
+from .quotient_filter import Collector, Shape, bit_table, bits_set, counted, from_bytes, merged
 
 MAX_EDITS = 1
 MIN_CHARS = 20
-BUCKET = 128
-#: Pairs verified by one run of vector operations.
+BUCKET = 64
+BLOCK = 512
+#: Pairs verified, or lines cut, by one run of vector operations.
 PAIRS = 4096
-#: Characters of pairs held by one run of vector operations.
+#: Characters held by one run of vector operations.
 CELLS = 1 << 20
-#: Rows up to which a table of digests or keys is broadcast.
-SMALL = 1_000_000
+#: Lines that a task remembers as met.
+MET = 1 << 20
+#: Bits of a key, and of the largest table of keys or digests.
+KEY, TABLE = 41, 27
+#: Keys of a shard when they are counted.
+SHARD = 1 << 20
+#: A key and whether it is an index key, as one value of a quotient filter.
+SHAPE = Shape(2, (KEY + 1) // 2)
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+U = np.uint64
+BASE = 0x9E3779B97F4A7C15
+BACK = pow(BASE, -1, 1 << 64)
+
+
+def _lines_of(text: str) -> list[str]:
+    return [x.strip(" \t\r\x0b\x0c") for x in text.encode().translate(_FOLD).decode().split("\n")]
+
+
+def _digest(line: str) -> int:
+    return xxhash.xxh64_intdigest(line, 42)
 
 
 def _segment(length: np.ndarray, i: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,59 +87,98 @@ def _segment(length: np.ndarray, i: int, parts: int) -> tuple[np.ndarray, np.nda
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+    return x ^ (x >> U(31))
 
 
-def _keys(lines: DataFrame, max_edits: int) -> DataFrame:
-    """(h, key, own) of lines (h, norm): the index keys (own) and the probe keys of each line.
+_COMMON = _mixed(np.arange(1, (1 << 16) + 1, dtype=U))
+
+
+def _allowed(n, max_edits: int, per_chars: int):
+    return np.minimum(max_edits, n // per_chars) if per_chars else np.full_like(n, max_edits)
 
-    Substrings are hashed by prefix sums over many lines at once; a key has 40 bits, and lines that
-    share one by chance are told apart when pairs are verified.
-    """
-    parts = max_edits + 1
-    base = 0x9E3779B97F4A7C15
-    back = pow(base, -1, 1 << 64)
-
-    def rows(h: np.ndarray, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        n = np.fromiter(map(len, texts), np.int64, len(texts))
-        begin = np.cumsum(n) - n
-        up = np.multiply.accumulate(np.full(len(codes) + 1, base, np.uint64))
-        down = np.multiply.accumulate(np.full(len(codes) + 1, back, np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(codes + np.uint64(1)) * up[:-1], dtype=np.uint64)])
-
-        def row(less: int, i: int, shift: int) -> pa.RecordBatch:
-            length = n - less
-            start, size = _segment(length, i, parts)
-            fits = np.flatnonzero(length >= parts)  # shorter lines take no part
-            at, end = (begin + start + shift)[fits], (begin + start + shift + size)[fits]
-            part = _mixed((sums[end] - sums[at]) * down[at])
-            key = _mixed(part ^ (length[fits].astype(np.uint64) * np.uint64(64) + np.uint64(i))) >> np.uint64(24)
-            return pa.RecordBatch.from_arrays([pa.array(h[fits]), pa.array(key.view(np.int64)), pa.array(np.full(len(fits), not (less or shift)))],
-                                              ["h", "key", "own"])
 
+class _Cut:
+    """Lines of one run of vector operations."""
+
+    def __init__(self, h: list[int], texts: list[str]):
+        self.h = np.array(h, U).view(np.int64)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.mixed = _COMMON[codes] if codes.max() < len(_COMMON) else _mixed(codes.astype(U) + U(1))
+        self.n = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.begin = np.cumsum(self.n) - self.n
+
+    def keys(self, max_edits: int, per_chars: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """(lines, keys, whether they are index keys): of each line, of all shifts of all segments that it may share."""
+        up = np.multiply.accumulate(np.concatenate([np.ones(1, U), np.full(len(self.mixed) - 1, BASE, U)]))
+        down = np.multiply.accumulate(np.concatenate([np.ones(1, U), np.full(len(self.mixed), BACK, U)]))
+        sums = np.zeros(len(self.mixed) + 1, U)
+        np.cumsum(self.mixed * up, dtype=U, out=sums[1:])
         for less in range(max_edits + 1):
-            for i in range(parts):
-                low, high = max(-i, less - (max_edits - i)), min(i, less + (max_edits - i))
-                for shift in range(low, high + 1):
-                    yield row(less, i, shift)
+            every = self.n - less
+            edits = _allowed(every, max_edits, per_chars)
+            for t in range(max(1, less), max_edits + 1):
+                rows = np.flatnonzero((edits == t) & (every > t))
+                if not len(rows):
+                    continue
+                length, begin = every[rows], self.begin[rows]
+                salt = length.astype(U) * U(64)
+                for i in range(t + 1):
+                    start, size = _segment(length, i, t + 1)
+                    for shift in range(max(-i, less - (t - i)), min(i, less + (t - i)) + 1):
+                        at = begin + start + shift
+                        part = _mixed((sums[at + size] - sums[at]) * down[at])
+                        yield rows, _mixed(part ^ (salt + U(i))) >> U(64 - KEY), not (less or shift)
+
+    def pair_parities(self) -> np.ndarray:
+        """64 parities of each line's character pairs: an edit changes four of them at most."""
+        bits = np.zeros(len(self.mixed), U)
+        bits[:-1] = U(1) << (_mixed(self.mixed[:-1] * U(3) + self.mixed[1:]) >> U(58))
+        bits[self.begin + self.n - 1] = 0
+        return np.bitwise_xor.reduceat(bits, self.begin).view(np.int64)
+
+
+def _cuts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[list[int], list[str]]]:
+    """(digests, lines) of ``least`` characters or more, each line once while the task remembers it."""
+    met: set[int] = set()
+    h, texts, chars = [], [], 0
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            for line in _lines_of(text) if text is not None else ():
+                if len(line) >= least and (d := _digest(line)) not in met:
+                    met.add(d)
+                    h.append(d)
+                    texts.append(line)
+                    chars += len(line)
+                    if len(h) == PAIRS or chars > CELLS:
+                        yield h, texts
+                        h, texts, chars = [], [], 0
+            if len(met) > MET:
+                met.clear()
+    if h:
+        yield h, texts
+
+
+def _occurrences(docs: DataFrame, least: int) -> DataFrame:
+    """(doc_id, text_key, line_no, h): every line of every row; h is null below ``least`` characters."""
+    docs = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, PAIRS):
-                piece = batch.slice(at, PAIRS)
-                yield from rows(np.asarray(piece.column(0)), piece.column(1).to_pylist())
-
-    return lines.select("h", "norm").mapInArrow(run, "h long, key long, own boolean")
+            number, line_no, h = [], [], []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                lines = _lines_of(text)
+                number += [i] * len(lines)
+                line_no += range(len(lines))
+                h += [_digest(x) if len(x) >= least else None for x in lines]
+            known = np.array([x is not None for x in h], bool)
+            digests = np.array([x or 0 for x in h], U).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(number, pa.int64())), batch.column("text_key").take(pa.array(number, pa.int64())),
+                                              pa.array(line_no, pa.int32()), pa.array(digests, mask=~known)], ["doc_id", "text_key", "line_no", "h"])
 
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, norm, n): every line of every row."""
-    return (docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .withColumn("norm", F.btrim(ascii_lower(F.col("line")), F.lit(" \t\r\x0b\x0c")))
-            .withColumn("n", F.length("norm").cast("long")).drop("line"))
+    return docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], docs.schema["text_key"],
+                                              T.StructField("line_no", T.IntegerType()), T.StructField("h", T.LongType())]))
 
 
 def within(a: list[str], b: list[str], max_edits: int) -> np.ndarray:
@@ -179,71 +248,217 @@ def _banded(a: list[str], b: list[str], max_edits: int) -> np.ndarray:
     return distance <= max_edits
 
 
-def _neighbourhood(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(h, point, own) of lines (h, norm): hashes of the line, of it less one position, and of it with one masked."""
-    base = np.uint64(0x9E3779B97F4A7C15)
-    back = np.uint64(pow(int(base), -1, 1 << 64))
-    for lines in batches:
-        for h, text in zip(lines["h"], lines["norm"], strict=True):
-            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-            n = len(codes)
-            codes = (codes + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-            codes ^= codes >> np.uint64(29)
-            powers = np.multiply.accumulate(np.full(n, base, np.uint64))
-            terms = codes * powers
-            prefix = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
-            whole = prefix[-1]
-            masked = (whole - terms) ^ (np.arange(n, dtype=np.uint64) + np.uint64(1 + (n << 24))) * np.uint64(0x94D049BB133111EB)
-            less = prefix[:-1] + (whole - prefix[1:]) * back
-            point = np.concatenate([[whole ^ np.uint64(n)], less ^ np.uint64(n - 1), masked])
-            yield pd.DataFrame({"h": np.full(len(point), h, np.int64), "point": point.view(np.int64),
-                                "kind": np.concatenate([[0], np.full(n, 1), np.full(n, 2)]).astype(np.int32)}).drop_duplicates()
-
-
-def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, norm) of the lines whose digest is in ``wanted(h)``; ``wanted`` is broadcast while it is small."""
-    small = wanted.count() <= SMALL
-    return stored(lines.join(F.broadcast(wanted) if small else wanted, "h", "left_semi"), "lines-texts")
-
-
-def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, bucket: int = BUCKET, per_chars: int = 0) -> DataFrame:
-    """Verified links (a, b), a < b, between digests of the different lines (h, norm)."""
-    # keys of two lines or more; the others meet nothing
-    shared = stored(_keys(lines, max_edits).groupBy("key").count().where("count > 1"), "lines-shared")
-    found = stored(_keys(lines, max_edits).join(F.broadcast(shared) if shared.count() <= SMALL else shared, "key"), "lines-keys")
-    index = found.where("own").select("key", F.col("h").alias("a"), "count")
-    probes = found.where("NOT own").select("key", F.col("h").alias("b"), "count")
-    crowded = F.col("count") > bucket if max_edits == 1 else F.lit(False)
-    few = index.where(~crowded).select("key", "a")
-    pairs = few.join(few.withColumnRenamed("a", "b"), "key").where("a < b").select("a", "b").union(
-        few.join(probes.where(~crowded).select("key", "b"), "key").where("a <> b").select(F.least("a", "b"), F.greatest("a", "b")))
-    if max_edits == 1:
-        hot = stored(index.where(crowded).select(F.col("a").alias("h")).union(probes.where(crowded).select("b")).distinct(), "lines-hot")
-        if hot.limit(1).count():
-            points = stored(_texts(lines, hot).mapInPandas(_neighbourhood, "h long, point long, kind int"), "lines-points")
-            # a line and the lines that become it by leaving one position out; lines equal but for one position
-            hubs = points.where("kind <> 1").groupBy("kind", "point").agg(F.min("h").alias("hub"))
-            linked = points.withColumn("kind", F.when(F.col("kind") == 1, 0).otherwise(F.col("kind"))).join(
-                hubs, ["kind", "point"]).where("h <> hub")
-            pairs = pairs.union(linked.select(F.least("h", "hub"), F.greatest("h", "hub")))
-    pairs = stored(pairs.distinct(), "lines-pairs")
-    texts = _texts(lines, pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct())
+def _shared_keys(docs: DataFrame, lines: int, max_edits: int, least: int, per_chars: int) -> tuple[int, np.ndarray]:
+    """Bit table (its bits, the table) of the keys under which a line is indexed and another one met."""
+    keys = max(1, lines) * sum(1 for t in (max_edits,) for less in range(t + 1) for i in range(t + 1)
+                               for _ in range(max(-i, less - (t - i)), min(i, less + (t - i)) + 1))
+    shard_bits = min(20, max(4, (keys // SHARD).bit_length()))
+    table_bits = max(shard_bits + 3, min(TABLE, (8 * keys).bit_length()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = Collector(SHAPE, shard_bits)
+        for h, texts in _cuts(batches, least):
+            found = [(key << U(1)) | U(own) for _, key, own in _Cut(h, texts).keys(max_edits, per_chars)]
+            if found:
+                yield from mine.add(counted(np.concatenate(found), None))
+        yield from mine.rows()
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        shard = key[0].as_py()
+        found = merged([from_bytes(data, SHAPE, shard_bits, shard) for data in table.column("filter").to_pylist()])
+        own = found.top & U(1) == 1
+        probed = np.zeros(len(own), bool)
+        probed[1:] = own[1:] & (found.top[1:] == found.top[:-1] + U(1)) & (found.top[:-1] & U(1) == 0)
+        top = found.top[own & (probed | (found.count > 1))]
+        size = 1 << (table_bits - shard_bits)
+        return pa.table({"shard": [shard], "slots": [bit_table((top >> U(KEY + 1 - table_bits)) & U(size - 1), size)]})
+
+    slots = np.zeros((1 << table_bits) // 8, np.uint8)
+    step = len(slots) >> shard_bits
+    # the table has 2^TABLE bits (16 MB) at most, whatever the number of lines
+    for r in (docs.select("text").mapInArrow(count, "shard long, filter binary").groupBy("shard")
+              .applyInArrow(merge, "shard long, slots binary").collect()):
+        slots[r["shard"] * step: (r["shard"] + 1) * step] = np.frombuffer(r["slots"], np.uint8)
+    return table_bits, slots
+
+
+def _members(docs: DataFrame, lines: int, max_edits: int, least: int, per_chars: int) -> DataFrame:
+    """Stored (key, h, own, n, parity, met): lines under the keys of the bit table; met: in how many tasks."""
+    model = docs.sparkSession.sparkContext.broadcast(_shared_keys(docs, lines, max_edits, least, per_chars))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table_bits, table = model.value
+        for h, texts in _cuts(batches, least):
+            cut = _Cut(h, texts)
+            parity = cut.pair_parities()
+            for rows, key, own in cut.keys(max_edits, per_chars):
+                hit = bits_set(table, key >> U(KEY - table_bits))
+                if hit.any():
+                    rows = rows[hit]
+                    yield pa.RecordBatch.from_arrays([pa.array(key[hit].view(np.int64)), pa.array(cut.h[rows]), pa.array(np.full(len(rows), int(own), np.int32)),
+                                                      pa.array(cut.n[rows]), pa.array(parity[rows])], ["key", "h", "own", "n", "parity"])
+
+    rows = docs.select("text").mapInArrow(run, "key long, h long, own int, n long, parity long")
+    each = rows.groupBy("key", "h", "n", "parity").agg(F.max("own").alias("own"), F.sum(F.lit(1)).alias("met"))
+    out = stored(each, "lines-members")
+    model.destroy()
+    return out
+
+
+def _texts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+    """Stored (h, norm) of the lines whose digest is in ``wanted(h)``: a bit table of fixed size lets few others through."""
+    bits = max(17, min(TABLE, (16 * wanted.count()).bit_length()))
+    piece = F.shiftrightunsigned("h", 80 - bits)
 
+    def piece_of(key: tuple, table: pa.Table) -> pa.Table:
+        slot = (table.column("h").to_numpy().view(U) >> U(64 - bits)) & U(0xFFFF)
+        return pa.table({"piece": [key[0].as_py()], "slots": [bit_table(slot, 1 << 16)]})
+
+    table = np.zeros((1 << bits) // 8, np.uint8)
+    for r in wanted.select("h", piece.alias("piece")).groupBy("piece").applyInArrow(piece_of, "piece long, slots binary").collect():
+        table[r["piece"] << 13: (r["piece"] + 1) << 13] = np.frombuffer(r["slots"], np.uint8)
+    model = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, texts in _cuts(batches, least):
+            h = np.array(h, U)
+            some = np.flatnonzero(bits_set(model.value, h >> U(64 - bits)))
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(h[some].view(np.int64)), pa.array([texts[i] for i in some], pa.string())], ["h", "norm"])
+
+    found = docs.select("text").mapInArrow(run, "h long, norm string").join(wanted, "h", "left_semi").dropDuplicates(["h"])
+    out = stored(found, "lines-texts")
+    model.destroy()
+    return out
+
+
+def _is_within(max_edits: int, per_chars: int, times: int = 1):
+    """Column function: whether two lines are within ``times`` the edits that the shorter one allows."""
     @F.pandas_udf("boolean")
     def near(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for x, y in batches:
-            allowed = np.full(len(x), max_edits)
-            if per_chars:
-                allowed = np.minimum(max_edits, np.minimum(x.str.len(), y.str.len()) // per_chars)
-            ok = np.zeros(len(x), bool)
-            for most in np.unique(allowed):
-                rows = np.flatnonzero(allowed == most)
-                ok[rows] = within(list(x.iloc[rows]), list(y.iloc[rows]), int(most))
-            yield pd.Series(ok)
-
-    both = (pairs.join(texts.select(F.col("h").alias("a"), F.col("norm").alias("a_text")), "a")
+            yield pd.Series(_near(list(x), list(y), max_edits, per_chars, times))
+
+    return near
+
+
+def _near(a: list[str], b: list[str], max_edits: int, per_chars: int, times: int = 1) -> np.ndarray:
+    shorter = np.array([min(len(x), len(y)) for x, y in zip(a, b, strict=True)], np.int64)
+    allowed = _allowed(shorter, max_edits, per_chars) * times
+    ok = np.zeros(len(a), bool)
+    for most in np.unique(allowed):
+        rows = np.flatnonzero(allowed == most)
+        ok[rows] = within([a[i] for i in rows], [b[i] for i in rows], int(most))
+    return ok
+
+
+def _edits(n: str, max_edits: int, per_chars: int) -> str:
+    return f"least({max_edits}, {n} div {per_chars})" if per_chars else str(max_edits)
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    return (pairs.join(texts.select(F.col("h").alias("a"), F.col("norm").alias("a_text")), "a")
             .join(texts.select(F.col("h").alias("b"), F.col("norm").alias("b_text")), "b"))
-    return stored(both.where(near("a_text", "b_text")).select("a", "b"), "lines-links")
+
+
+def line_links(docs: DataFrame, lines: int, max_edits: int, least: int, bucket: int = BUCKET, per_chars: int = 0) -> DataFrame:
+    """Verified links (a, b) between digests of the ``lines`` different lines or fewer of ``docs(text)``."""
+    members = _members(docs, lines, max_edits, least, per_chars)
+    keys = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("n_key"), F.max("own").alias("indexed"))
+                  .where("n_key > 1 AND indexed = 1").select("key", "n_key"), "lines-keys")
+    met = stored(members.join(keys, "key"), "lines-met")
+    few = met.where(F.col("n_key") <= bucket).select("key", "h", "own", "n", "parity")
+    edits = _edits("least(x.n, y.n)", max_edits, per_chars)
+    pairs = stored(few.alias("x").join(few.alias("y"), F.expr(
+        f"x.key = y.key AND x.h < y.h AND x.own + y.own > 0 AND abs(x.n - y.n) <= {edits} AND bit_count(x.parity ^ y.parity) <= 4 * {edits}"))
+        .select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct(), "lines-pairs")
+    crowd = met.where(F.col("n_key") > bucket).drop("n_key")
+    crowded = bool(crowd.limit(1).count())
+    wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b"))
+    if crowded:
+        wanted = wanted.union(crowd.select("h"))
+    texts = _texts(docs, stored(wanted.distinct(), "lines-wanted"), least)
+    links = _with_texts(pairs, texts).where(_is_within(max_edits, per_chars)("a_text", "b_text")).select("a", "b")
+    if crowded:
+        links = links.union(_crowd_links(crowd, texts, max_edits, per_chars))
+    return stored(links, "lines-links")
+
+
+def _crowd_links(crowd: DataFrame, texts: DataFrame, max_edits: int, per_chars: int) -> DataFrame:
+    """Links (a, b) that connect what all pairs under each key of ``crowd(key, h, own, n, parity, met)`` would."""
+    pivots = crowd.where("own = 1").groupBy("key").agg(F.max(F.struct("met", "h", "n")).alias("p")).select(
+        "key", F.col("p.h").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    # one verification a line and pivot, whatever the number of keys that they share
+    sided = stored(crowd.join(pivots, "key"), "lines-sided")
+    near, ring = _is_within(max_edits, per_chars), _is_within(max_edits, 0, 2)
+    to_pivot = sided.where("h <> pivot").select(F.col("h").alias("a"), F.col("pivot").alias("b")).distinct()
+    judged = stored(_with_texts(to_pivot, texts).select("a", "b", near("a_text", "b_text").alias("close"),
+                                                        ring("a_text", "b_text").alias("ring")), "lines-judged")
+    rows = sided.join(judged, (sided.h == judged.a) & (sided.pivot == judged.b), "left").select(
+        "key", "h", "own", "n", "parity", F.coalesce("close", F.lit(True)).alias("close"), F.coalesce("ring", F.lit(True)).alias("ring"))
+    linked = judged.where("close").select("a", "b")
+    # keys whose pivot did not link all lines; the linked ones take part where the rest comes near them
+    rest = stored(rows.groupBy("key").agg(F.sum(F.expr("int(NOT close)")).alias("n_rest"), F.max(F.expr("NOT close AND ring")).alias("any_ring"),
+                                          F.count(F.lit(1)).alias("n_all")).where("n_rest > 0"), "lines-rest")
+    if not rest.limit(1).count():
+        return linked
+    left_blocks, right_blocks = f"((n_rest - 1) div {BLOCK} + 1)", f"((n_all - 1) div {BLOCK} + 1)"
+    part = stored(rows.join(rest, "key").where("NOT close OR any_ring").join(texts, "h"), "lines-rest-texts")
+    common = ["key", "h", "own", "n", "parity", "close", "ring", "norm"]
+    left = part.where("NOT close").select(*common, F.lit(True).alias("is_left"), F.expr(f"pmod(h, {left_blocks})").alias("i"),
+                                          F.expr(f"explode(sequence(0L, {right_blocks} - 1))").alias("j"))
+    right = part.select(*common, F.lit(False).alias("is_left"), F.expr(f"explode(sequence(0L, {left_blocks} - 1))").alias("i"),
+                        F.expr(f"pmod(h, {right_blocks})").alias("j"))
+
+    def compare(_: tuple, table: pa.Table) -> pa.Table:
+        a, b = _block_links(table.to_pandas(), max_edits, per_chars)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return linked.union(left.union(right).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long"))
+
+
+def _block_links(rows: pd.DataFrame, max_edits: int, per_chars: int) -> tuple[list[int], list[int]]:
+    """Links between the left and the right lines of a block, none between lines that are linked already."""
+    left, right = rows[rows["is_left"]].reset_index(drop=True), rows[~rows["is_left"]].reset_index(drop=True)
+    if not len(left) or not len(right):
+        return [], []
+    n, parity, h = right["n"].to_numpy(), right["parity"].to_numpy().view(U), right["h"].to_numpy()
+    own, close = right["own"].to_numpy() > 0, right["close"].to_numpy()
+    found = []
+    for i, x in enumerate(left.itertuples()):
+        edits = _allowed(np.minimum(n, x.n), max_edits, per_chars)
+        apart = np.bitwise_count(parity ^ U(x.parity & (1 << 64) - 1)).astype(np.int64)
+        may = (apart <= 4 * edits) & (np.abs(n - x.n) <= edits) & (own | (x.own > 0)) & np.where(close, x.ring, h > x.h)
+        j = np.flatnonzero(may)
+        found.append(np.stack([apart[j], np.full(len(j), i), j]))
+    order = np.concatenate(found, axis=1)
+    order = order[:, np.argsort(order[0], kind="stable")]  # likelier links first
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    pivot = h[close]
+    for x in pivot[1:]:
+        root[int(x)] = int(pivot[0])
+    a, b, at = [], [], 0
+    while at < order.shape[1]:
+        step = order[1:, at: at + PAIRS]
+        at += PAIRS
+        open_pairs = [(int(i), int(j)) for i, j in step.T if top(int(left["h"][i])) != top(int(h[j]))]
+        if not open_pairs:
+            continue
+        ok = _near([left["norm"][i] for i, _ in open_pairs], [right["norm"][j] for _, j in open_pairs], max_edits, per_chars)
+        for (i, j), good in zip(open_pairs, ok, strict=True):
+            x, y = int(left["h"][i]), int(h[j])
+            if good and top(x) != top(y):
+                root[top(x)] = top(y)
+                a.append(x)
+                b.append(y)
+    return a, b
 
 
 def classify(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, bucket: int = BUCKET,
@@ -253,21 +468,24 @@ def classify(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
     ``first_*`` is the place of the class's first occurrence (null for lines below ``min_chars``, which have no class).
     """
     least = max(min_chars, max_edits + 1)
-    whole = _lines(docs.select("doc_id", "text")).withColumn("h", F.expr(f"CASE WHEN n >= {least} THEN xxhash64(norm) END"))
-    occurrences = stored(whole.select("doc_id", "text_key", "line_no", "h"), "lines-occurrences")
-    # each different line that takes part, once
-    lines = stored(whole.where("h IS NOT NULL").select("h", "norm").dropDuplicates(["h"]), "lines-distinct")
-    links = line_links(lines, max_edits, bucket, per_chars)
+    occurrences = stored(_occurrences(docs.select("doc_id", "text"), least), "lines-occurrences")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "line_no")
-    each = occurrences.where("h IS NOT NULL").groupBy("h").agg(F.min(place).alias("first"))
-    rooted = stored(each.join(components(links, "lines-components").withColumnRenamed("node", "h"), "h", "left")
-                    .select("h", "first", F.coalesce("root", "h").alias("root")), "lines-rooted")
-    firsts = stored(rooted.groupBy("root").agg(F.min("first").alias("class_first")), "lines-firsts")
-    named = stored(rooted.join(firsts, "root").select("h", "class_first"), "lines-named")
+    each = stored(occurrences.where("h IS NOT NULL").groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines-each")
+    links = line_links(docs, each.count(), max_edits, least, bucket, per_chars) if max_edits else None
+    if links is None:
+        named = each.where("n > 1").select("h", F.col("first").alias("class_first"))
+    else:
+        # a line that stands alone is its own class
+        roots = components(links, "lines-components").withColumnRenamed("node", "h")
+        rooted = stored(each.join(roots, "h", "left").select("h", "first", "n", F.coalesce("root", "h").alias("root")), "lines-rooted")
+        firsts = stored(rooted.groupBy("root").agg(F.min("first").alias("class_first"), F.sum("n").alias("n_class"))
+                        .where("n_class > 1").drop("n_class"), "lines-firsts")
+        named = stored(rooted.drop("n").join(firsts, "root").select("h", "class_first"), "lines-named")
     joined = occurrences.select("doc_id", "text_key", "line_no", "h").join(named, "h", "left")
     return joined.select(
         "doc_id", "text_key", "line_no",
-        F.col("class_first.doc_id").alias("first_doc_id"), F.col("class_first.line_no").alias("first_line_no"),
+        F.expr("CASE WHEN h IS NULL THEN NULL WHEN class_first IS NULL THEN doc_id ELSE class_first.doc_id END").alias("first_doc_id"),
+        F.expr("CASE WHEN h IS NULL THEN NULL WHEN class_first IS NULL THEN line_no ELSE class_first.line_no END").alias("first_line_no"),
         F.expr("class_first IS NULL OR (class_first.doc_id <=> doc_id AND class_first.text_key <=> text_key "
                "AND class_first.line_no = line_no)").alias("kept"))
 

@@ -15,11 +15,15 @@ counts of 255 or above.  The number of quotients follows the number of values.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
+#: Values of a task's filter before it is sent.
+FLUSH = 1 << 20
 
 
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
@@ -170,3 +174,40 @@ def shards(f: Filter, shape: Shape, shard_bits: int) -> list[tuple[int, bytes]]:
     ends = [*begin[1:], len(which)]
     return [(int(s), to_bytes(Filter(f.top[a:b], None if f.rest is None else f.rest[a:b], f.count[a:b]), shape, shard_bits))
             for s, a, b in zip(numbers, begin, ends, strict=True)]
+
+
+class Collector:
+    """The filter of a task: runs are merged as they come, and given out in shards when they are many."""
+
+    def __init__(self, shape: Shape, shard_bits: int):
+        self.shape, self.shard_bits, self.parts, self.size, self.least = shape, shard_bits, [], 0, 0
+
+    def add(self, part: Filter) -> Iterator[pa.RecordBatch]:
+        self.parts.append(part)
+        self.size += len(part.top)
+        if self.size > max(FLUSH // 2, 2 * self.least):
+            self.parts = [merged(self.parts)]
+            self.size = self.least = len(self.parts[0].top)
+            if self.size > FLUSH:
+                yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            found = shards(merged(self.parts), self.shape, self.shard_bits)
+            self.parts, self.size, self.least = [], 0, 0
+            for at in range(0, len(found), 1024):
+                some = found[at: at + 1024]
+                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in some], pa.int64()), pa.array([b for _, b in some], pa.binary())],
+                                                 ["shard", "filter"])
+
+
+def bits_set(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Whether the slots' bits are set in a table of little-endian bits."""
+    return (table[(slot >> U(3)).astype(np.int64)] >> (slot & U(7)).astype(np.uint8)) & 1 > 0
+
+
+def bit_table(slot: np.ndarray, size: int) -> bytes:
+    """``size`` bits, those of ``slot`` set."""
+    bits = np.zeros(size, np.uint8)
+    bits[slot.astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()

@@ -92,10 +92,10 @@ def test_phrases_equal_plain(spark, monkeypatch, max_words, least, top, head, ro
 
 def test_small_filters_are_sent_and_merged(spark, monkeypatch):
     """Tasks count in the workers, which see the module's own bounds: check the collector by itself."""
-    monkeypatch.setattr(C, "FLUSH", 50)
+    monkeypatch.setattr(Q, "FLUSH", 50)
     shape, rng = Q.Shape(2, 10), np.random.default_rng(3)
     ids = rng.integers(0, 40, (2, 5000), dtype=np.uint64)
-    mine, sent = C._Collected(shape, 4), []
+    mine, sent = Q.Collector(shape, 4), []
     for at in range(0, 5000, 100):
         sent += mine.add(Q.counted(*Q.permuted([ids[0, at:at + 100], ids[1, at:at + 100]], shape)))
     sent += mine.rows()
