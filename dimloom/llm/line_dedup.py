@@ -47,11 +47,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import components, packed, stored
-from .quotient_filter import Collector, Shape, bit_table, bits_set, counted, from_bytes, merged
+from .quotient_filter import Collector, Filter, Shape, bit_table, bits_set, from_bytes, merged
 
 MAX_EDITS = 1
 MIN_CHARS = 20
-BUCKET = 64
+BUCKET = 128
 BLOCK = 512
 #: Pairs verified, or lines cut, by one run of vector operations.
 PAIRS = 4096
@@ -92,6 +92,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+_POWERS = [np.ones(1, U), np.ones(1, U)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of BASE and of its inverse; kept for the next call."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((BASE, BACK)):
+            _POWERS[i] = np.multiply.accumulate(np.concatenate([np.ones(1, U), np.full(max(n, 2 * CELLS) - 1, base, U)]))
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 _COMMON = _mixed(np.arange(1, (1 << 16) + 1, dtype=U))
 
 
@@ -111,10 +122,9 @@ class _Cut:
 
     def keys(self, max_edits: int, per_chars: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         """(lines, keys, whether they are index keys): of each line, of all shifts of all segments that it may share."""
-        up = np.multiply.accumulate(np.concatenate([np.ones(1, U), np.full(len(self.mixed) - 1, BASE, U)]))
-        down = np.multiply.accumulate(np.concatenate([np.ones(1, U), np.full(len(self.mixed), BACK, U)]))
+        up, down = _powers(len(self.mixed) + 1)
         sums = np.zeros(len(self.mixed) + 1, U)
-        np.cumsum(self.mixed * up, dtype=U, out=sums[1:])
+        np.cumsum(self.mixed * up[:-1], dtype=U, out=sums[1:])
         for less in range(max_edits + 1):
             every = self.n - less
             edits = _allowed(every, max_edits, per_chars)
@@ -134,7 +144,7 @@ class _Cut:
     def pair_parities(self) -> np.ndarray:
         """64 parities of each line's character pairs: an edit changes four of them at most."""
         bits = np.zeros(len(self.mixed), U)
-        bits[:-1] = U(1) << (_mixed(self.mixed[:-1] * U(3) + self.mixed[1:]) >> U(58))
+        bits[:-1] = U(1) << (((self.mixed[:-1] * U(3) + self.mixed[1:]) * U(BASE)) >> U(58))
         bits[self.begin + self.n - 1] = 0
         return np.bitwise_xor.reduceat(bits, self.begin).view(np.int64)
 
@@ -181,9 +191,34 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
                                               T.StructField("line_no", T.IntegerType()), T.StructField("h", T.LongType())]))
 
 
+def _same(a: str, b: str, most: int, at) -> int:
+    """The largest k up to ``most`` with at(a, k) == at(b, k), where that holds for all smaller ones too."""
+    low, step = 0, 16
+    while low + step <= most and at(a, low + step) == at(b, low + step):
+        low += step
+        step *= 2
+    high = min(low + step, most + 1)  # fails there, or is beyond
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if at(a, mid) == at(b, mid) else (low, mid)
+    return low
+
+
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """The strings without what they have in common at both ends, which leaves their distance as it is."""
+    most = min(len(a), len(b))
+    k = _same(a, b, most, lambda x, n: x[:n])
+    a, b = a[k:], b[k:]
+    k = _same(a, b, most - k, lambda x, n: x[len(x) - n:])
+    return a[: len(a) - k], b[: len(b) - k]
+
+
 def within(a: list[str], b: list[str], max_edits: int) -> np.ndarray:
     """Whether each pair of strings is within ``max_edits``: banded bit-parallel edit distance, vectorised over pairs."""
     ok = np.zeros(len(a), bool)
+    if not len(a):
+        return ok
+    a, b = zip(*map(_trimmed, a, b), strict=True)
     order = sorted(range(len(a)), key=lambda i: max(len(a[i]), len(b[i])))
     at = 0
     while at < len(order):
@@ -196,7 +231,7 @@ def within(a: list[str], b: list[str], max_edits: int) -> np.ndarray:
         rows = [i for i in group if abs(len(a[i]) - len(b[i])) <= max_edits]
         short = [i for i in rows if min(len(a[i]), len(b[i])) <= max_edits]
         for i in short:
-            ok[i] = _distance(a[i], b[i]) <= max_edits
+            ok[i] = max(len(a[i]), len(b[i])) <= max_edits or _distance(a[i], b[i]) <= max_edits
         rows = [i for i in rows if min(len(a[i]), len(b[i])) > max_edits]
         if rows:
             ok[rows] = _banded([a[i] for i in rows], [b[i] for i in rows], max_edits)
@@ -260,7 +295,7 @@ def _shared_keys(docs: DataFrame, lines: int, max_edits: int, least: int, per_ch
         for h, texts in _cuts(batches, least):
             found = [(key << U(1)) | U(own) for _, key, own in _Cut(h, texts).keys(max_edits, per_chars)]
             if found:
-                yield from mine.add(counted(np.concatenate(found), None))
+                yield from mine.add(Filter(top := np.concatenate(found), None, np.ones(len(top), np.int64)))
         yield from mine.rows()
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:

@@ -107,6 +107,10 @@ def merged(parts: list[Filter]) -> Filter:
     count = np.concatenate([p.count for p in parts])
     if not len(top):
         return Filter(top, rest, count)
+    if rest is None and count.max() == 1:  # no order to carry along
+        top = np.sort(top)
+        at = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
+        return Filter(top[at], None, np.diff(np.append(at, len(top))))
     order = np.argsort(top, kind="stable") if rest is None else np.lexsort((rest, top))
     top, count = top[order], count[order]
     new = np.empty(len(top), bool)
