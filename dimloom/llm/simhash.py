@@ -29,7 +29,7 @@ from itertools import islice, repeat
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, packed, stored
@@ -129,25 +129,35 @@ def _hot_links(flipped: DataFrame, table: DataFrame, marks: DataFrame, max_bits:
             .select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct())
 
 
+def _first_of_class(prints: DataFrame, first: Column, max_bits: int, bucket: int) -> DataFrame:
+    """(fp, first): the least ``first`` of all rows of ``prints`` in the fingerprint's component."""
+    classes = stored(prints.groupBy("fp").agg(F.min(first).alias("first")), "simhash-classes")
+    linked = components(hamming_edges(classes.select("fp"), max_bits, bucket), "simhash-components")
+    rooted = stored(classes.join(linked, classes.fp == linked.node, "left")
+                    .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    names = stored(rooted.groupBy("root").agg(F.min("first").alias("class_first")), "simhash-names")
+    return stored(rooted.join(names, "root").select("fp", F.col("class_first").alias("first")), "simhash-labels")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket: int = BUCKET) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, fp, component_id."""
     prints = stored(fingerprints(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"), "simhash-docs")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    linked = components(hamming_edges(classes.select("fp"), max_bits, bucket), "simhash-components")
-    rooted = stored(classes.join(linked, classes.fp == linked.node, "left")
-                    .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    names = stored(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-names")
-    named = stored(rooted.join(names, "root").select("fp", "component_id"), "simhash-labels")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = _first_of_class(prints, F.col("doc_id"), max_bits, bucket)
+    return prints.join(named, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one row of each near-duplicate class: the one with the smallest doc_id.
+    """``docs`` with one row of each near-duplicate class: the one with the smallest doc_id, rows without
+    one last, and of equal ids the one with the smallest digest of its text.
 
-    Rows without a doc_id can't be told apart and stay; of rows that repeat a kept doc_id one stays.
+    Rows that repeat both doc_id and text are one document, of which one row stays; different texts
+    with one doc_id are different documents, each judged in its own class.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = packed(docs, "doc_id")
-    named = rows.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.union(rows.where(F.col("doc_id").isNull())).select("row.*")
+    digest = F.xxhash64("text").alias("text_key")
+    prints = stored(fingerprints(docs.select("doc_id", "text", digest), shingle).select("doc_id", "text_key", "fp"), "simhash-docs")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = _first_of_class(prints, order, max_bits, BUCKET).select(
+        F.col("first.doc_id").alias("_kept"), F.col("first.text_key").alias("_key")).distinct()
+    rows = packed(docs, "doc_id", digest)
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("text_key") == F.col("_key"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_key"]).select("row.*")

@@ -65,5 +65,14 @@ def test_classes_of_copies_nulls_and_empties(spark):
     assert got == sorted([(5, 3), (3, 3), (9, 3), (2, 2), (7, 2), (8, 8), (None, 3), (3, 3)], key=str)
     kept = S.keep_one(docs_of(spark, rows, ["fp"]))
     assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == [2, 3, 8]
-    assert kept.where("doc_id IS NULL").count() == 1 and "fp" in kept.columns
+    assert kept.where("doc_id IS NULL").count() == 0 and "fp" in kept.columns
     assert S.near_duplicates(docs_of(spark, rows).limit(0)).count() == 0
+
+
+def test_one_id_with_two_texts_is_two_documents(spark):
+    one, two = "alpha beta gamma delta epsilon zeta", "one two three four five six"
+    rows = [(1, one), (1, two), (1, one), (2, two.upper()), (None, "a text without id that stands alone"), (None, one)]
+    kept = S.keep_one(docs_of(spark, rows, ["text_key"]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, one), (1, two), (None, "a text without id that stands alone")], key=str)
+    assert S.keep_one(docs_of(spark, rows).limit(0)).count() == 0
