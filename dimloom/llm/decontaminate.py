@@ -5,11 +5,12 @@ Words are runs of ASCII digits, letters (A-Z lower-cased) and non-ASCII characte
 window.  A document word inside any occurrence of a window is hit.  A document is contaminated
 when hits make up at least one word in ``min_share`` (20).
 
-The windows of the benchmark form a broadcast hash set.  Its size is checked: up to
-``MAX_WINDOWS`` windows become a byte table of hash slots that every task carries and a broadcast
-table of the windows' words; a larger benchmark is joined by shuffle on the windows themselves.
-Each document is scanned once, position by position, within its row; positions whose hash falls
-in a taken slot are verified word for word.  Everything is DataFrame functions.
+The windows' 64-bit hashes form a broadcast hash set: a table that Spark joins, not a value of the
+driver or of the plan.  Each document is scanned once: its positions, with the hash of the words
+from there, are looked up in the set, and only those found go on; they are verified word for word
+against the windows.  The set's size is checked: up to ``MAX_WINDOWS`` windows (16 bytes each) it is
+broadcast, beyond that the hashes of all positions meet it by shuffle, without the words, which are
+looked up again for positions that matched.  Everything is DataFrame functions.
 
 Nulls and edge cases: a null or empty text has no words and no hits; a null ``item_id`` marks
 hits but is not counted or listed as an item; an empty benchmark hits nothing; repeated rows are
@@ -25,9 +26,8 @@ from .common import ascii_lower, packed, stored
 
 WINDOW = 13
 MIN_SHARE = 20
-#: Windows up to which the hash set is broadcast: at most 64 MB of slots, and of words about as much.
-MAX_WINDOWS = 1 << 19
-SLOTS_PER_WINDOW = 128
+#: Windows up to which their hashes, and up to which their words are broadcast: 16 MB and about 20 MB.
+MAX_WINDOWS, MAX_WORDS = 1 << 20, 1 << 17
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RAW_WORD, RAW_SEPARATOR = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
@@ -52,57 +52,46 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return each.groupBy("gram", "len", "h").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
 
 
-def _slots(found: DataFrame, n: int) -> tuple[bytes, int]:
-    """Byte table of hash slots, '1' where a window falls: one row made by Spark, of checked size."""
-    size = 1 << max(16, (n * SLOTS_PER_WINDOW - 1).bit_length())
-    size = min(size, 1 << 26)
-    runs = (f"transform(taken, (x, k) -> concat(repeat('0', cast(x - IF(k = 0, -1, get(taken, k - 1)) - 1 AS int)), '1'))")
-    row = (found.agg(F.sort_array(F.collect_set(F.expr(f"pmod(h, {size})"))).alias("taken"))
-           .selectExpr(f"cast(rpad(array_join({runs}, ''), {size}, '0') AS binary) AS slots").first())
-    return bytes(row["slots"]), size
+def _positions(lengths: list[int]) -> Column:
+    """Array of (pos, len, h): the hash of the words of every window of each of ``lengths`` words."""
+    parts = [f"transform(CASE WHEN n_words >= {n} THEN sequence(0, n_words - {n}) ELSE array() END, "
+             f"i -> struct(i AS pos, {n} AS len, {_gram(n, 'xxhash64(')} AS h))" for n in lengths]
+    return F.expr(f"concat({', '.join(parts)})")
 
 
-def _slot_taken(length: int, table: Column, size: int):
-    """Whether the window at a position falls in a taken slot: a constant-time read of a byte array."""
-    def taken(i: Column) -> Column:
-        slot = F.pmod(F.xxhash64(*[F.get("words", i + k) for k in range(length)]), F.lit(size)).cast("int")
-        return F.substring(table, slot + 1, F.lit(1)) == F.lit(b"1")
-
-    return taken
-
-
-def _gram_at(length: int):
-    def gram(i: Column) -> Column:
-        return F.struct(F.concat_ws(" ", *[F.get("words", i + k) for k in range(length)]).alias("gram"),
-                        i.alias("pos"), F.lit(length).alias("len"))
-
-    return gram
+def _gram_at(pos: str, n: str) -> Column:
+    return F.expr(f"CASE WHEN {n} > 0 THEN array_join(slice(words, {pos} + 1, {n}), ' ') END")
 
 
 def _hits(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    """(_row, keys..., n_words, hit, items): a row per verified position, and one at least per document."""
+    """(columns of docs but text, n_words, hit, items): a row per verified position, and one at least per document."""
     found = stored(windows(benchmark, window), "decontaminate-windows")
     lengths = {r["len"]: r["n"] for r in found.groupBy("len").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(lengths.values())
-    scanned = docs.withColumn("words", words_of("text")).withColumn("n_words", F.size("words"))
+    if total > MAX_WINDOWS:
+        docs = stored(docs, "decontaminate-rows")
+    scanned = docs.withColumn("words", words_of("text")).withColumn("n_words", F.size("words")).drop("text")
+    rest = [c for c in scanned.columns if c != "words"]
     if not total:
         return scanned.drop("words").selectExpr("*", "cast(null AS struct<pos:int,len:int>) AS hit",
                                                 "cast(null AS array<string>) AS items")
-    small = total <= MAX_WINDOWS
-    if small:
-        slots, size = _slots(found, total)
-        table = F.lit(slots)
-    arrays = []
-    for n in sorted(lengths):
-        at = F.expr(f"CASE WHEN n_words >= {n} THEN sequence(0, n_words - {n}) ELSE array() END")
-        if small:
-            at = F.filter(at, _slot_taken(n, table, size))
-        arrays.append(F.transform(at, _gram_at(n)))
-    spread = (scanned.withColumn("c", F.explode_outer(F.concat(*arrays))).drop("words")
-              .withColumn("gram", F.col("c.gram")))
-    grams = found.select("gram", "items")
-    return (spread.join(F.broadcast(grams) if small else grams, "gram", "left")
-            .withColumn("hit", F.when(F.col("items").isNotNull(), F.struct("c.pos", "c.len"))).drop("gram", "c"))
+    hashes = found.select(F.col("h").alias("taken")).distinct()
+    if total <= MAX_WINDOWS:
+        # one more position, which never matches, stands for the document itself
+        itself = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).alias("len"), F.lit(None).cast("long").alias("h")))
+        spread = scanned.select("*", F.inline(F.concat(itself, _positions(sorted(lengths)))))
+        near = (spread.join(F.broadcast(hashes), F.col("h") == F.col("taken"), "left")
+                .where("pos < 0 OR taken IS NOT NULL").select(*rest, "pos", "len", _gram_at("pos", "len").alias("gram")))
+    else:
+        spread = scanned.select("_row", F.inline(_positions(sorted(lengths))))
+        at = (spread.join(hashes, F.col("h") == F.col("taken"), "left_semi")
+              .groupBy("_row").agg(F.collect_list(F.struct("pos", "len")).alias("at")))
+        near = (scanned.join(at, "_row", "left").select(*rest, "words", F.explode_outer("at").alias("c"))
+                .select(*rest, "c.pos", "c.len", _gram_at("c.pos", "c.len").alias("gram")))
+    grams = found.select("gram", F.col("len").alias("gram_len"), "items")
+    same = (F.col("gram") == F.col("gram_of")) & (F.col("len") == F.col("gram_len"))
+    joined = near.withColumnRenamed("gram", "gram_of").join(F.broadcast(grams) if total <= MAX_WORDS else grams, same, "left")
+    return joined.select(*rest, F.when(F.col("items").isNotNull(), F.struct("pos", "len")).alias("hit"), "items")
 
 
 _COVER = """aggregate(sort_array(hits), struct(0 AS n, 0 AS upto),

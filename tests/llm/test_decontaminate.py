@@ -41,10 +41,11 @@ def case(spark):
     return docs, bench, docs_of(spark, docs, ["words", "h"]), b
 
 
-@pytest.mark.parametrize("most", [D.MAX_WINDOWS, 0])
-def test_scan_equals_plain_version(case, monkeypatch, most):
+@pytest.mark.parametrize(("most", "words"), [(D.MAX_WINDOWS, D.MAX_WORDS), (D.MAX_WINDOWS, 0), (0, 0)])
+def test_scan_equals_plain_version(case, monkeypatch, most, words):
     docs, bench, df, b = case
     monkeypatch.setattr(D, "MAX_WINDOWS", most)
+    monkeypatch.setattr(D, "MAX_WORDS", words)
     got = sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in D.scan(df, b).collect()), key=str)
     assert got == plain(docs, bench)
 
@@ -63,3 +64,15 @@ def test_empty_tables(spark):
     rows = D.scan(docs_of(spark, [(1, "a b"), (2, None)]), b).collect()
     assert sorted((r.doc_id, r.n_words, r.n_hit, r.contaminated) for r in rows) == [(1, 2, 0, False), (2, 0, 0, False)]
     assert D.scan(docs_of(spark, [(1, "a")]).limit(0), b).count() == 0
+
+
+def test_hash_set_is_neither_in_the_plan_nor_in_python(spark):
+    """However many windows, the plan stays the same size: a broadcast join looks their hashes up."""
+    docs = docs_of(spark, [(1, "a b c")])
+    sizes = []
+    for items in (3, 300):
+        b = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(items)], "item_id long, text string")
+        plan = D.scan(docs, b)._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin [h" in plan and "Python" not in plan
+        sizes.append(len(plan))
+    assert abs(sizes[0] - sizes[1]) < 200
