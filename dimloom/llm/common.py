@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+#: Bytes of a batch that Spark hands to Python functions, unless the session says otherwise.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: by rows alone, a batch of long texts would be of any size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if (spark.conf.get(key, None) or "").rstrip("bB") in ("", "-1", str((1 << 31) - 1)):  # Spark's default: no bound
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,6 +33,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     shared folder.  Each call takes a new sub-folder.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

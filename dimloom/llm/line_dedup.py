@@ -56,9 +56,9 @@ BLOCK = 512
 #: Pairs verified, or lines cut, by one run of vector operations.
 PAIRS = 4096
 #: Characters held by one run of vector operations.
-CELLS = 1 << 20
+CELLS = 1 << 19
 #: Lines that a task remembers as met.
-MET = 1 << 20
+MET = 1 << 19
 #: Bits of a key, and of the largest table of keys or digests.
 KEY, TABLE = 41, 27
 #: Keys of a shard when they are counted.

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
+
 GROUP_BYTES = 1 << 18
 BATCH_BYTES = 1 << 23
 #: Pieces whose counts a task remembers, and the longest piece that it remembers.
@@ -135,6 +137,7 @@ def with_token_counts(docs: DataFrame, path: str, limit: int = 2048, text: str =
         for texts in batches:
             yield pd.Series([n for part in _by_bytes(texts) for n in counter.count(part)], dtype="int64")
 
+    bound_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     return (docs.withColumn("n_bytes", F.octet_length(whole).cast("long"))
             .withColumn("n_tokens", tokens(whole))
