@@ -115,7 +115,11 @@ class _Cut:
 
     def __init__(self, h: list[int], texts: list[str]):
         self.h = np.array(h, U).view(np.int64)
-        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        whole = "".join(texts)
+        try:
+            codes = np.frombuffer(whole.encode("latin-1"), np.uint8)
+        except UnicodeEncodeError:
+            codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         self.mixed = _COMMON[codes] if codes.max() < len(_COMMON) else _mixed(codes.astype(U) + U(1))
         self.n = np.fromiter(map(len, texts), np.int64, len(texts))
         self.begin = np.cumsum(self.n) - self.n
@@ -325,13 +329,13 @@ def _members(docs: DataFrame, lines: int, max_edits: int, least: int, per_chars:
         table_bits, table = model.value
         for h, texts in _cuts(batches, least):
             cut = _Cut(h, texts)
-            parity = cut.pair_parities()
-            for rows, key, own in cut.keys(max_edits, per_chars):
-                hit = bits_set(table, key >> U(KEY - table_bits))
-                if hit.any():
-                    rows = rows[hit]
-                    yield pa.RecordBatch.from_arrays([pa.array(key[hit].view(np.int64)), pa.array(cut.h[rows]), pa.array(np.full(len(rows), int(own), np.int32)),
-                                                      pa.array(cut.n[rows]), pa.array(parity[rows])], ["key", "h", "own", "n", "parity"])
+            hits = [(rows[hit], key[hit], np.full(np.count_nonzero(hit), own, np.int32)) for rows, key, own in cut.keys(max_edits, per_chars)
+                    if (hit := bits_set(table, key >> U(KEY - table_bits))).any()]
+            if hits:
+                rows, key, own = map(np.concatenate, zip(*hits, strict=True))
+                parity = cut.pair_parities()
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(cut.h[rows]), pa.array(own), pa.array(cut.n[rows]),
+                                                  pa.array(parity[rows])], ["key", "h", "own", "n", "parity"])
 
     rows = docs.select("text").mapInArrow(run, "key long, h long, own int, n long, parity long")
     each = rows.groupBy("key", "h", "n", "parity").agg(F.max("own").alias("own"), F.sum(F.lit(1)).alias("met"))
@@ -506,16 +510,15 @@ def classify(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
     occurrences = stored(_occurrences(docs.select("doc_id", "text"), least), "lines-occurrences")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "line_no")
     each = stored(occurrences.where("h IS NOT NULL").groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines-each")
-    links = line_links(docs, each.count(), max_edits, least, bucket, per_chars) if max_edits else None
-    if links is None:
-        named = each.where("n > 1").select("h", F.col("first").alias("class_first"))
-    else:
-        # a line that stands alone is its own class
-        roots = components(links, "lines-components").withColumnRenamed("node", "h")
-        rooted = stored(each.join(roots, "h", "left").select("h", "first", "n", F.coalesce("root", "h").alias("root")), "lines-rooted")
-        firsts = stored(rooted.groupBy("root").agg(F.min("first").alias("class_first"), F.sum("n").alias("n_class"))
-                        .where("n_class > 1").drop("n_class"), "lines-firsts")
-        named = stored(rooted.drop("n").join(firsts, "root").select("h", "class_first"), "lines-named")
+    named = each.where("n > 1").select("h", F.col("first").alias("class_first"))
+    if max_edits:
+        links = line_links(docs, each.count(), max_edits, least, bucket, per_chars)
+        roots = components(links, "lines-components")
+        # the smallest line of a class is not listed as a node; a line without links is its own class
+        listed = stored(roots.union(roots.select("root", "root")).distinct().toDF("h", "root"), "lines-listed")
+        rooted = stored(each.join(listed, "h").select("h", "first", "root"), "lines-rooted")
+        firsts = rooted.groupBy("root").agg(F.min("first").alias("class_first"))
+        named = stored(named.join(listed, "h", "left_anti").union(rooted.join(firsts, "root").select("h", "class_first")), "lines-named")
     joined = occurrences.select("doc_id", "text_key", "line_no", "h").join(named, "h", "left")
     return joined.select(
         "doc_id", "text_key", "line_no",

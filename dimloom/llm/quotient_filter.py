@@ -174,31 +174,31 @@ def shards(f: Filter, shape: Shape, shard_bits: int) -> list[tuple[int, bytes]]:
     if not len(f.top):
         return []
     which = f.top >> U(shape.top_bits - shard_bits) if shard_bits else np.zeros(len(f.top), U)
-    numbers, begin = np.unique(which, return_index=True)
+    begin = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
     ends = [*begin[1:], len(which)]
     return [(int(s), to_bytes(Filter(f.top[a:b], None if f.rest is None else f.rest[a:b], f.count[a:b]), shape, shard_bits))
-            for s, a, b in zip(numbers, begin, ends, strict=True)]
+            for s, a, b in zip(which[begin], begin, ends, strict=True)]
 
 
 class Collector:
-    """The filter of a task: runs are merged as they come, and given out in shards when they are many."""
+    """The filter of a task: runs are merged when they are many, and given out in shards when that leaves many."""
 
     def __init__(self, shape: Shape, shard_bits: int):
-        self.shape, self.shard_bits, self.parts, self.size, self.least = shape, shard_bits, [], 0, 0
+        self.shape, self.shard_bits, self.parts, self.size = shape, shard_bits, [], 0
 
     def add(self, part: Filter) -> Iterator[pa.RecordBatch]:
         self.parts.append(part)
         self.size += len(part.top)
-        if self.size > max(FLUSH // 2, 2 * self.least):
+        if self.size > FLUSH:
             self.parts = [merged(self.parts)]
-            self.size = self.least = len(self.parts[0].top)
-            if self.size > FLUSH:
+            self.size = len(self.parts[0].top)
+            if self.size > FLUSH // 2:
                 yield from self.rows()
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
             found = shards(merged(self.parts), self.shape, self.shard_bits)
-            self.parts, self.size, self.least = [], 0, 0
+            self.parts, self.size = [], 0
             for at in range(0, len(found), 1024):
                 some = found[at: at + 1024]
                 yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in some], pa.int64()), pa.array([b for _, b in some], pa.binary())],
