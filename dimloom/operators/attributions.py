@@ -3,8 +3,8 @@
 The classroom -> site -> sponsor -> codes lookup is built once (``classroom_context``)
 and shared by the three classroom routes.  Joins whose left key can be hot (many
 classrooms per site, many members per classroom, many joins per invite code, many
-people per email) go through ``skew_join``.  The unified table joins distinct narrow pairs
-(person, classroom) to the context once for each kind of route, so the wide rows are made after
+people per email) go through ``skew_join``.  The unified table makes narrow rows of all routes
+distinct together and joins them to the context once, so the wide rows are made after
 the duplicates are gone; the single routes (A2 to A5) keep their repeated rows.
 """
 
@@ -54,10 +54,10 @@ def site_context(T: Tables) -> DataFrame:
                                   F.col("sponsor_id").alias("site_sponsor_id"))
     codes = T["sponsor_invite_code"].select(F.col("sponsor_id").alias("code_sponsor_id"),
                                             F.col("code").alias("sponsor_code"))
-    with_sponsor = skew_join(sites, _sponsors(T), "site_sponsor_id", "sponsor_id", "left")
     # a matched sponsor id equals the site's sponsor id, so the site column bounds its counts
-    return (skew_join(with_sponsor, codes, "sponsor_id", "code_sponsor_id", "left",
-                      keys_from=(sites, "site_sponsor_id"))
+    of_sites = (T["user_site"], "sponsor_id")
+    with_sponsor = skew_join(sites, _sponsors(T), "site_sponsor_id", "sponsor_id", "left", keys_from=of_sites)
+    return (skew_join(with_sponsor, codes, "sponsor_id", "code_sponsor_id", "left", keys_from=of_sites)
             .select("ctx_site_key", "site_name", "sponsor_id", "sponsor_name", "sponsor_code"))
 
 
@@ -74,7 +74,7 @@ def classroom_context(T: Tables) -> DataFrame:
 
 def _membership_route(memberships: DataFrame, context: DataFrame) -> DataFrame:
     m = memberships.select("user_id", F.col("classroom_id").alias("m_classroom_id"))
-    return skew_join(m, context, "m_classroom_id", "classroom_id", "left").select(*ATTRIBUTION_COLUMNS)
+    return skew_join(m, context, "m_classroom_id", "classroom_id", "left", keys_from=(memberships, "classroom_id")).select(*ATTRIBUTION_COLUMNS)
 
 
 def route_learner(T: Tables, context: DataFrame | None = None) -> DataFrame:
@@ -105,9 +105,9 @@ def route_invited(T: Tables, context: DataFrame | None = None) -> DataFrame:
     people = _eligible_people(T).select(normalize_email("email").alias("u_email"), F.col("id").alias("user_id"))
     inv = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"),
                                                  F.col("classroom_id").alias("i_classroom_id"))
-    matched = skew_join(inv, people, "i_email", "u_email", "inner")
-    # the matched rows follow a shuffle, so their hot classrooms are counted on the scan
-    return (skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner", keys_from=(inv, "i_classroom_id"))
+    matched = skew_join(inv, people, "i_email", "u_email", "inner", keys_from=(T["educator_invitation_record"], "email_key"))
+    # the matched rows follow a shuffle, so their hot classrooms are those of the invitations
+    return (skew_join(matched, ctx, "i_classroom_id", "classroom_id", "inner", keys_from=(T["educator_invitation_record"], "classroom_id"))
             .select(*ATTRIBUTION_COLUMNS))
 
 
@@ -116,8 +116,8 @@ def sponsor_code_context(T: Tables) -> DataFrame:
     codes = T["sponsor_invite_code"].select(F.col("id").alias("code_key"), F.col("code").alias("sponsor_code"),
                                             F.col("sponsor_id").alias("code_sponsor_id"), "site_id")
     sites = T["user_site"].select(F.col("id").alias("s_site_key"), F.col("name").alias("site_name"))
-    with_sponsor = skew_join(codes, _sponsors(T), "code_sponsor_id", "sponsor_id", "left")
-    return (skew_join(with_sponsor, sites, "site_id", "s_site_key", "left", keys_from=(codes, "site_id"))
+    with_sponsor = skew_join(codes, _sponsors(T), "code_sponsor_id", "sponsor_id", "left", keys_from=(T["sponsor_invite_code"], "sponsor_id"))
+    return (skew_join(with_sponsor, sites, "site_id", "s_site_key", "left", keys_from=(T["sponsor_invite_code"], "site_id"))
             .select("code_key", "sponsor_id", "sponsor_name", "sponsor_code", "site_id", "site_name"))
 
 
@@ -127,8 +127,9 @@ def route_sponsor_join(T: Tables) -> DataFrame:
     joins = (T["user_join_record"].where(F.col("action_type") == JOIN_ACTION)
              .select(F.col("user_id").alias("jr_user_id"), F.col("sponsor_invite_code_id").alias("jr_code_id")))
     people = _eligible_people(T).select(F.col("id").alias("user_id"))
-    matched = skew_join(joins, people, "jr_user_id", "user_id", "inner")
-    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner", keys_from=(joins, "jr_code_id"))
+    matched = skew_join(joins, people, "jr_user_id", "user_id", "inner", keys_from=(T["user_join_record"], "user_id"))
+    out = skew_join(matched, sponsor_code_context(T), "jr_code_id", "code_key", "inner",
+                    keys_from=(T["user_join_record"], "sponsor_invite_code_id"))
     none = F.lit(None).cast("string")
     return out.select("user_id", "sponsor_id", "sponsor_name", "sponsor_code",
                       none.alias("classroom_id"), none.alias("classroom_name"), none.alias("classroom_code"),
@@ -154,34 +155,37 @@ def _invited_pairs(T: Tables) -> DataFrame:
     """(user_id, classroom_id) of the invitations that reach a person."""
     people = _eligible_people(T).select(normalize_email("email").alias("u_email"), F.col("id").alias("user_id"))
     inv = T["educator_invitation_record"].select(normalize_email("email").alias("i_email"), "classroom_id")
-    return skew_join(inv, people, "i_email", "u_email", "inner").select("user_id", "classroom_id")
-
-
-def _joined_pairs(pairs: DataFrame, context: DataFrame, rooms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct ``pairs(user_id, classroom_id, keep)`` -> rows with a context (already distinct),
-    and one row of nulls for each person with a kept pair whose classroom is not there."""
-    narrow = (pairs.where(F.col("user_id").isNotNull()).groupBy("user_id", F.col("classroom_id").alias("m_classroom_id"))
-              .agg(F.max("keep").alias("keep")))
-    matched = skew_join(narrow, context, "m_classroom_id", "classroom_id", "inner").select(*ATTRIBUTION_COLUMNS)
-    lost = (narrow.where("keep").join(rooms, F.col("m_classroom_id") == F.col("room"), "left_anti")
-            .select("user_id").distinct())
-    none = F.lit(None).cast("string")
-    return matched, lost.select("user_id", *[none.alias(c) for c in ATTRIBUTION_COLUMNS[1:]])
+    return skew_join(inv, people, "i_email", "u_email", "inner",
+                     keys_from=(T["educator_invitation_record"], "email_key")).select("user_id", "classroom_id")
 
 
 def user_attributions(T: Tables) -> DataFrame:
     """A7: every attribution row of every person (many rows per person), distinct within the
-    educator rows and within the learner rows (learner, invited and sponsor join)."""
-    ctx = classroom_context(T).distinct()
+    educator rows and within the learner rows (learner, invited and sponsor join).
+
+    One pass over all routes.  Their narrow rows meet in one union: a person, the classroom if it
+    exists, for sponsor joins the site and sponsor of the code, and which of the two distinct sets they
+    belong to.  One aggregate makes them distinct, so that a person's rows without a classroom collapse
+    to one, also with a sponsor join that knows nothing more.  Then the distinct context is joined once.
+    """
+    own = ("sponsor_id", "sponsor_name", "sponsor_code", "site_id", "site_name")
+    none = [F.lit(None).cast("string").alias(f"own_{c}") for c in own]
+    members = T["educator_classroom_membership"].select("user_id", "classroom_id", F.lit("educator").alias("route"), F.lit(True).alias("keep"))
+    for pairs, keep in ((T["learner_classroom_membership"], True), (_invited_pairs(T), False)):
+        members = members.unionByName(pairs.select("user_id", "classroom_id", F.lit("learner").alias("route"), F.lit(keep).alias("keep")))
+    of_rooms = [(T[t], "classroom_id") for t in ("learner_classroom_membership", "educator_classroom_membership", "educator_invitation_record")]
     rooms = T["classroom"].select(F.col("id").alias("room")).where("room IS NOT NULL").distinct()
-    keep = F.lit(True).alias("keep")
-    educators, no_room = _joined_pairs(T["educator_classroom_membership"].select("user_id", "classroom_id", keep), ctx, rooms)
-    pairs = T["learner_classroom_membership"].select("user_id", "classroom_id", keep).unionByName(
-        _invited_pairs(T).withColumn("keep", F.lit(False)))
-    learners, no_learner_room = _joined_pairs(pairs, ctx, rooms)
-    # rows without a classroom come from two sources that may agree, so they are made distinct together
-    loose = no_learner_room.unionByName(route_sponsor_join(T)).where(F.col("user_id").isNotNull()).distinct()
-    return educators.unionByName(no_room).unionByName(learners).unionByName(loose).select(*ATTRIBUTION_COLUMNS)
+    placed = (skew_join(members.where(F.col("user_id").isNotNull()), rooms, "classroom_id", "room", "left", keys_from=of_rooms)
+              .where("keep OR room IS NOT NULL").select("route", "user_id", "room", *none))
+    joined = route_sponsor_join(T).where(F.col("user_id").isNotNull()).select(
+        F.lit("learner").alias("route"), "user_id", F.lit(None).cast("string").alias("room"), *[F.col(c).alias(f"own_{c}") for c in own])
+    # rows without a classroom match nothing; a key of their own keeps them from meeting in one task
+    spread = F.concat(F.lit("no classroom "), F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
+    narrow = placed.unionByName(joined).distinct().withColumn("room_key", F.coalesce("room", spread))
+    wide = skew_join(narrow, classroom_context(T).distinct(), "room_key", "classroom_id", "left", keys_from=of_rooms, also=F.col("room").isNotNull())
+    # a row with a classroom has nothing of its own, a row without one nothing of the context
+    return wide.select("user_id", *[F.coalesce(f"own_{c}", c).alias(c) if c in own else F.col(c) for c in ATTRIBUTION_COLUMNS if c != "user_id"]).select(
+        *ATTRIBUTION_COLUMNS)
 
 
 def first_context(T: Tables) -> DataFrame:

@@ -55,7 +55,8 @@ def location_components(T: Tables) -> DataFrame:
     """L1: every place's typed ancestors, plus the place itself."""
     typed = typed_places(T)
     edges = T["location_address_components"].select("from_location_id", "to_location_id")
-    ancestors = skew_join(edges, typed, "to_location_id", "t_id", "inner").select(*COMPONENT_COLUMNS)
+    ancestors = skew_join(edges, typed, "to_location_id", "t_id", "inner",
+                          keys_from=(T["location_address_components"], "to_location_id")).select(*COMPONENT_COLUMNS)
     itself = typed.select(F.col("t_id").alias("from_location_id"), F.col("t_id").alias("to_location_id"),
                           *COMPONENT_COLUMNS[2:])
     return ancestors.unionByName(itself)

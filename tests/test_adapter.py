@@ -65,7 +65,7 @@ def test_changed_inputs_are_staged_anew(spark, tmp_path):
     from dimloom.sources.adapters import DRIVER_COLUMNS, sources_from_driver
 
     for name in DRIVER_COLUMNS:
-        shutil.copy(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
     before = sources_from_driver(spark, str(tmp_path))["user_core"].count()
     time.sleep(1.1)
     half = spark.read.parquet(f"{SF}/customer.parquet").where("c_custkey < 10").toPandas()

@@ -62,3 +62,11 @@ def test_salted_join_reads_one_stored_hot_list(spark):
     p = plan(df)
     assert p.count("dimloom-hot") >= 2 and "BroadcastExchange" in p
     assert len({x.split("dimloom-hot/")[1][:32] for x in p.split("Location: ") if "dimloom-hot/" in x}) == 1
+
+
+def test_attributions_are_planned_in_one_pass(spark):
+    """All routes meet in one union and one join with the context: no table is scanned for each route."""
+    p = plan(E.queries()["attr_unified"](spark, SF))
+    tree = p.split("\n\n\n")[0]
+    assert tree.count("Scan parquet") <= 15
+    assert "LeftAnti" not in p

@@ -86,3 +86,52 @@ def test_no_salt_without_a_hot_key(spark):
     assert hot_keys(left, "lk", 50) is None
     plan = skew_join(left, right, "lk", "rk", "left", hot_rows=50)._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" not in plan
+
+
+def test_summary_names_the_keys_that_counting_names(spark, tables, monkeypatch):
+    """The declared tables' sketches and an exact count list the same keys, whatever the threshold."""
+    from dimloom.operators import joins as J
+    from dimloom.sources.schemas import SOURCE_SCHEMAS
+
+    rows = [(f"u{i % 40}", "userjoins", f"c{i % 9 if i % 3 else 0}") for i in range(900)] + [(None, "userjoins", None)] * 50
+    fields = SOURCE_SCHEMAS["user_join_record"].fieldNames()
+    wide = [tuple(dict(zip(("user_id", "action_type", "sponsor_invite_code_id"), r, strict=True)).get(f) for f in fields) for r in rows]
+    table = spark.createDataFrame(wide, SOURCE_SCHEMAS["user_join_record"]).repartition(7)
+    for key in ("user_id", "sponsor_invite_code_id"):
+        for hot_rows in (3, 23, 100, 400, 1000):
+            listed = J.hot_keys(table, key, hot_rows)
+            want = {r[key] for r in table.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") >= hot_rows).collect()}
+            assert (set() if listed is None else {r["__hot_key"] for r in listed.collect()}) == want
+    monkeypatch.setattr(J, "SKETCH_ROWS", 0)  # the exact way for tables beyond the sketch
+    J._STORED.clear()
+    assert {r["__hot_key"] for r in J.hot_keys(table, "sponsor_invite_code_id", 300).collect()} == {"c0"}
+
+
+def test_one_summary_a_table(spark, monkeypatch):
+    """Building all models reads each declared table once for its hot keys, whatever the joins that use them."""
+    import os
+
+    from dimloom.operators import attributions as A
+    from dimloom.operators import joins as J
+    from dimloom.operators import users as U
+    from dimloom.sources.adapters import sources_from_driver
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("benchmark tables not present")
+    T = sources_from_driver(spark, "/root/testdata/sf0.001")
+    made = []
+    summary = J.key_summary
+    monkeypatch.setattr(J, "key_summary", lambda df, keys: made.append(J._identity(df)) or summary(df, keys))
+    J._SUMMARIES.clear()
+    J._STORED.clear()
+    A.user_attributions(T)
+    U.dim_users(T)
+    assert len(J._SUMMARIES) == len(set(made)) == len(J.JOIN_KEYS)
+
+
+def test_hot_in_several_tables_together(spark):
+    """A key with its share of the rows in one of the tables is listed."""
+    one = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2, "k string")
+    two = spark.createDataFrame([("a",)] * 3 + [("b",)] * 3 + [("c",)] * 5, "j string")
+    assert {r["__hot_key"] for r in hot_keys(one, "k", 9, (two, "j")).collect()} == {"a", "c"}
+    assert hot_keys(one, "k", 20, (two, "j")) is None
