@@ -16,6 +16,7 @@ from .plans.build import build, catalog, check
 from .session import ensure_checkpoint_dir, tune
 from .sources import load_parquet
 from .sources.adapters import sources_from_driver
+from .sources.sinks import read_table, write_table
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,9 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     T = load_parquet(spark, args.sources) if args.sources else sources_from_driver(spark, args.benchmark_dir)
     models = build(spark, T, args.out, args.as_of)
     checks = check(T, models)
-    checks.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/_checks")
-    catalog(T, models).write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/_catalog")
-    failed = spark.read.parquet(f"{args.out.rstrip('/')}/_checks").where("failures > 0").count()
+    write_table(checks, f"{args.out.rstrip('/')}/_checks")
+    write_table(catalog(T, models), f"{args.out.rstrip('/')}/_catalog")
+    failed = read_table(spark, f"{args.out.rstrip('/')}/_checks").where("failures > 0").count()
     print(f"built {len(models)} tables; {failed} of 21 checks failed")
     return 1 if failed else 0
 

@@ -2,8 +2,8 @@
 catalog cycle).
 
 Intermediate tables are written first and read back, so ``dim_users`` scans the stored
-location and attribution tables instead of recomputing them.  Every write replaces its
-target (full rebuild); descriptions are persisted as column metadata.
+location and attribution tables instead of recomputing them.  Every write publishes a new version
+of its target (full rebuild; see ``sinks``); descriptions are persisted as column metadata.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import quality as Q
 from ..operators.attributions import first_attribution, user_attributions
 from ..operators.locations import locations_clean
-from ..operators.profile import table_profile
+from ..operators.profile import parquet_folder, table_profile
 from ..operators.users import dim_users
 from ..sources.schemas import OUTPUT_COMMENTS
-from ..sources.sinks import write_table
+from ..sources.sinks import read_table, write_table
 
 MODELS = ("locations_clean", "user_attributions", "dim_users")
 
@@ -30,11 +30,16 @@ def build(spark: SparkSession, T: Mapping[str, DataFrame], out_dir: str,
     out = out_dir.rstrip("/")
     write_table(locations_clean(T), f"{out}/locations_clean", OUTPUT_COMMENTS)
     write_table(user_attributions(T), f"{out}/user_attributions", OUTPUT_COMMENTS)
-    locs = spark.read.parquet(f"{out}/locations_clean")
-    attrs = spark.read.parquet(f"{out}/user_attributions")
+    locs = read_table(spark, f"{out}/locations_clean")
+    attrs = read_table(spark, f"{out}/user_attributions")
     write_table(dim_users(T, as_of, locations=locs, attribution=first_attribution(attrs)),
                 f"{out}/dim_users", OUTPUT_COMMENTS)
-    return {name: spark.read.parquet(f"{out}/{name}") for name in MODELS}
+    return read_models(spark, out)
+
+
+def read_models(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The published versions of the models under ``out_dir``."""
+    return {name: read_table(spark, f"{out_dir.rstrip('/')}/{name}") for name in MODELS}
 
 
 def check(T: Mapping[str, DataFrame], models: Mapping[str, DataFrame]) -> DataFrame:
@@ -43,5 +48,6 @@ def check(T: Mapping[str, DataFrame], models: Mapping[str, DataFrame]) -> DataFr
 
 
 def catalog(T: Mapping[str, DataFrame], models: Mapping[str, DataFrame]) -> DataFrame:
-    """Column profile of the sources and the built tables."""
-    return table_profile({**T, **models})
+    """Column profile of the sources and the built tables; stored tables answer from their footers."""
+    tables = {**T, **models}
+    return table_profile(tables, {name: folder for name, df in tables.items() if (folder := parquet_folder(df))})

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,11 @@ from ..operators import attributions as A
 from ..operators import locations as L
 from ..operators import quality as Q
 from ..operators import users as U
-from ..operators.profile import table_profile
 from ..sources.adapters import sources_from_driver
 from ..session import ensure_checkpoint_dir, tune
-from ..sources.schemas import ATTRIBUTION_COLUMNS, OUTPUT_COMMENTS, SOURCE_NAMES
-from ..sources.sinks import create_view, write_table
-from .build import MODELS, build
+from ..sources.schemas import ATTRIBUTION_COLUMNS, OUTPUT_COMMENTS, SOURCE_NAMES, TABLE_COMMENTS
+from ..sources.sinks import create_view, read_table, save_table, table_descriptions, write_table
+from .build import MODELS, build, catalog, read_models
 
 AS_OF = dt.date(2026, 3, 10)
 
@@ -212,7 +212,7 @@ def _models(T) -> dict:
         out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dimloom-models/{uuid.uuid4().hex}"
         build(spark, T, out, AS_OF)
         _BUILT[key] = out
-    return {**T, **{name: spark.read.parquet(f"{_BUILT[key]}/{name}") for name in MODELS}}
+    return {**T, **read_models(spark, _BUILT[key])}
 
 
 @register("dq_not_null")
@@ -243,14 +243,14 @@ def _dq_suite(T):
 # ---- P, X19
 @register("table_profile")
 def _table_profile(T):
-    return table_profile({name: T[name] for name in SOURCE_NAMES})
+    return catalog({name: T[name] for name in SOURCE_NAMES}, {})
 
 
 @register("model_profile")
 def _model_profile(T):
     """Type, description, rows and nulls of every column of the three built models."""
     models = _models(T)
-    return table_profile({name: models[name] for name in MODELS})
+    return catalog({}, {name: models[name] for name in MODELS})
 
 
 @register("sink_round_trip")
@@ -260,10 +260,26 @@ def _sink_round_trip(T):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dimloom-sink/{uuid.uuid4().hex}"
     for _ in range(2):
         write_table(L.locations_clean(T), path, OUTPUT_COMMENTS)
-    create_view(spark.read.parquet(path), "dimloom_sink_round_trip")
+    create_view(read_table(spark, path), "dimloom_sink_round_trip")
     return spark.sql("SELECT * FROM dimloom_sink_round_trip")
 
 
+@register("catalog_descriptions")
+def _catalog_descriptions(T):
+    """Each model saved as a catalog table: its description, its columns' and its rows, as the catalog gives them back."""
+    spark = T["location_core"].sparkSession
+    models, parts = _models(T), []
+    for name in MODELS:
+        saved = f"dimloom_{uuid.uuid4().hex}_{name}"
+        save_table(models[name], saved, OUTPUT_COMMENTS, TABLE_COMMENTS[name])
+        table, columns = table_descriptions(spark, saved)
+        rows = [(name, table, c, text) for c, text in columns.items()]
+        described = spark.createDataFrame(rows, "table_name string, table_description string, column_name string, column_description string")
+        counted = spark.table(saved).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(name).alias("table_name"), "num_rows")
+        parts.append(described.join(counted, "table_name"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("coalesce_trim")
 def _coalesce_trim(T):
     inv = T["educator_invitation_record"]

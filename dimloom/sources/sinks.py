@@ -1,14 +1,26 @@
-"""Sinks: full-rebuild table writes and views, with column descriptions persisted."""
+"""Sinks: full-rebuild table writes and views, with column descriptions persisted.
+
+A rebuild never touches the rows that readers see.  Each write makes a new version folder under
+``<path>/_versions``; when it is complete and reads back as many rows as were written, the file
+``<path>/_current``, which names the version, is replaced in one step.  A job that fails in between
+leaves the old version current; readers that opened the old version go on reading it, for it stays
+until ``remove_old_versions`` is called.  Catalog tables are the same versions behind a table whose location
+is moved.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import TABLE_COMMENTS
 
+VERSIONS, CURRENT = "_versions", "_current"
+
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Attach ``comments[col]`` as the column's ``comment`` metadata (kept by parquet and the catalog)."""
@@ -18,25 +30,116 @@ def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     ])
 
 
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``: whatever store Spark itself reads."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the published version of the table at ``path``; None if nothing was published."""
+    fs, pointer = _fs(spark, f"{path.rstrip('/')}/{CURRENT}")
+    if not fs.exists(pointer):
+        return None
+    opened = fs.open(pointer)
+    try:
+        return f"{path.rstrip('/')}/{VERSIONS}/{opened.readLine()}"
+    finally:
+        opened.close()
+
+
+def _point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Replace the pointer in one step: a rename over the old file."""
+    jvm = spark.sparkContext._jvm
+    root = path.rstrip("/")
+    fs, fresh = _fs(spark, f"{root}/{CURRENT}-{uuid.uuid4().hex}")
+    out = fs.create(fresh, True)
+    out.writeBytes(version + "\n")
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(fresh, jvm.org.apache.hadoop.fs.Path(f"{root}/{CURRENT}"), options)
+
+
+def _write_version(df: DataFrame, path: str, comments: Mapping[str, str], partition_by: tuple[str, ...]) -> str:
+    """Write a new version of the table and verify it; returns its name."""
+    spark, written = df.sparkSession, Observation()
+    version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    folder = f"{path.rstrip('/')}/{VERSIONS}/{version}"
+    writer = with_comments(df, comments).observe(written, F.count(F.lit(1)).alias("rows")).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+    found = spark.read.parquet(folder).count()  # from footers
+    if found != written.get["rows"]:
+        raise RuntimeError(f"{folder} has {found} rows, {written.get['rows']} were written; the published version stays")
+    return version
+
+
 def write_table(df: DataFrame, path: str, comments: Mapping[str, str] | None = None,
                 partition_by: tuple[str, ...] = ()) -> None:
-    """Materialise ``df`` as parquet at ``path``, replacing what was there (type-1 full rebuild)."""
-    out = with_comments(df, comments or {})
-    writer = out.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Materialise ``df`` as the published version of the parquet table at ``path`` (type-1 full rebuild)."""
+    _point_to(df.sparkSession, path, _write_version(df, path, comments or {}, partition_by))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The published version of the table at ``path``; a folder without versions is read as it is."""
+    return spark.read.parquet(current_version(spark, path) or path)
+
+
+def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` newest versions and the published one; returns what went."""
+    published = current_version(spark, path)
+    fs, folder = _fs(spark, f"{path.rstrip('/')}/{VERSIONS}")
+    if published is None or not fs.exists(folder):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    gone = [n for n in names[: max(0, len(names) - keep)] if n != published.rsplit("/", 1)[1]]
+    for name in gone:
+        fs.delete(_fs(spark, f"{path.rstrip('/')}/{VERSIONS}/{name}")[1], True)
+    return gone
+
+
+def _quoted(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
+
+
+def _database_folder(spark: SparkSession, name: str) -> str:
+    database = name.rsplit(".", 1)[0] if "." in name else spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
 
 
 def save_table(df: DataFrame, name: str, comments: Mapping[str, str] | None = None,
                table_comment: str | None = None) -> None:
     """Materialise ``df`` as a catalog table ``name`` (full replace), with an optional
-    table description (defaults to ``TABLE_COMMENTS`` for the known table names)."""
-    with_comments(df, comments or {}).write.mode("overwrite").saveAsTable(name)
-    text = table_comment if table_comment is not None else TABLE_COMMENTS.get(name.split(".")[-1])
+    table description (defaults to ``TABLE_COMMENTS`` for the known table names).
+
+    The rows are a new version in the database's folder; the table then moves to it.  Only where its
+    columns or their descriptions change is it declared anew.
+    """
+    spark, short = df.sparkSession, name.split(".")[-1]
+    path = f"{_database_folder(spark, name)}/{short}"
+    version = _write_version(df, path, comments or {}, ())
+    location = f"{path}/{VERSIONS}/{version}"
+    schema = spark.read.parquet(location).schema
+    shape = [(f.name, f.dataType, f.metadata.get("comment")) for f in schema.fields]
+    if spark.catalog.tableExists(name) and shape == [(f.name, f.dataType, f.metadata.get("comment")) for f in spark.table(name).schema.fields]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(location)}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=location, source="parquet", schema=schema)
+    _point_to(spark, path, version)
+    spark.catalog.refreshTable(name)
+    text = table_comment if table_comment is not None else TABLE_COMMENTS.get(short)
     if text:
-        escaped = text.replace("'", "\\'")
-        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{escaped}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(text)}")
+
+
+def table_descriptions(spark: SparkSession, name: str) -> tuple[str | None, dict[str, str | None]]:
+    """(description of the table, descriptions of its columns) as the catalog has them."""
+    return spark.catalog.getTable(name).description, {c.name: c.description for c in spark.catalog.listColumns(name)}
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:

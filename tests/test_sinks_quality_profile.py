@@ -3,6 +3,9 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from helpers import srt, with_rows
 from reference_fixture import AS_OF
 
@@ -13,7 +16,7 @@ from dimloom.operators.users import dim_users
 from dimloom.operators.attributions import user_attributions
 from dimloom.sources import load_parquet
 from dimloom.sources.schemas import OUTPUT_COMMENTS, SOURCE_NAMES
-from dimloom.sources.sinks import create_view, write_table
+from dimloom.sources.sinks import create_view, current_version, read_table, remove_old_versions, save_table, table_descriptions, write_table
 
 
 def test_write_read_back_keeps_rows_and_comments(spark, tables):
@@ -21,11 +24,11 @@ def test_write_read_back_keeps_rows_and_comments(spark, tables):
     df = locations_clean(tables)
     write_table(df, f"{out}/locations_clean", OUTPUT_COMMENTS)
     write_table(df, f"{out}/locations_clean", OUTPUT_COMMENTS)  # overwrite, not append
-    back = spark.read.parquet(f"{out}/locations_clean")
+    back = read_table(spark, f"{out}/locations_clean")
     assert back.count() == 9
     assert back.schema["city"].metadata["comment"] == OUTPUT_COMMENTS["city"]
     for name in SOURCE_NAMES:
-        write_table(tables[name], f"{out}/{name}")
+        tables[name].write.parquet(f"{out}/{name}")
     T2 = load_parquet(spark, out)
     assert T2["user_core"].count() == 10
     assert create_view(df, "locations_clean_view") is df
@@ -81,11 +84,11 @@ def test_command_line_cycle(spark):
         return
     out = tempfile.mkdtemp(prefix="dimloom-cli-", dir=os.environ.get("TMPDIR", "/tmp"))
     code = main(["--benchmark-dir", sf, "--out", f"{out}/m", "--as-of", "2026-03-10"])
-    checks = spark.read.parquet(f"{out}/m/_checks")
+    checks = read_table(spark, f"{out}/m/_checks")
     assert checks.count() == 21
     failed = checks.where("failures > 0").count()
     assert code == (1 if failed else 0)
-    assert spark.read.parquet(f"{out}/m/dim_users").count() == spark.read.parquet(f"{out}/m/dim_users").select("user_id").distinct().count()
+    assert read_table(spark, f"{out}/m/dim_users").count() == read_table(spark, f"{out}/m/dim_users").select("user_id").distinct().count()
 
 
 def test_catalog_tables_round_trip(spark, tables):
@@ -106,3 +109,87 @@ def test_catalog_tables_round_trip(spark, tables):
         assert spark.table("dimloom_test.dim_users").schema["city"].metadata["comment"] == OUTPUT_COMMENTS["city"]
     finally:
         spark.sql("DROP DATABASE IF EXISTS dimloom_test CASCADE")
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path):
+    """A job killed in the middle publishes nothing; the next one does; a running reader keeps its rows."""
+    path = str(tmp_path / "t")
+    write_table(spark.range(100).withColumn("v", F.lit("old")), path)
+    reader, old = read_table(spark, path), current_version(spark, path)
+    broken = spark.range(0, 1000, 1, 8).withColumn("v", F.when(F.col("id") == 990, F.raise_error(F.lit("executor lost"))).otherwise("new"))
+    with pytest.raises(Exception, match="executor lost"):
+        write_table(broken, path)
+    assert current_version(spark, path) == old
+    assert read_table(spark, path).where("v = 'old'").count() == 100
+    write_table(spark.range(7).withColumn("v", F.lit("new")), path)
+    assert read_table(spark, path).count() == 7 and current_version(spark, path) != old
+    assert reader.where("v = 'old'").count() == 100
+    assert not [f for f in os.listdir(path) if f.startswith("_current-")]
+    gone = remove_old_versions(spark, path, keep=1)
+    assert len(gone) == 2 and read_table(spark, path).count() == 7  # the old one and what the failed job left
+
+
+def test_a_short_write_is_not_published(spark, tmp_path, monkeypatch):
+    from dimloom.sources import sinks
+
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+    monkeypatch.setattr(sinks.Observation, "get", property(lambda self: {"rows": 9}))
+    with pytest.raises(RuntimeError, match="published version stays"):
+        write_table(spark.range(8), path)
+    assert read_table(spark, path).count() == 5
+
+
+def test_partitioned_and_plain_folders(spark, tmp_path):
+    write_table(spark.range(10).withColumn("k", F.col("id") % 3), str(tmp_path / "p"), partition_by=("k",))
+    assert read_table(spark, str(tmp_path / "p")).where("k = 1").count() == 3
+    spark.range(4).write.parquet(str(tmp_path / "plain"))
+    assert read_table(spark, str(tmp_path / "plain")).count() == 4 and remove_old_versions(spark, str(tmp_path / "plain")) == []
+
+
+def test_catalog_table_moves_and_keeps_odd_descriptions(spark):
+    loc = tempfile.mkdtemp(prefix="dimloom-db-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS dimloom_moves LOCATION '{loc}'")
+    odd = "back\\slash \\n 'quoted' \"double\" and\na second line \\'"
+    try:
+        df = spark.range(3).withColumn("name", F.lit("x"))
+        save_table(df, "dimloom_moves.t", {"id": odd}, odd)
+        assert table_descriptions(spark, "dimloom_moves.t") == (odd, {"id": odd, "name": None})
+        save_table(df.where("id > 0"), "dimloom_moves.t", {"id": odd}, "second")
+        assert spark.table("dimloom_moves.t").count() == 2
+        assert table_descriptions(spark, "dimloom_moves.t") == ("second", {"id": odd, "name": None})
+        save_table(df.withColumn("more", F.lit(1)), "dimloom_moves.t", {"more": "a new column"})
+        assert spark.table("dimloom_moves.t").columns == ["id", "name", "more"] and spark.table("dimloom_moves.t").count() == 3
+        broken = df.withColumn("more", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(1))
+        with pytest.raises(Exception, match="lost"):
+            save_table(broken, "dimloom_moves.t", {"more": "a new column"})
+        assert spark.table("dimloom_moves.t").count() == 3
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS dimloom_moves CASCADE")
+
+
+def test_profile_reads_footers_only(spark, tables, tmp_path):
+    """Counts of stored tables are pushed into the scan; the rows are those of a full scan."""
+    for name in ("user_core", "location_core"):
+        tables[name].write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in ("user_core", "location_core")}
+    folders = {name: str(tmp_path / name) for name in stored}
+    fast = table_profile(stored, folders)
+    plan = fast._jdf.queryExecution().toString()
+    assert plan.count("PushedAggregation: [COUNT") >= 2 and "FileScan" not in plan
+    assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, table_profile(stored).collect()), key=str)
+    empty = spark.createDataFrame([], "a string, b int")
+    empty.write.parquet(str(tmp_path / "empty"))
+    got = table_profile({"empty": empty, "none": spark.createDataFrame([], "")}, {"empty": str(tmp_path / "empty")}).collect()
+    assert sorted(map(tuple, got), key=str) == [("empty", "a", 1, "STRING", "", 0, 0), ("empty", "b", 2, "INT64", "", 0, 0), ("none", " ", 1, " ", "", None, None)]
+
+
+def test_profile_scans_where_a_footer_lacks_counts(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(tmp_path / "t")
+    pq.write_table(pa.table({"a": ["x", None, "y"], "b": [1, 2, None]}), str(tmp_path / "t" / "part-0.parquet"), write_statistics=False)
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = {r.column_name: (r.num_rows, r.null_count) for r in table_profile({"t": df}, {"t": str(tmp_path / "t")}).collect()}
+    assert got == {"a": (3, 1), "b": (3, 1)}
