@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ def _stored_counts(reader: SparkSession, folder: str, columns: list[str]) -> Dat
     counts = column_counts(reader.read.parquet(folder), columns)
     try:
         found = counts.first()  # reads footers only
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return None
     return None if found is None or found["num_rows"] is None else counts
 
