@@ -59,6 +59,8 @@ PAIRS = 4096
 CELLS = 1 << 19
 #: Lines that a task remembers as met.
 MET = 1 << 19
+#: Linked lines (16 bytes each) up to which their classes are broadcast to the lines.
+LISTED = 1 << 18
 #: Bits of a key, and of the largest table of keys or digests.
 KEY, TABLE = 41, 27
 #: Keys of a shard when they are counted.
@@ -145,12 +147,17 @@ class _Cut:
                         part = _mixed((sums[at + size] - sums[at]) * down[at])
                         yield rows, _mixed(part ^ (salt + U(i))) >> U(64 - KEY), not (less or shift)
 
-    def pair_parities(self) -> np.ndarray:
-        """64 parities of each line's character pairs: an edit changes four of them at most."""
-        bits = np.zeros(len(self.mixed), U)
-        bits[:-1] = U(1) << (((self.mixed[:-1] * U(3) + self.mixed[1:]) * U(BASE)) >> U(58))
-        bits[self.begin + self.n - 1] = 0
-        return np.bitwise_xor.reduceat(bits, self.begin).view(np.int64)
+    def pair_parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 parities of each line's character pairs, in two words: an edit changes four of them at most."""
+        place = ((self.mixed[:-1] * U(3) + self.mixed[1:]) * U(BASE)) >> U(57)
+        bit = U(1) << (place & U(63))
+        words = []
+        for word in (0, 1):
+            bits = np.zeros(len(self.mixed), U)
+            bits[:-1] = np.where(place >> U(6) == word, bit, U(0))
+            bits[self.begin + self.n - 1] = 0
+            words.append(np.bitwise_xor.reduceat(bits, self.begin).view(np.int64))
+        return words[0], words[1]
 
 
 def _cuts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[list[int], list[str]]]:
@@ -322,7 +329,7 @@ def _shared_keys(docs: DataFrame, lines: int, max_edits: int, least: int, per_ch
 
 
 def _members(docs: DataFrame, lines: int, max_edits: int, least: int, per_chars: int) -> DataFrame:
-    """Stored (key, h, own, n, parity, met): lines under the keys of the bit table; met: in how many tasks."""
+    """Stored (key, h, own, n, even, odd, met): lines under the keys of the bit table; met: in how many tasks."""
     model = docs.sparkSession.sparkContext.broadcast(_shared_keys(docs, lines, max_edits, least, per_chars))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,12 +340,12 @@ def _members(docs: DataFrame, lines: int, max_edits: int, least: int, per_chars:
                     if (hit := bits_set(table, key >> U(KEY - table_bits))).any()]
             if hits:
                 rows, key, own = map(np.concatenate, zip(*hits, strict=True))
-                parity = cut.pair_parities()
+                even, odd = cut.pair_parities()
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(cut.h[rows]), pa.array(own), pa.array(cut.n[rows]),
-                                                  pa.array(parity[rows])], ["key", "h", "own", "n", "parity"])
+                                                  pa.array(even[rows]), pa.array(odd[rows])], ["key", "h", "own", "n", "even", "odd"])
 
-    rows = docs.select("text").mapInArrow(run, "key long, h long, own int, n long, parity long")
-    each = rows.groupBy("key", "h", "n", "parity").agg(F.max("own").alias("own"), F.sum(F.lit(1)).alias("met"))
+    rows = docs.select("text").mapInArrow(run, "key long, h long, own int, n long, even long, odd long")
+    each = rows.groupBy("key", "h", "n", "even", "odd").agg(F.max("own").alias("own"), F.sum(F.lit(1)).alias("met"))
     out = stored(each, "lines-members")
     model.destroy()
     return out
@@ -406,10 +413,10 @@ def line_links(docs: DataFrame, lines: int, max_edits: int, least: int, bucket:
     keys = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("n_key"), F.max("own").alias("indexed"))
                   .where("n_key > 1 AND indexed = 1").select("key", "n_key"), "lines-keys")
     met = stored(members.join(keys, "key"), "lines-met")
-    few = met.where(F.col("n_key") <= bucket).select("key", "h", "own", "n", "parity")
+    few = met.where(F.col("n_key") <= bucket).select("key", "h", "own", "n", "even", "odd")
     edits = _edits("least(x.n, y.n)", max_edits, per_chars)
     pairs = stored(few.alias("x").join(few.alias("y"), F.expr(
-        f"x.key = y.key AND x.h < y.h AND x.own + y.own > 0 AND abs(x.n - y.n) <= {edits} AND bit_count(x.parity ^ y.parity) <= 4 * {edits}"))
+        f"x.key = y.key AND x.h < y.h AND x.own + y.own > 0 AND abs(x.n - y.n) <= {edits} AND bit_count(x.even ^ y.even) + bit_count(x.odd ^ y.odd) <= 4 * {edits}"))
         .select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct(), "lines-pairs")
     crowd = met.where(F.col("n_key") > bucket).drop("n_key")
     crowded = bool(crowd.limit(1).count())
@@ -424,7 +431,7 @@ def line_links(docs: DataFrame, lines: int, max_edits: int, least: int, bucket:
 
 
 def _crowd_links(crowd: DataFrame, texts: DataFrame, max_edits: int, per_chars: int) -> DataFrame:
-    """Links (a, b) that connect what all pairs under each key of ``crowd(key, h, own, n, parity, met)`` would."""
+    """Links (a, b) that connect what all pairs under each key of ``crowd(key, h, own, n, even, odd, met)`` would."""
     pivots = crowd.where("own = 1").groupBy("key").agg(F.max(F.struct("met", "h", "n")).alias("p")).select(
         "key", F.col("p.h").alias("pivot"), F.col("p.n").alias("pivot_n"))
     # one verification a line and pivot, whatever the number of keys that they share
@@ -434,7 +441,7 @@ def _crowd_links(crowd: DataFrame, texts: DataFrame, max_edits: int, per_chars:
     judged = stored(_with_texts(to_pivot, texts).select("a", "b", near("a_text", "b_text").alias("close"),
                                                         ring("a_text", "b_text").alias("ring")), "lines-judged")
     rows = sided.join(judged, (sided.h == judged.a) & (sided.pivot == judged.b), "left").select(
-        "key", "h", "own", "n", "parity", F.coalesce("close", F.lit(True)).alias("close"), F.coalesce("ring", F.lit(True)).alias("ring"))
+        "key", "h", "own", "n", "even", "odd", F.coalesce("close", F.lit(True)).alias("close"), F.coalesce("ring", F.lit(True)).alias("ring"))
     linked = judged.where("close").select("a", "b")
     # keys whose pivot did not link all lines; the linked ones take part where the rest comes near them
     rest = stored(rows.groupBy("key").agg(F.sum(F.expr("int(NOT close)")).alias("n_rest"), F.max(F.expr("NOT close AND ring")).alias("any_ring"),
@@ -443,7 +450,7 @@ def _crowd_links(crowd: DataFrame, texts: DataFrame, max_edits: int, per_chars:
         return linked
     left_blocks, right_blocks = f"((n_rest - 1) div {BLOCK} + 1)", f"((n_all - 1) div {BLOCK} + 1)"
     part = stored(rows.join(rest, "key").where("NOT close OR any_ring").join(texts, "h"), "lines-rest-texts")
-    common = ["key", "h", "own", "n", "parity", "close", "ring", "norm"]
+    common = ["key", "h", "own", "n", "even", "odd", "close", "ring", "norm"]
     left = part.where("NOT close").select(*common, F.lit(True).alias("is_left"), F.expr(f"pmod(h, {left_blocks})").alias("i"),
                                           F.expr(f"explode(sequence(0L, {right_blocks} - 1))").alias("j"))
     right = part.select(*common, F.lit(False).alias("is_left"), F.expr(f"explode(sequence(0L, {left_blocks} - 1))").alias("i"),
@@ -461,12 +468,12 @@ def _block_links(rows: pd.DataFrame, max_edits: int, per_chars: int) -> tuple[li
     left, right = rows[rows["is_left"]].reset_index(drop=True), rows[~rows["is_left"]].reset_index(drop=True)
     if not len(left) or not len(right):
         return [], []
-    n, parity, h = right["n"].to_numpy(), right["parity"].to_numpy().view(U), right["h"].to_numpy()
+    n, even, odd, h = (right[c].to_numpy() for c in ("n", "even", "odd", "h"))
     own, close = right["own"].to_numpy() > 0, right["close"].to_numpy()
     found = []
     for i, x in enumerate(left.itertuples()):
         edits = _allowed(np.minimum(n, x.n), max_edits, per_chars)
-        apart = np.bitwise_count(parity ^ U(x.parity & (1 << 64) - 1)).astype(np.int64)
+        apart = np.bitwise_count((even ^ x.even).view(U)).astype(np.int64) + np.bitwise_count((odd ^ x.odd).view(U))
         may = (apart <= 4 * edits) & (np.abs(n - x.n) <= edits) & (own | (x.own > 0)) & np.where(close, x.ring, h > x.h)
         j = np.flatnonzero(may)
         found.append(np.stack([apart[j], np.full(len(j), i), j]))
@@ -516,6 +523,8 @@ def classify(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
         roots = components(links, "lines-components")
         # the smallest line of a class is not listed as a node; a line without links is its own class
         listed = stored(roots.union(roots.select("root", "root")).distinct().toDF("h", "root"), "lines-listed")
+        if listed.count() <= LISTED:
+            listed = F.broadcast(listed)
         rooted = stored(each.join(listed, "h").select("h", "first", "root"), "lines-rooted")
         firsts = rooted.groupBy("root").agg(F.min("first").alias("class_first"))
         named = stored(named.join(listed, "h", "left_anti").union(rooted.join(firsts, "root").select("h", "class_first")), "lines-named")

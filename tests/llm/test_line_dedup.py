@@ -95,7 +95,7 @@ def test_blocks_compare_what_pivots_leave():
     texts = [pivot, pivot.replace("quick", "quack"), pivot.replace("quick", "quaaaack"), pivot.replace("quick", "quaaaackxxx"), "z" * len(pivot)]
     close = [L._distance(t, pivot) <= 4 for t in texts]
     cut = L._Cut([L._digest(t) for t in texts], texts)
-    rows = pd.DataFrame({"h": cut.h, "own": 1, "n": cut.n, "parity": cut.pair_parities(), "close": close, "ring": [L._distance(t, pivot) <= 8 for t in texts], "norm": texts})
+    rows = pd.DataFrame({"h": cut.h, "own": 1, "n": cut.n, **dict(zip(("even", "odd"), cut.pair_parities(), strict=True)), "close": close, "ring": [L._distance(t, pivot) <= 8 for t in texts], "norm": texts})
     both = pd.concat([rows[~rows["close"]].assign(is_left=True), rows.assign(is_left=False)])
     a, b = L._block_links(both, 4, 0)
     name = {int(h): i for i, h in enumerate(cut.h)}
@@ -109,8 +109,8 @@ def test_an_edit_changes_four_parities_at_most():
         a = "".join(rng.choices("abcd ", k=rng.randint(5, 80)))
         b = edited(rng, a, rng.randint(0, 4), "abcd")
         if b:
-            x, y = (int(v) for v in L._Cut([1, 2], [a, b]).pair_parities().view(np.uint64))
-            assert (x ^ y).bit_count() <= 4 * L._distance(a, b)
+            flips = sum((int(x) ^ int(y)).bit_count() for x, y in (w.view(np.uint64) for w in L._Cut([1, 2], [a, b]).pair_parities()))
+            assert flips <= 4 * L._distance(a, b)
 
 
 def test_remove_repeats(spark):
