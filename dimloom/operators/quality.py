@@ -2,13 +2,14 @@
 
 Each check yields one summary row ``(check_id, model, test, column_name, failures)``;
 ``failures`` counts what the check's SQL would return (null rows, duplicated keys,
-rows breaking an expression).  Checks of one kind on one table share a single scan.
+rows breaking an expression).  ``run_checks`` reads each table once for all its checks, whatever their kind.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,42 +74,49 @@ def expression_is_true(df: DataFrame, model: str, label: str, expression: Column
 
 @dataclass(frozen=True)
 class Check:
-    """A check of one model: a count over its rows (``rows``, an aggregate Column) or over its
-    grouped keys (``keys``; a null single key is no duplicate)."""
+    """A check of one model: rows that break it (``fails``, a condition) or keys that occur more
+    than once (``keys``; a null single key is no duplicate)."""
 
     model: str
     test: str
     column_name: str
-    rows: Column | None = None
+    fails: Column | None = None
     keys: tuple[str, ...] = ()
 
+    @property
+    def check_id(self) -> str:
+        return f"{self.test}:{self.model}:{self.column_name}"
 
-def _row_counts(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    """All row checks of one model in one scan, one output row each."""
-    counts = df.agg(*[c.rows.alias(f"c{k}") for k, c in enumerate(checks)])
-    entries = [F.struct(F.lit(f"{c.test}:{model}:{c.column_name}").alias("check_id"), F.lit(model).alias("model"), F.lit(c.test).alias("test"),
-                        F.lit(c.column_name).alias("column_name"), F.col(f"c{k}").cast("long").alias("failures")) for k, c in enumerate(checks)]
-    return counts.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
+    def entry(self, number: int) -> Column:
+        """What a row says to the check: null, its key, or (without a key) that it breaks it."""
+        key = F.array(*[F.col(c).cast("string") for c in self.keys]) if self.keys else F.lit(None).cast("array<string>")
+        said = F.struct(F.lit(number).alias("check"), key.alias("key"))
+        if self.fails is not None:
+            return F.when(self.fails, said)
+        return F.when(F.col(self.keys[0]).isNotNull(), said) if len(self.keys) == 1 else said
 
 
-def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Q6: every check's summary row in one DataFrame.
+def _failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(check_id, failures) of the checks of one model that found any, from one scan.
 
-    A model's not-null and expression checks share one scan; so do key checks over the same keys.
+    Rows say what they have to say to each check; equal entries are counted with map-side partial
+    counts, so failing rows leave a task as one number and only keys are shuffled, those of all checks together.
     """
-    parts = []
-    for model in dict.fromkeys(c.model for c in checks):
-        own = [c for c in checks if c.model == model]
-        if scanned := [c for c in own if c.rows is not None]:
-            parts.append(_row_counts(models[model], model, scanned))
-        for c in own:
-            if c.keys:
-                build = unique if c.test == "unique" else unique_combination
-                parts.append(build(models[model], model, c.keys[0] if c.test == "unique" else c.keys))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*SUMMARY_COLUMNS)
+    said = F.filter(F.array(*[c.entry(k) for k, c in enumerate(checks)]), lambda e: e.isNotNull())
+    counted = df.select(F.explode(said).alias("e")).groupBy("e.check", "e.key").agg(F.count(F.lit(1)).alias("n"))
+    failures = F.sum(F.expr("CASE WHEN key IS NULL THEN n WHEN n > 1 THEN 1 ELSE 0 END"))
+    names = F.array(*[F.lit(c.check_id) for c in checks])
+    return counted.groupBy("check").agg(failures.alias("found")).select(F.get(names, F.col("check")).alias("check_id"), "found")
+
+
+def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Q6: every check's summary row in one DataFrame; each model is scanned once."""
+    parts = [_failures(models[model], [c for c in checks if c.model == model]) for model in dict.fromkeys(c.model for c in checks)]
+    found = reduce(DataFrame.unionByName, parts)
+    declared = models[checks[0].model].sparkSession.createDataFrame(
+        [(c.check_id, c.model, c.test, c.column_name) for c in checks], ", ".join(f"{c} string" for c in SUMMARY_COLUMNS[:-1]))
+    return (declared.join(found, "check_id", "left")
+            .withColumn("failures", F.coalesce("found", F.lit(0)).cast("long")).select(*SUMMARY_COLUMNS))
 
 
 # The declared suite: 11 not-null, 6 unique, 1 combination, 3 expression checks.
@@ -126,7 +134,7 @@ MODEL_UNIQUE = (("locations_clean", "from_location_id"), ("dim_users", "user_id"
 
 
 def _nn(model: str, cols: Sequence[str]) -> list[Check]:
-    return [Check(model, "not_null", c, rows=F.count_if(F.col(c).isNull())) for c in cols]
+    return [Check(model, "not_null", c, fails=F.col(c).isNull()) for c in cols]
 
 
 def _uq(model: str, col: str) -> Check:
@@ -134,7 +142,7 @@ def _uq(model: str, col: str) -> Check:
 
 
 def _expression(model: str, label: str, expression: Column, where: Column) -> Check:
-    return Check(model, "expression_is_true", label, rows=F.count_if(where & ~expression))
+    return Check(model, "expression_is_true", label, fails=where & ~expression)
 
 
 def source_not_null_checks() -> list[Check]:

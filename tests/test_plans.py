@@ -70,3 +70,10 @@ def test_attributions_are_planned_in_one_pass(spark):
     tree = p.split("\n\n\n")[0]
     assert tree.count("Scan parquet") <= 15
     assert "LeftAnti" not in p
+
+
+def test_checks_read_each_table_once(spark):
+    """All 21 checks: one scan a table that has any, and no window or join over its rows."""
+    p = plan(E.queries()["dq_suite"](spark, SF)).split("\n\n\n")[0]
+    assert p.count("Scan parquet") == 10  # seven sources and three models
+    assert "SortMergeJoin" not in p
