@@ -38,7 +38,8 @@ SPEAKERS = {
     "user": ["user", "human", "question", "q", "customer", "prompter"],
     "assistant": ["assistant", "bot", "ai", "answer", "a", "agent", "response"],
 }
-MAX_ROLES = 16
+#: Roles that the driver's tables of states hold; more are an error, none is left out.
+MAX_ROLES = 256
 LENGTH_BOUNDS = [0, 10, 20, 40, 80, 120, 160, 200, 300, 400, 600, 1000]
 #: Prior count of anything; weight of the expected marker and place chances beside the learned ones;
 #: chance of a role's marker where it does not belong.
@@ -126,7 +127,9 @@ def fit(lines: DataFrame, edges: list, train: Column) -> Model:
     """Counts over the lines of labelled conversations (``train``: a condition on conv_id)."""
     labelled = _marked(lines, edges).where(train)
     own = labelled.where("role IS NOT NULL")
-    roles = sorted(r["role"] for r in own.groupBy("role").count().orderBy(F.desc("count"), "role").limit(MAX_ROLES).collect())
+    roles = sorted(r["role"] for r in own.select("role").distinct().limit(MAX_ROLES + 1).collect())
+    if len(roles) > MAX_ROLES:
+        raise ValueError(f"more than {MAX_ROLES} different roles")
     belief = BELIEF if roles else 1.0
     roles = roles or ["assistant", "user"]
     known = _markers(roles)
@@ -293,7 +296,7 @@ def render(lines: DataFrame, model: Model) -> DataFrame:
     """One row a recovered turn: conv_id, turn and line_no of its first line, role, n_lines, rendered."""
     begins = (F.col("state") % 2 == 0) | F.col("opens")
     order = Window.partitionBy("part").orderBy("pos")
-    marked = _marked(lines, _edges(lines)).withColumn("nth", F.sum(begins.cast("int")).over(order))
+    marked = _marked(lines, _edges(lines)).withColumn("begins", begins).withColumn("nth", F.sum(begins.cast("int")).over(order))
     marked = stored(marked, "chat-turns")
     # lines at the head of a range that go on with a turn of an earlier one: one entry a range at most
     counts = sorted(marked.groupBy("part").agg(F.max("nth").alias("n"), F.min("nth").alias("least")).collect(), key=lambda r: r["part"])
@@ -307,9 +310,11 @@ def render(lines: DataFrame, model: Model) -> DataFrame:
     heads = spark.createDataFrame(carry, "part int, _part int, _nth bigint")
     placed = (marked.join(F.broadcast(heads), (marked["part"] == heads["part"]) & (marked["nth"] == 0), "left")
               .select(F.coalesce("_part", marked["part"]).alias("tpart"), F.coalesce("_nth", "nth").alias("tnth"), marked["part"].alias("part"),
-                      "pos", "conv_id", "turn", "line_no", "line", "state", "name"))
+                      "pos", "conv_id", "turn", "line_no", "line", "state", "name", "begins"))
+    # a marker goes where a turn of the role that it names begins; elsewhere the words belong to the text
     known = _markers(model.roles)
-    cut = F.when(F.col("name").isin(list(known)), F.regexp_replace("line", f"(?:{MARKER})\\s*", "")).otherwise(F.col("line"))
+    named = F.coalesce(*[F.when(F.col("name") == n, k - 2) for n, k in known.items()])
+    cut = F.when(F.col("begins") & (named == F.floor(F.col("state") / 2)), F.regexp_replace("line", f"(?:{MARKER})\\s*", "")).otherwise(F.col("line"))
     item = F.struct("part", "pos", "line_no", "turn", "conv_id", "state", cut.alias("line"))
     each = placed.groupBy("tpart", "tnth").agg(F.sort_array(F.collect_list(item)).alias("all"))
     role = F.array(*[F.lit(r) for r in model.roles])[F.floor(F.col("all")[0]["state"] / 2).cast("int")]

@@ -80,7 +80,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recovered turns; roles are learned from conversations whose crc32(conv_id as text) mod 5 is not 0."""
     turns = read_table(spark, sf_dir, "conversations")
     found = chat.format_chats(turns, language.fold("conv_id") != 0)
-    return found.select("conv_id", "turn", "line_no", (language.fold("conv_id") == 0).alias("held_out"), "role", "n_lines", "rendered")
+    return found.select("conv_id", "turn", "line_no", F.coalesce(language.fold("conv_id") == 0, F.lit(False)).alias("held_out"), "role", "n_lines", "rendered")
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

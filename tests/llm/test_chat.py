@@ -65,3 +65,23 @@ def test_nothing_labelled_and_empty_table(spark, turns):
     out = C.format_chats(turns.where("conv_id = 5"), F.lit(False)).collect()
     assert len(out) == 3 and {r.role for r in out} <= {"assistant", "user"}
     assert C.format_chats(turns.limit(0), F.lit(True)).count() == 0
+
+
+def test_a_marker_inside_a_turn_stays(spark, turns):
+    """'Answer: 42' names the assistant, but the turn goes on: its words are text; so is the name of another role."""
+    rows = [(7, 0, "user", "User: what is it"), (7, 1, "assistant", "Assistant: let me see\nAnswer: 42\nUser: is what you are")]
+    lines, model = C.recover(turns.where("conv_id <= 4").unionByName(spark.createDataFrame(rows, SCHEMA)), F.col("conv_id") <= 4)
+    assert model.roles == ["assistant", "user"]
+    state = F.expr("CASE WHEN conv_id <> 7 THEN state WHEN turn = 0 THEN 2 WHEN line_no = 0 THEN 0 ELSE 1 END")
+    got = C.render(lines.withColumn("state", state.cast(lines.schema["state"].dataType)), model).where("conv_id = 7").orderBy("turn").collect()
+    assert [r.rendered for r in got] == ["<|user|>\nwhat is it", "<|assistant|>\nlet me see\nAnswer: 42\nUser: is what you are"]
+
+
+def test_all_roles_are_learned(spark, monkeypatch):
+    rows = [(c, t, f"role{(c + t) % 20}", "x" * (1 + (c + t) % 20 * 40)) for c in range(40) for t in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    _, model = C.recover(df, F.lit(True))
+    assert len(model.roles) == 20
+    monkeypatch.setattr(C, "MAX_ROLES", 19)
+    with pytest.raises(ValueError, match="different roles"):
+        C.recover(df, F.lit(True))
