@@ -91,10 +91,12 @@ def key_summary(df: DataFrame, keys: dict[str, Callable[[], Column]]) -> tuple[s
         rows = df.select(*[keys[c]().alias(f"k{i}") for i, c in enumerate(names)])
         first = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).agg(
             F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k_accumulate(k{i}, {TRACKED})").alias(f"s{i}") for i in range(len(names))])
-        whole = first.agg(F.sum("n").alias("n"), *[F.expr(f"approx_top_k_combine(s{i}, {TRACKED})").alias(f"s{i}") for i in range(len(names))])
+        # grouped, so that an empty table gives no row: there is no sketch to combine
+        whole = first.groupBy(F.lit(0).alias("all")).agg(F.sum("n").alias("n"), *[F.expr(f"approx_top_k_combine(s{i}, {TRACKED})").alias(f"s{i}") for i in range(len(names))])
         path = _folder(df)
         whole.select("n", *[F.expr(f"approx_top_k_estimate(s{i}, {TRACKED})").alias(f"top{i}") for i in range(len(names))]).write.parquet(path)
-        _SUMMARIES[known] = (path, df.sparkSession.read.parquet(path).select("n").first()[0] or 0)
+        counted = df.sparkSession.read.parquet(path).select("n").first()
+        _SUMMARIES[known] = (path, counted["n"] if counted else 0)
     return _SUMMARIES[known]
 
 

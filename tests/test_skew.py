@@ -135,3 +135,12 @@ def test_hot_in_several_tables_together(spark):
     two = spark.createDataFrame([("a",)] * 3 + [("b",)] * 3 + [("c",)] * 5, "j string")
     assert {r["__hot_key"] for r in hot_keys(one, "k", 9, (two, "j")).collect()} == {"a", "c"}
     assert hot_keys(one, "k", 20, (two, "j")) is None
+
+
+def test_summary_of_an_empty_table(spark, tables):
+    from dimloom.operators import joins as J
+
+    empty = tables["user_join_record"].where("false")
+    assert J.hot_keys(empty, "user_id", 1) is None
+    nulls = tables["user_join_record"].selectExpr(*[f"CAST(NULL AS STRING) AS {c}" for c in tables["user_join_record"].columns])
+    assert J.hot_keys(nulls, "user_id", 1) is None
