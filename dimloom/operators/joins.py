@@ -118,6 +118,22 @@ def _listed(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
             .groupBy("__hot_key").count().where(F.col("count") >= hot_rows).select("__hot_key"))
 
 
+def has_hot_key(df: DataFrame, key: str, hot_rows: int | None = None) -> bool:
+    """Whether a key of ``df[key]`` holds ``hot_rows`` rows or more, nulls being a key like any other.
+
+    By one sketch of the column, whose counts may say yes a little early; exactly where the table is
+    too long for the sketch.
+    """
+    hot_rows = hot_rows or _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
+    if df.where(F.col(f"`{key}`").isNull()).limit(hot_rows).count() >= hot_rows:
+        return True
+    path, n = key_summary(df, {key: lambda: F.col(f"`{key}`")})
+    if n > hot_rows * SKETCH_ROWS or n > hot_rows * TRACKED:
+        return hot_keys(df, key, hot_rows) is not None
+    top = df.sparkSession.read.parquet(path).select(F.explode("top0").alias("t"))
+    return not top.where((F.col("t.count") >= hot_rows) & F.col("t.item").isNotNull()).isEmpty()
+
+
 def hot_keys(df: DataFrame, key: str, hot_rows: int, *more: KeySource) -> DataFrame | None:
     """The stored list (column ``__hot_key``) of the keys of ``df[key]`` with ``hot_rows`` rows or
     more, ready for a join; None when there is none.  With ``more`` (table, key) the rows of all count:

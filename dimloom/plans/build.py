@@ -21,19 +21,25 @@ from ..operators.users import dim_users
 from ..sources.schemas import OUTPUT_COMMENTS
 from ..sources.sinks import read_table, write_table
 
+#: The key that each model is laid out by, and whether it has one row for each value.
+KEYS = {"locations_clean": ("from_location_id", True), "user_attributions": ("user_id", False), "dim_users": ("user_id", True)}
 MODELS = ("locations_clean", "user_attributions", "dim_users")
 
 
 def build(spark: SparkSession, T: Mapping[str, DataFrame], out_dir: str,
-          as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """Write ``locations_clean``, ``user_attributions`` and ``dim_users`` under ``out_dir``."""
+          as_of: dt.date | None = None, buckets: int | None = None) -> dict[str, DataFrame]:
+    """Write ``locations_clean``, ``user_attributions`` and ``dim_users`` under ``out_dir``, each laid out
+    by its key in ``buckets`` (default: the session's shuffle partitions)."""
     out = out_dir.rstrip("/")
-    write_table(locations_clean(T), f"{out}/locations_clean", OUTPUT_COMMENTS)
-    write_table(user_attributions(T), f"{out}/user_attributions", OUTPUT_COMMENTS)
-    locs = read_table(spark, f"{out}/locations_clean")
-    attrs = read_table(spark, f"{out}/user_attributions")
-    write_table(dim_users(T, as_of, locations=locs, attribution=first_attribution(attrs)),
-                f"{out}/dim_users", OUTPUT_COMMENTS)
+
+    def publish(df: DataFrame, name: str) -> DataFrame:
+        key, unique = KEYS[name]
+        write_table(df, f"{out}/{name}", OUTPUT_COMMENTS, cluster_by=key, buckets=buckets, unique=unique)
+        return read_table(spark, f"{out}/{name}")
+
+    locs = publish(locations_clean(T), "locations_clean")
+    attrs = publish(user_attributions(T), "user_attributions")
+    publish(dim_users(T, as_of, locations=locs, attribution=first_attribution(attrs)), "dim_users")
     return read_models(spark, out)
 
 

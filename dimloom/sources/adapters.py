@@ -249,7 +249,7 @@ def user_core(D: dict[str, DataFrame]) -> DataFrame:
          .when(c % 89 == 0, F.lit("educatorst1@example.com"))
          .otherwise(F.concat(F.lit("Customer"), c.cast("string"), F.lit("@Example.com"))).alias("email"),
         F.when(c % 41 == 0, F.lit(None).cast("string")).when(c % 4 == 0, F.lit("E"))
-         .when(c % 4 == 2, F.lit("IL")).otherwise(F.lit("CL")).alias("type"),
+         .when(c % 4 == 2, F.lit("IL")).when(c % 20 == 3, F.lit("GU")).otherwise(F.lit("CL")).alias("type"),
         race.alias("race_ethnicity"),
         gender.alias("gender"),
         F.when((c % 9 == 5) | (c % 9 == 8), F.lit("self-described")).otherwise(F.lit(None).cast("string")).alias("self_describe_gender"),
@@ -374,6 +374,10 @@ ADAPTERS = {
 }
 
 
+#: Staged tables that are laid out by a key, unless one of its values is hot.
+STAGED_BY = {"user_core": "id", "user_join_record": "user_id"}
+
+
 def _jvm_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -409,11 +413,13 @@ def sources_from_driver(spark: SparkSession, sf_dir: str, stage: bool = True) ->
     With ``stage`` (default) they are written once as parquet under the shared
     ``spark.checkpoint.dir`` (keyed by the input files and this code) and read back,
     like loading raw tables into the warehouse before the models run: every model then
-    scans typed parquet with column pruning instead of re-deriving its inputs.
+    scans typed parquet with column pruning instead of re-deriving its inputs.  People and
+    their join records are laid out by person, so joins and choices by person start without an exchange.
     """
     if not stage:
         return adapted_sources(spark, sf_dir)
     from ..session import ensure_checkpoint_dir
+    from .layout import lay_out
     from .registry import load_parquet
 
     app, signature = spark.sparkContext.applicationId, _input_signature(spark, sf_dir)
@@ -425,7 +431,8 @@ def sources_from_driver(spark: SparkSession, sf_dir: str, stage: bool = True) ->
     fs, marker = _jvm_fs(spark, f"{out_dir}/_COMPLETE")
     if not fs.exists(marker):
         for name, df in adapted_sources(spark, sf_dir).items():
-            df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+            if name not in STAGED_BY or not lay_out(df, f"{out_dir}/{name}", STAGED_BY[name]):
+                df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         fs.create(marker, True).close()
     # The signature covers the input files, so changed inputs are staged anew and unchanged
     # ones keep their readers instead of listing the files again.

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .layout import read_stored
 from .schemas import SOURCE_NAMES, SOURCE_SCHEMAS
 
 Tables = Mapping[str, DataFrame]
@@ -34,9 +35,10 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 def load_parquet(spark: SparkSession, folder: str, names: tuple[str, ...] = SOURCE_NAMES) -> dict[str, DataFrame]:
     """Read ``{folder}/{name}`` (parquet) for each source and conform it to its declared schema.
 
+    A folder that is laid out by a key (see ``layout``) is read with its layout.
     The files' own schema is read first, so a missing column is an error, not a column of nulls.
     """
-    return {name: conform(spark.read.parquet(f"{folder}/{name}"), name) for name in names}
+    return {name: conform(read_stored(spark, f"{folder}/{name}"), name) for name in names}
 
 
 def load_catalog(spark: SparkSession, database: str, names: tuple[str, ...] = SOURCE_NAMES) -> dict[str, DataFrame]:

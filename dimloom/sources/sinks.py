@@ -6,6 +6,8 @@ A rebuild never touches the rows that readers see.  Each write makes a new versi
 leaves the old version current; readers that opened the old version go on reading it, for it stays
 until ``remove_old_versions`` is called.  Catalog tables are the same versions behind a table whose location
 is moved.
+
+A table can be laid out by a join key (``cluster_by``; see ``layout``), so that joins on it need no exchange.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .layout import file_at, forget, lay_out, quoted, read_stored, write_laid_out
 from .schemas import TABLE_COMMENTS
 
 VERSIONS, CURRENT = "_versions", "_current"
@@ -30,16 +33,9 @@ def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     ])
 
 
-def _fs(spark: SparkSession, path: str):
-    """(Hadoop file system, Hadoop path) of ``path``: whatever store Spark itself reads."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
 def current_version(spark: SparkSession, path: str) -> str | None:
     """The folder of the published version of the table at ``path``; None if nothing was published."""
-    fs, pointer = _fs(spark, f"{path.rstrip('/')}/{CURRENT}")
+    fs, pointer = file_at(spark, f"{path.rstrip('/')}/{CURRENT}")
     if not fs.exists(pointer):
         return None
     opened = fs.open(pointer)
@@ -53,7 +49,7 @@ def _point_to(spark: SparkSession, path: str, version: str) -> None:
     """Replace the pointer in one step: a rename over the old file."""
     jvm = spark.sparkContext._jvm
     root = path.rstrip("/")
-    fs, fresh = _fs(spark, f"{root}/{CURRENT}-{uuid.uuid4().hex}")
+    fs, fresh = file_at(spark, f"{root}/{CURRENT}-{uuid.uuid4().hex}")
     out = fs.create(fresh, True)
     out.writeBytes(version + "\n")
     out.close()
@@ -64,48 +60,79 @@ def _point_to(spark: SparkSession, path: str, version: str) -> None:
     context.rename(fresh, jvm.org.apache.hadoop.fs.Path(f"{root}/{CURRENT}"), options)
 
 
-def _write_version(df: DataFrame, path: str, comments: Mapping[str, str], partition_by: tuple[str, ...]) -> str:
+def _write_version(df: DataFrame, path: str, comments: Mapping[str, str], partition_by: tuple[str, ...],
+                   cluster_by: str | None = None, buckets: int | None = None) -> str:
     """Write a new version of the table and verify it; returns its name."""
     spark, written = df.sparkSession, Observation()
     version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     folder = f"{path.rstrip('/')}/{VERSIONS}/{version}"
-    writer = with_comments(df, comments).observe(written, F.count(F.lit(1)).alias("rows")).write
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
-    found = spark.read.parquet(folder).count()  # from footers
+    watched = with_comments(df, comments).observe(written, F.count(F.lit(1)).alias("rows"))
+    if cluster_by:
+        write_laid_out(watched, folder, cluster_by, buckets)
+    else:
+        (watched.write.partitionBy(*partition_by) if partition_by else watched.write).parquet(folder)
+    found = read_stored(spark, folder).count()  # no column is read
     if found != written.get["rows"]:
         raise RuntimeError(f"{folder} has {found} rows, {written.get['rows']} were written; the published version stays")
     return version
 
 
+def _clustered_version(df: DataFrame, path: str, comments: Mapping[str, str], key: str, buckets: int | None) -> str:
+    """A version laid out by ``key``; a plain one if a key is hot.
+
+    The rows are written plainly first, so that looking for hot keys reads one column of stored rows and
+    nothing is computed twice; the plain copy goes when the other is complete.
+    """
+    spark, versions = df.sparkSession, f"{path.rstrip('/')}/{VERSIONS}"
+    plain = _write_version(df, path, comments, ())
+    stored = spark.read.parquet(f"{versions}/{plain}")
+    version = f"{plain}-by-key"
+    if not lay_out(stored, f"{versions}/{version}", key, buckets):
+        return plain
+    found, wanted = read_stored(spark, f"{versions}/{version}").count(), stored.count()  # no column is read
+    if found != wanted:
+        raise RuntimeError(f"{versions}/{version} has {found} rows, {wanted} were written; the published version stays")
+    fs, place = file_at(spark, f"{versions}/{plain}")
+    fs.delete(place, True)
+    return version
+
+
 def write_table(df: DataFrame, path: str, comments: Mapping[str, str] | None = None,
-                partition_by: tuple[str, ...] = ()) -> None:
-    """Materialise ``df`` as the published version of the parquet table at ``path`` (type-1 full rebuild)."""
-    _point_to(df.sparkSession, path, _write_version(df, path, comments or {}, partition_by))
+                partition_by: tuple[str, ...] = (), cluster_by: str | None = None, buckets: int | None = None,
+                unique: bool = False) -> None:
+    """Materialise ``df`` as the published version of the parquet table at ``path`` (type-1 full rebuild).
+
+    ``cluster_by`` names a key to lay the table out by, in ``buckets`` (default: the session's shuffle
+    partitions); with ``unique`` the key is known to have one row for each value, so none can be hot.
+    """
+    if cluster_by and partition_by:
+        raise ValueError("a table is partitioned by folders or laid out by a key, not both")
+    if cluster_by and not unique:
+        version = _clustered_version(df, path, comments or {}, cluster_by, buckets)
+    else:
+        version = _write_version(df, path, comments or {}, partition_by, cluster_by, buckets)
+    _point_to(df.sparkSession, path, version)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The published version of the table at ``path``; a folder without versions is read as it is."""
-    return spark.read.parquet(current_version(spark, path) or path)
+    return read_stored(spark, current_version(spark, path) or path)
 
 
 def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the ``keep`` newest versions and the published one; returns what went."""
     published = current_version(spark, path)
-    fs, folder = _fs(spark, f"{path.rstrip('/')}/{VERSIONS}")
+    fs, folder = file_at(spark, f"{path.rstrip('/')}/{VERSIONS}")
     if published is None or not fs.exists(folder):
         return []
     names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
     gone = [n for n in names[: max(0, len(names) - keep)] if n != published.rsplit("/", 1)[1]]
     for name in gone:
-        fs.delete(_fs(spark, f"{path.rstrip('/')}/{VERSIONS}/{name}")[1], True)
+        forget(spark, f"{path.rstrip('/')}/{VERSIONS}/{name}")
+        fs.delete(file_at(spark, f"{path.rstrip('/')}/{VERSIONS}/{name}")[1], True)
     return gone
 
 
-def _quoted(text: str) -> str:
-    """``text`` as a SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
-
-
 def _database_folder(spark: SparkSession, name: str) -> str:
     database = name.rsplit(".", 1)[0] if "." in name else spark.catalog.currentDatabase()
     return spark.catalog.getDatabase(database).locationUri.rstrip("/")
@@ -126,7 +153,7 @@ def save_table(df: DataFrame, name: str, comments: Mapping[str, str] | None = No
     schema = spark.read.parquet(location).schema
     shape = [(f.name, f.dataType, f.metadata.get("comment")) for f in schema.fields]
     if spark.catalog.tableExists(name) and shape == [(f.name, f.dataType, f.metadata.get("comment")) for f in spark.table(name).schema.fields]:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(location)}")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {quoted(location)}")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(name, path=location, source="parquet", schema=schema)
@@ -134,7 +161,7 @@ def save_table(df: DataFrame, name: str, comments: Mapping[str, str] | None = No
     spark.catalog.refreshTable(name)
     text = table_comment if table_comment is not None else TABLE_COMMENTS.get(short)
     if text:
-        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(text)}")
+        spark.sql(f"COMMENT ON TABLE {name} IS {quoted(text)}")
 
 
 def table_descriptions(spark: SparkSession, name: str) -> tuple[str | None, dict[str, str | None]]:
