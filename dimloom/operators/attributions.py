@@ -159,6 +159,40 @@ def _invited_pairs(T: Tables) -> DataFrame:
                      keys_from=(T["educator_invitation_record"], "email_key")).select("user_id", "classroom_id")
 
 
+#: What a sponsor code knows by itself; a classroom's context knows these too.
+OWN = ("sponsor_id", "sponsor_name", "sponsor_code", "site_id", "site_name")
+
+
+def _room_keys(T: Tables) -> list[tuple[DataFrame, str]]:
+    return [(T[t], "classroom_id") for t in ("learner_classroom_membership", "educator_classroom_membership", "educator_invitation_record")]
+
+
+def _placed(T: Tables, rooms: DataFrame) -> DataFrame:
+    """Memberships and invitations of people (route, user_id) with the columns of ``rooms``, whose key is
+    ``room``; a membership of a missing classroom keeps nulls, an invitation to one goes."""
+    members = T["educator_classroom_membership"].select("user_id", "classroom_id", F.lit("educator").alias("route"), F.lit(True).alias("keep"))
+    for pairs, keep in ((T["learner_classroom_membership"], True), (_invited_pairs(T), False)):
+        members = members.unionByName(pairs.select("user_id", "classroom_id", F.lit("learner").alias("route"), F.lit(keep).alias("keep")))
+    found = skew_join(members.where(F.col("user_id").isNotNull()), rooms, "classroom_id", "room", "left", keys_from=_room_keys(T))
+    return found.where("keep OR room IS NOT NULL").drop("keep", "classroom_id")
+
+
+def _joined(T: Tables) -> DataFrame:
+    """Sponsor joins of people: user_id and what the code knows, as ``own_`` columns."""
+    return route_sponsor_join(T).where(F.col("user_id").isNotNull()).select("user_id", *[F.col(c).alias(f"own_{c}") for c in OWN])
+
+
+def _with_context(narrow: DataFrame, context: DataFrame, T: Tables) -> DataFrame:
+    """Narrow rows (user_id, room, ``own_`` columns) as attribution rows."""
+    # rows without a classroom match nothing; a key of their own keeps them from meeting in one task
+    spread = F.concat(F.lit("no classroom "), F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
+    keyed = narrow.withColumn("room_key", F.coalesce("room", spread))
+    wide = skew_join(keyed, context, "room_key", "classroom_id", "left", keys_from=_room_keys(T), also=F.col("room").isNotNull())
+    # a row with a classroom has nothing of its own, a row without one nothing of the context
+    return wide.select("user_id", *[F.coalesce(f"own_{c}", c).alias(c) if c in OWN else F.col(c) for c in ATTRIBUTION_COLUMNS if c != "user_id"]).select(
+        *ATTRIBUTION_COLUMNS)
+
+
 def user_attributions(T: Tables) -> DataFrame:
     """A7: every attribution row of every person (many rows per person), distinct within the
     educator rows and within the learner rows (learner, invited and sponsor join).
@@ -168,24 +202,10 @@ def user_attributions(T: Tables) -> DataFrame:
     belong to.  One aggregate makes them distinct, so that a person's rows without a classroom collapse
     to one, also with a sponsor join that knows nothing more.  Then the distinct context is joined once.
     """
-    own = ("sponsor_id", "sponsor_name", "sponsor_code", "site_id", "site_name")
-    none = [F.lit(None).cast("string").alias(f"own_{c}") for c in own]
-    members = T["educator_classroom_membership"].select("user_id", "classroom_id", F.lit("educator").alias("route"), F.lit(True).alias("keep"))
-    for pairs, keep in ((T["learner_classroom_membership"], True), (_invited_pairs(T), False)):
-        members = members.unionByName(pairs.select("user_id", "classroom_id", F.lit("learner").alias("route"), F.lit(keep).alias("keep")))
-    of_rooms = [(T[t], "classroom_id") for t in ("learner_classroom_membership", "educator_classroom_membership", "educator_invitation_record")]
     rooms = T["classroom"].select(F.col("id").alias("room")).where("room IS NOT NULL").distinct()
-    placed = (skew_join(members.where(F.col("user_id").isNotNull()), rooms, "classroom_id", "room", "left", keys_from=of_rooms)
-              .where("keep OR room IS NOT NULL").select("route", "user_id", "room", *none))
-    joined = route_sponsor_join(T).where(F.col("user_id").isNotNull()).select(
-        F.lit("learner").alias("route"), "user_id", F.lit(None).cast("string").alias("room"), *[F.col(c).alias(f"own_{c}") for c in own])
-    # rows without a classroom match nothing; a key of their own keeps them from meeting in one task
-    spread = F.concat(F.lit("no classroom "), F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
-    narrow = placed.unionByName(joined).distinct().withColumn("room_key", F.coalesce("room", spread))
-    wide = skew_join(narrow, classroom_context(T).distinct(), "room_key", "classroom_id", "left", keys_from=of_rooms, also=F.col("room").isNotNull())
-    # a row with a classroom has nothing of its own, a row without one nothing of the context
-    return wide.select("user_id", *[F.coalesce(f"own_{c}", c).alias(c) if c in own else F.col(c) for c in ATTRIBUTION_COLUMNS if c != "user_id"]).select(
-        *ATTRIBUTION_COLUMNS)
+    placed = _placed(T, rooms).select("route", "user_id", "room", *[F.lit(None).cast("string").alias(f"own_{c}") for c in OWN])
+    joined = _joined(T).select(F.lit("learner").alias("route"), "user_id", F.lit(None).cast("string").alias("room"), *[f"own_{c}" for c in OWN])
+    return _with_context(placed.unionByName(joined).distinct(), classroom_context(T).distinct(), T)
 
 
 def first_context(T: Tables) -> DataFrame:
@@ -200,17 +220,31 @@ def first_context(T: Tables) -> DataFrame:
     return top1(classroom_context(least), ["classroom_id"], order_by(ATTRIBUTION_ORDER))
 
 
+def first_sponsor(T: Tables) -> DataFrame:
+    """(room, first_sponsor): the sponsor in the first row of each classroom's context, the highest one."""
+    known = T["user_sponsor"].select(F.col("id").alias("sponsor_key")).distinct()
+    sites = T["user_site"].select(F.col("id").alias("s_site_key"), F.col("sponsor_id").alias("site_sponsor_id"))
+    of_sites = (skew_join(sites, known, "site_sponsor_id", "sponsor_key", "left", keys_from=(T["user_site"], "sponsor_id"))
+                .groupBy("s_site_key").agg(F.max("sponsor_key").alias("sponsor_key")))
+    rooms = T["classroom"].select(F.col("id").alias("room"), "site_id").where("room IS NOT NULL")
+    return (skew_join(rooms, of_sites, "site_id", "s_site_key", "left", keys_from=(T["classroom"], "site_id"))
+            .groupBy("room").agg(F.max("sponsor_key").alias("first_sponsor")))
+
+
 def best_attribution(T: Tables) -> DataFrame:
     """One attribution per person: the first of ``user_attributions`` under ATTRIBUTION_ORDER.
 
-    The first row of a union is the first of the per-part first rows, so each classroom's
-    context is reduced to its first row before memberships are joined to it, from the smallest
-    code of each sponsor and of each classroom: codes are never paired with codes.
+    The first row of a person is chosen among narrow candidates: the sponsor in the first row of the
+    classroom's context and the classroom decide between classrooms, whose rows are otherwise the same,
+    and what the code knows between sponsor joins.  Only the chosen rows meet the wide context, one a
+    person, and of that only the first row of each classroom.
     """
-    ctx = first_context(T)
-    candidates = (route_learner(T, ctx).unionByName(route_educator(T, ctx))
-                  .unionByName(route_invited(T, ctx)).unionByName(route_sponsor_join(T)))
-    return top1(candidates.where(F.col("user_id").isNotNull()), ["user_id"], order_by(ATTRIBUTION_ORDER))
+    none = [F.lit(None).cast("string").alias(f"own_{c}") for c in OWN]
+    placed = _placed(T, first_sponsor(T)).select("user_id", "room", "first_sponsor", *none)
+    joined = _joined(T).withColumn("room", F.lit(None).cast("string")).withColumn("first_sponsor", F.col("own_sponsor_id"))
+    order = [("first_sponsor", "desc"), ("room", "asc"), ("own_site_id", "asc"), ("own_sponsor_code", "asc"), ("own_site_name", "asc"), ("own_sponsor_name", "asc")]
+    chosen = top1(placed.unionByName(joined), ["user_id"], order_by(order)).drop("first_sponsor")
+    return _with_context(chosen, first_context(T), T)
 
 
 def first_attribution(attributions: DataFrame) -> DataFrame:

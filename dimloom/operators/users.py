@@ -109,7 +109,7 @@ def dim_users(T: Tables, as_of: dt.date | None = None, locations: DataFrame | No
     locs = locations if locations is not None else locations_clean(T)
     best = attribution if attribution is not None else best_attribution(T)
     person = top1(user_profile(T, as_of), ["user_id"], order_by(USER_ORDER))
-    # both sides come out of a window partitioned by user id, so this join needs no exchange
+    # one row a person on both sides; people, and stored attributions, lie by user id out of their window
     a = best.withColumnRenamed("user_id", "a_user_id")
     out = person.join(a, F.col("user_id") == F.col("a_user_id"), "left").drop("a_user_id")
     out = _with_location(out, locs, keys_from=T["user_core"])
