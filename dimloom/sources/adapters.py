@@ -385,11 +385,11 @@ def _jvm_fs(spark: SparkSession, path: str):
 
 
 def _input_signature(spark: SparkSession, sf_dir: str) -> str:
-    """Names, sizes and modification times of the benchmark files plus the adapter code."""
+    """Names, sizes and modification times of the benchmark files plus the code that stages them."""
     import hashlib
     import inspect
 
-    from . import schemas
+    from . import layout, schemas
 
     h = hashlib.sha1()
     for name in sorted(DRIVER_COLUMNS):
@@ -397,7 +397,8 @@ def _input_signature(spark: SparkSession, sf_dir: str) -> str:
         for st in fs.listStatus(p):
             h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
     h.update(inspect.getsource(inspect.getmodule(_input_signature)).encode())
-    h.update(inspect.getsource(schemas).encode())
+    for part in (schemas, layout):
+        h.update(inspect.getsource(part).encode())
     return h.hexdigest()[:20]
 
 
