@@ -10,7 +10,7 @@ tables that are not stored, or whose files lack the statistics, are scanned: one
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -47,9 +47,9 @@ def column_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select("num_rows", F.explode(F.array(*entries)).alias("e")).select("e.column_index", "num_rows", "e.non_null")
 
 
-def _stored_counts(reader: SparkSession, folder: str, columns: list[str]) -> DataFrame | None:
-    """``column_counts`` from the footers of the files in ``folder``; None where they lack a statistic or have no rows."""
-    counts = column_counts(reader.read.parquet(folder), columns)
+def _stored_counts(reader: SparkSession, folders: str | Sequence[str], columns: list[str]) -> DataFrame | None:
+    """``column_counts`` from the footers of the files in the folder or folders; None where they lack a statistic or have no rows."""
+    counts = column_counts(reader.read.parquet(*([folders] if isinstance(folders, str) else folders)), columns)
     try:
         found = counts.first()  # reads footers only
     except (PySparkException, Py4JJavaError):
@@ -57,8 +57,8 @@ def _stored_counts(reader: SparkSession, folder: str, columns: list[str]) -> Dat
     return None if found is None or found["num_rows"] is None else counts
 
 
-def table_profile(tables: Mapping[str, DataFrame], folders: Mapping[str, str] | None = None) -> DataFrame:
-    """The profile of ``tables``; ``folders`` names the Parquet folders of those that are stored as they are."""
+def table_profile(tables: Mapping[str, DataFrame], folders: Mapping[str, str | Sequence[str]] | None = None) -> DataFrame:
+    """The profile of ``tables``; ``folders`` names the Parquet folders (one, or several together) of those that are stored as they are."""
     spark = footer_session(next(iter(tables.values())).sparkSession)
     stats, columns = [], []
     for name, df in tables.items():
@@ -84,8 +84,14 @@ def table_profile(tables: Mapping[str, DataFrame], folders: Mapping[str, str] |
         F.col("num_rows").cast("long").alias("num_rows"), (F.col("num_rows") - F.col("non_null")).cast("long").alias("null_count")).select(*PROFILE_COLUMNS)
 
 
-def parquet_folder(df: DataFrame) -> str | None:
-    """The folder of the files that ``df`` reads, if it reads one folder of Parquet files without more."""
+def parquet_folder(df: DataFrame) -> str | list[str] | None:
+    """The folder of the files that ``df`` reads, if it reads one folder of Parquet files without more,
+    or its folders, if they are parts (``part=...``) of one table."""
     files = df.inputFiles()
-    folders = {f.rsplit("/", 1)[0] for f in files}
-    return folders.pop() if len(folders) == 1 and all(f.endswith(".parquet") for f in files) else None
+    folders = sorted({f.rsplit("/", 1)[0] for f in files})
+    if not folders or not all(f.endswith(".parquet") for f in files):
+        return None
+    if len(folders) == 1:
+        return folders[0]
+    tables = {f.rsplit("/", 1)[0] for f in folders}
+    return folders if len(tables) == 1 and all(f.rsplit("/", 1)[1].startswith("part=") for f in folders) else None
