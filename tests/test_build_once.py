@@ -36,3 +36,28 @@ def test_wide_attributions_are_written_once(spark, tmp_path, monkeypatch):
             assert srt(hot[name].collect()) == srt(models[name].collect()), name
     finally:
         spark.conf.unset("spark.dimloom.skew.hotKeyRows")
+
+
+def test_enriched_users_make_the_wide_rows_once(spark, tmp_path, monkeypatch):
+    """The plan reads the stored keys once, with no hot person; with hot ones the rows are the same."""
+    from dimloom.operators import users as U
+
+    T = sources_from_driver(spark, _write(spark, tmp_path))
+    made = []
+    whole = U.user_attributions
+    monkeypatch.setattr(U, "user_attributions", lambda T, keys=None: made.append(keys) or whole(T, keys))
+    as_of = dt.date(2026, 3, 10)
+    cold = U.enriched_users(T, as_of)
+    plan = cold._jdf.queryExecution().optimizedPlan().toString()
+    rows = srt(cold.collect())
+    assert len(made) == 1 and "dimloom-keys" in made[0].inputFiles()[0]
+    assert plan.count("Relation [route#") == 1 and "LeftAnti" not in plan
+    literal = U.enriched_users(T, as_of, attributions=whole(T))
+    assert rows == srt(literal.collect()) and len(rows) > T["user_core"].count()
+    spark.conf.set("spark.dimloom.skew.hotKeyRows", "3")
+    try:
+        hot = U.enriched_users(T, as_of)
+        assert "LeftAnti" in hot._jdf.queryExecution().optimizedPlan().toString()
+        assert srt(hot.collect()) == rows
+    finally:
+        spark.conf.unset("spark.dimloom.skew.hotKeyRows")
